@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import ingest as IN
 from ..operators import report as RP
 from ..sources import star
 from ..sources.tables import Tables
@@ -64,14 +65,31 @@ def report_queries() -> dict[str, Query]:
     }
 
 
+def ingest_queries() -> dict[str, Query]:
+    return {
+        "sheet_products": _all(IN.products_view),
+        "sheet_excluded": _all(IN.excluded_view),
+        "sheet_unpivot": _all(IN.unpivot_view),
+        "unpivot_reconcile": _all(IN.unpivot_reconcile),
+        "unpivot_month_counts": _all(IN.month_counts),
+        "freight_tag_counts": _all(IN.freight_tag_counts),
+        "brands_seen": _all(IN.brands_seen),
+        "channel_unpivot": _all(IN.channel_unpivot),
+        "unknown_channels": _all(IN.unknown_channels),
+    }
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q.update(report_queries())
+    q.update(ingest_queries())
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     from .oracle_report import sql as report_sql
     s: dict[str, str] = {}
+    from .oracle_ingest import sql as ingest_sql
     s.update(report_sql())
+    s.update(ingest_sql())
     return s
