@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import ingest as IN
 from ..operators import report as RP
+from ..operators import review as RV
 from ..sources import star
 from ..sources.tables import Tables
 
@@ -79,10 +80,34 @@ def ingest_queries() -> dict[str, Query]:
     }
 
 
+def review_queries() -> dict[str, Query]:
+    return {
+        "classified_products": _all(RV.classified_view),
+        "dim_product": _all(RV.dim_product_view),
+        "keyword_conflicts": _all(RV.keyword_conflicts),
+        "new_conflicts": _all(RV.new_conflicts),
+        "unclassified_brand_skus": _all(RV.unclassified_brand_skus),
+        "brand_inventory": _all(RV.brand_inventory_view),
+        "new_brands": _all(RV.new_brands),
+        "brand_carry_forward": _all(RV.brand_carry_forward),
+        "category_spread": _all(RV.category_spread),
+        "summary_by_category": _all(RV.summary_by_category),
+        "summary_by_bucket": _all(RV.summary_by_bucket),
+        "summary_by_shipping": _all(RV.summary_by_shipping),
+        "invalid_categories": _all(RV.invalid_categories),
+        "odd_shipping": _all(RV.odd_shipping),
+        "unknown_tags": _all(RV.unknown_tags),
+        "type_counts": _all(RV.type_counts),
+        "reviewed_seed": _all(RV.reviewed_seed),
+        "settled_skus": _all(RV.settled_skus),
+    }
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q.update(report_queries())
     q.update(ingest_queries())
+    q.update(review_queries())
     return q
 
 
@@ -92,4 +117,6 @@ def oracle_sql() -> dict[str, str]:
     from .oracle_ingest import sql as ingest_sql
     s.update(report_sql())
     s.update(ingest_sql())
+    from .oracle_review import sql as review_sql
+    s.update(review_sql())
     return s
