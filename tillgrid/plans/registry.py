@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import fuzzy as FZ
 from ..operators import ingest as IN
+from ..operators import loads as LD
 from ..operators import report as RP
 from ..operators import review as RV
 from ..sources import star
@@ -103,11 +105,53 @@ def review_queries() -> dict[str, Query]:
     }
 
 
+def _brands(t: Tables):
+    return star.products(t).select("brand")
+
+
+def _new_and_known_keys(t: Tables):
+    from ..operators.classify import variant_categories
+    cats = variant_categories(star.brand_categories(t))
+    return cats.filter("category = ''"), cats.filter("category <> ''")
+
+
+def fuzzy_queries() -> dict[str, Query]:
+    return {
+        "brand_resolution": _all(lambda t: FZ.resolution(_brands(t))),
+        "fuzzy_merges": _all(lambda t: FZ.fuzzy_merges(_brands(t))),
+        "close_names": _all(lambda t: FZ.close_names(*_new_and_known_keys(t))),
+        "classified_fuzzy": _all(lambda t: star.classified(
+            t, fuzzy_brands=FZ.fuzzy_resolve(_brands(t))).select(
+                "sku_code", "brand", "resolved_brand", "resolve_how", "tier", "tier_reason")),
+    }
+
+
+def load_queries() -> dict[str, Query]:
+    return {
+        "upsert_fact_sales": _all(LD.upsert_fact_sales_view),
+        "load_reconcile": _all(LD.load_reconcile),
+        "fact_key_check": _all(LD.fact_key_check),
+        "upsert_dim_product": _all(LD.upsert_dim_product),
+        "load_product_types": _all(LD.load_product_types),
+        "types_missing": _all(LD.types_missing),
+        "ensure_dim_date": _all(LD.ensure_dim_date),
+        "dim_date_skipped": _all(LD.dim_date_skipped),
+        "upsert_monthly_context": _all(LD.upsert_monthly_context),
+        "context_skipped": _all(LD.context_skipped),
+        "seed_store": _all(LD.seed_store),
+        "integrity_checks": _all(LD.integrity_checks),
+        "dimension_size": _all(LD.dimension_size),
+        "dim_first_line": _all(LD.dim_first_line),
+    }
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q.update(report_queries())
     q.update(ingest_queries())
     q.update(review_queries())
+    q.update(fuzzy_queries())
+    q.update(load_queries())
     return q
 
 
@@ -119,4 +163,6 @@ def oracle_sql() -> dict[str, str]:
     s.update(ingest_sql())
     from .oracle_review import sql as review_sql
     s.update(review_sql())
+    from .oracle_loads import sql as loads_sql
+    s.update(loads_sql())
     return s
