@@ -15,6 +15,7 @@ from ..operators import ingest as IN
 from ..operators import loads as LD
 from ..operators import report as RP
 from ..operators import review as RV
+from ..operators import textcheck as TX
 from ..sources import star
 from ..sources.tables import Tables
 
@@ -145,6 +146,18 @@ def load_queries() -> dict[str, Query]:
     }
 
 
+def text_queries() -> dict[str, Query]:
+    return {
+        "report_texts": _all(TX.report_texts),
+        "number_tokens": _all(TX.number_tokens),
+        "grounding_findings": _all(TX.findings),
+        "grounding_verdict": _all(TX.report_verdict),
+        "document_grounding": _all(TX.document_grounding),
+        "parsed_replies": _all(TX.parsed_replies),
+        "rejected_replies": _all(TX.rejected_replies),
+    }
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q.update(report_queries())
@@ -152,6 +165,7 @@ def queries() -> dict[str, Query]:
     q.update(review_queries())
     q.update(fuzzy_queries())
     q.update(load_queries())
+    q.update(text_queries())
     return q
 
 
@@ -165,4 +179,6 @@ def oracle_sql() -> dict[str, str]:
     s.update(review_sql())
     from .oracle_loads import sql as loads_sql
     s.update(loads_sql())
+    from .oracle_text import sql as text_sql
+    s.update(text_sql())
     return s
