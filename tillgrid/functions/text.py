@@ -103,7 +103,7 @@ def units_text(x: str | Column) -> Column:
 
 def campaign_bullets(note: str | Column, default: str = "No campaign this month") -> Column:
     """Split on ';' or ',', trim, drop blanks, prefix '· ', join with newlines."""
-    parts = F.filter(F.transform(F.split(F.coalesce(col(note), F.lit("")), "[;,]"), F.trim),
+    parts = F.filter(F.transform(F.split(F.coalesce(col(note), F.lit("")), "[;,]"), lambda x: F.trim(x)),
                      lambda x: x != "")
     joined = F.array_join(F.transform(parts, lambda x: F.concat(F.lit("· "), x)), "\n")
     return F.when(F.size(parts) > 0, joined).otherwise(F.lit(default))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import fuzzy as FZ
 from ..operators import ingest as IN
+from ..operators import narrative as NR
 from ..operators import loads as LD
 from ..operators import report as RP
 from ..operators import review as RV
@@ -155,6 +156,8 @@ def text_queries() -> dict[str, Query]:
         "document_grounding": _all(TX.document_grounding),
         "parsed_replies": _all(TX.parsed_replies),
         "rejected_replies": _all(TX.rejected_replies),
+        "fallback_texts": _all(NR.fallback_texts),
+        "deck_texts": _all(lambda t: NR.deck_texts(t, TX.parsed_replies(t))),
     }
 
 
@@ -181,4 +184,6 @@ def oracle_sql() -> dict[str, str]:
     s.update(loads_sql())
     from .oracle_text import sql as text_sql
     s.update(text_sql())
+    from .oracle_narrative import sql as narrative_sql
+    s.update(narrative_sql())
     return s
