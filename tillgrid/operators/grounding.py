@@ -123,3 +123,43 @@ def parse_lenient(text: str | Column) -> Column:
     t = F.col(text) if isinstance(text, str) else text
     cleaned = F.regexp_replace(strip_fences(t), r",(\s*[}\]])", "$1")
     return F.from_json(cleaned, "map<string,string>", {"mode": "PERMISSIVE"})
+
+
+_NUMERIC = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "DECIMAL")
+
+
+def json_leaves(df: DataFrame, keys: list[str], json_col: str, max_depth: int = 12) -> DataFrame:
+    """S11 / G2 for nested documents: every scalar leaf of a JSON text as
+    (keys, kind, num, str) with kind in number / string (booleans and nulls
+    dropped, object keys not used).  One ``variant_explode_outer`` lateral
+    join per nesting level."""
+    spark = df.sparkSession
+    cur = df.select(*keys, F.try_parse_json(json_col).alias("v")).filter(F.col("v").isNotNull())
+    out = None
+
+    def leaves_of(frame: DataFrame) -> DataFrame:
+        t = F.schema_of_variant("v")
+        num = t.startswith("DECIMAL") | t.isin(*_NUMERIC)
+        return frame.filter(num | (t == "STRING")).select(
+            *keys, F.when(num, F.lit("number")).otherwise(F.lit("string")).alias("kind"),
+            F.when(num, F.try_variant_get("v", "$", "double")).alias("num"),
+            F.when(~num, F.try_variant_get("v", "$", "string")).alias("str"))
+
+    for _ in range(max_depth):
+        t = F.schema_of_variant("v")
+        nested = t.startswith("OBJECT") | t.startswith("ARRAY")
+        leaf = leaves_of(cur.filter(~nested))
+        out = leaf if out is None else out.unionByName(leaf)
+        inner = cur.filter(nested)
+        cur = (inner.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer()))
+               .select(*keys, F.col("value").alias("v")).filter(F.col("v").isNotNull()))
+    return out
+
+
+def allowed_from_json(df: DataFrame, keys: list[str], json_col: str) -> DataFrame:
+    """G2 over nested JSON documents: numbers at 2/1/0 decimals and digit
+    runs inside strings."""
+    leaves = json_leaves(df, keys, json_col)
+    nums = allowed_from_numbers(leaves.filter(F.col("kind") == "number"), keys, ["num"])
+    strs = allowed_from_strings(leaves.filter(F.col("kind") == "string"), keys, ["str"])
+    return nums.unionByName(strs)

@@ -26,13 +26,15 @@ def upsert_rows(old: DataFrame, new: DataFrame, keys: list[str],
 
     With ``touched`` (e.g. ``["period"]``) only old rows in the partitions
     the batch touches take part in the anti join; the rest pass through."""
-    new = new.select(*old.columns)
+    cols = old.columns
+    new = new.select(*cols)
     if touched:
         parts = new.select(*touched).distinct()
         hot = old.join(parts, touched, "left_semi")
-        cold = old.join(parts, touched, "left_anti")
-        return cold.unionByName(hot.join(new.select(*keys), keys, "left_anti")).unionByName(new)
-    return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
+        cold = old.join(parts, touched, "left_anti").select(*cols)
+        kept = hot.join(new.select(*keys), keys, "left_anti").select(*cols)
+        return cold.unionByName(kept).unionByName(new)
+    return old.join(new.select(*keys), keys, "left_anti").select(*cols).unionByName(new)
 
 
 def upsert_columns(old: DataFrame, new: DataFrame, key: str, update: list[str],
