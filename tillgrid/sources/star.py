@@ -9,8 +9,10 @@ Mapping (see FIXTURES.md §3):
   fact_channel     = orders ⋈ customer ⋈ nation ⋈ lineitem by order priority
   monthly_context  = per (region, order month) from orders ⋈ customer ⋈ nation
 
-All derivations are DataFrame plans; filters on the reporting month are
-turned into ``l_shipdate`` / ``o_orderdate`` ranges so they reach the scan.
+All derivations are DataFrame plans.  The fact tables and the product
+dimension are written once per input version (``warehouse``), partitioned by
+``period``, so report filters on a month prune partitions; the builders can
+also be given a month, which becomes an ``l_shipdate`` range on the scan.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from .. import vocab
 from ..functions import rules as R
 from ..functions.numeric import money
 from ..operators import classify as C
+from . import warehouse
 from .tables import Tables, month_start, next_month_start
 
 CHANNEL_BY_PRIORITY = {"1-URGENT": "member_price", "2-HIGH": "wholesale",
@@ -51,28 +54,36 @@ def dim_store(t: Tables) -> DataFrame:
                            F.initcap("r_name").alias("store_name"))
 
 
-def supplier_store(t: Tables) -> DataFrame:
+def _nation_region(t: Tables) -> DataFrame:
     # nation is a fixed 25-row table: broadcasting it is size-safe.
-    return (t.supplier.select("s_suppkey", "s_nationkey")
-            .join(F.broadcast(t.nation.select("n_nationkey", "n_regionkey")),
-                  F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", F.col("n_regionkey").alias("store_id")))
+    return F.broadcast(t.nation.select("n_nationkey", F.col("n_regionkey").alias("store_id")))
 
 
 def sales_lines(t: Tables, period: str | None = None, through: str | None = None) -> DataFrame:
-    """Line-level sales: l_orderkey, partkey, period, store_id, qty, amount."""
+    """Line-level sales: l_orderkey, partkey, period, store_id, qty, amount.
+
+    lineitem joins supplier first (size left to the planner/AQE: supplier
+    grows with the data) and the 25-row nation table last, so the planner
+    never sees a join-product estimate that makes lineitem look small."""
     li = _periodise(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                                       "l_extendedprice", "l_shipdate"),
                     "l_shipdate", period, through)
-    return (li.join(supplier_store(t), F.col("l_suppkey") == F.col("s_suppkey"))
+    sup = t.supplier.select("s_suppkey", "s_nationkey")
+    return (li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(_nation_region(t), F.col("s_nationkey") == F.col("n_nationkey"))
             .select("l_orderkey", F.col("l_partkey").alias("partkey"),
                     F.date_format("l_shipdate", "yyyy-MM").alias("period"), "store_id",
                     F.col("l_quantity").cast("bigint").alias("qty"),
                     money("l_extendedprice").alias("amount")))
 
 
-def fact_sales(t: Tables, period: str | None = None, through: str | None = None) -> DataFrame:
-    """fact_sales at grain (sku, period, store): order_count, qty, amount(decimal)."""
+def build_fact_sales(t: Tables, period: str | None = None,
+                     through: str | None = None) -> DataFrame:
+    """fact_sales at grain (sku, period, store): order_count, qty, amount(decimal).
+
+    count(distinct order) runs as a two-level aggregate keyed first by
+    (sku, period, store, order): a hot SKU is spread over its orders before
+    the map-side partial aggregate collapses it."""
     return (sales_lines(t, period, through)
             .groupBy("partkey", "period", "store_id")
             .agg(F.count_distinct("l_orderkey").alias("order_count"),
@@ -81,10 +92,26 @@ def fact_sales(t: Tables, period: str | None = None, through: str | None = None)
             .withColumn("sku_code", F.concat(F.lit("SKU"), F.col("partkey").cast("string"))))
 
 
+def _inputs(t: Tables, names: list[str]) -> list[str]:
+    return [f"{t.root.rstrip('/')}/{n}.parquet" for n in names]
+
+
+def fact_sales(t: Tables, period: str | None = None, through: str | None = None) -> DataFrame:
+    """The stored fact table (written once per input version, partitioned by
+    period); month filters prune partitions."""
+    f = warehouse.materialized(t.spark, "fact_sales",
+                               _inputs(t, ["lineitem", "supplier", "nation"]),
+                               lambda: build_fact_sales(t), partition_by=["period"])
+    if period is not None:
+        f = f.filter(F.col("period") == period)
+    if through is not None:
+        f = f.filter(F.col("period") <= through)
+    return f
+
+
 def dim_date(t: Tables, through: str | None = None) -> DataFrame:
     """K7 over the months present in the facts: period, year, month, quarter."""
-    periods = (_periodise(t.lineitem.select("l_shipdate"), "l_shipdate", None, through)
-               .select(F.date_format("l_shipdate", "yyyy-MM").alias("period")).distinct())
+    periods = fact_sales(t, through=through).select("period").distinct()
     return periods.select(
         "period",
         F.substring("period", 1, 4).cast("int").alias("year"),
@@ -163,10 +190,13 @@ def classified(t: Tables, rules: vocab.RuleSet = vocab.FIXTURE_RULES,
 
 def dim_product(t: Tables, rules: vocab.RuleSet = vocab.FIXTURE_RULES) -> DataFrame:
     """dim_product: partkey, sku_code, brand, product_desc, category, tier,
-    shipping_channel, product_type."""
-    return (C.with_product_type(classified(t, rules), rules)
-            .select("partkey", "sku_code", "brand", "product_desc", "category", "tier",
-                    "shipping_channel", "product_type"))
+    shipping_channel, product_type (stored once for the default rule set)."""
+    def build() -> DataFrame:
+        return (C.with_product_type(classified(t, rules), rules)
+                .select("partkey", "sku_code", "brand", "product_desc", "category", "tier",
+                        "shipping_channel", "product_type"))
+    return warehouse.materialized(t.spark, "dim_product", _inputs(t, ["part"]), build,
+                                  enabled=rules is vocab.FIXTURE_RULES)
 
 
 def sales(t: Tables, period: str | None = None, through: str | None = None,
@@ -177,17 +207,28 @@ def sales(t: Tables, period: str | None = None, through: str | None = None,
 
 
 def fact_channel(t: Tables, period: str | None = None, through: str | None = None) -> DataFrame:
+    """The stored channel fact table (partitioned by period)."""
+    f = warehouse.materialized(t.spark, "fact_channel",
+                               _inputs(t, ["orders", "customer", "nation", "lineitem"]),
+                               lambda: build_fact_channel(t), partition_by=["period"])
+    if period is not None:
+        f = f.filter(F.col("period") == period)
+    if through is not None:
+        f = f.filter(F.col("period") <= through)
+    return f
+
+
+def build_fact_channel(t: Tables, period: str | None = None,
+                       through: str | None = None) -> DataFrame:
     """fact_channel at grain (period, store, channel_code)."""
     o = _periodise(t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
                    "o_orderdate", period, through)
-    cust = (t.customer.select("c_custkey", "c_nationkey")
-            .join(F.broadcast(t.nation.select("n_nationkey", "n_regionkey")),
-                  F.col("c_nationkey") == F.col("n_nationkey"))
-            .select("c_custkey", F.col("n_regionkey").alias("store_id")))
+    cust = t.customer.select("c_custkey", "c_nationkey")
     li = t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice")
     code = F.element_at(_small_map(CHANNEL_BY_PRIORITY), F.col("o_orderpriority"))
-    lines = (o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-             .join(li, F.col("o_orderkey") == F.col("l_orderkey"))
+    lines = (li.join(o, F.col("o_orderkey") == F.col("l_orderkey"))
+             .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+             .join(_nation_region(t), F.col("c_nationkey") == F.col("n_nationkey"))
              .select(F.date_format("o_orderdate", "yyyy-MM").alias("period"), "store_id",
                      code.alias("channel_code"), "o_orderkey",
                      F.col("l_quantity").cast("bigint").alias("qty"),
@@ -204,11 +245,9 @@ def monthly_context_source(t: Tables) -> DataFrame:
     line_no, store_id, period (one malformed), foot_traffic (blank every
     10th month), leads, completion rate, flag, note, activity text."""
     o = t.orders.select("o_custkey", "o_orderdate", "o_orderstatus")
-    cust = (t.customer.select("c_custkey", "c_nationkey")
-            .join(F.broadcast(t.nation.select("n_nationkey", "n_regionkey")),
-                  F.col("c_nationkey") == F.col("n_nationkey"))
-            .select("c_custkey", F.col("n_regionkey").alias("store_id")))
+    cust = t.customer.select("c_custkey", "c_nationkey")
     g = (o.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+         .join(_nation_region(t), F.col("c_nationkey") == F.col("n_nationkey"))
          .groupBy("store_id", F.date_format("o_orderdate", "yyyy-MM").alias("period"))
          .agg(F.count_distinct("o_custkey").alias("ft"),
               F.count_if(F.col("o_orderstatus") == "P").alias("leads"),
