@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .sqlgen import (mom, mom0, pct, pct0, ratio, report_bucket, with_star)
+from .sqlgen import RPT, mom, mom0, pct, pct0, ratio, report_bucket, with_star
 
 W = "PARTITION BY store_id, period"
 LABELS = "['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec']"
@@ -228,4 +228,16 @@ SELECT g.store_id, g.period, {month_label('g.period')} AS period_label, r.r_name
        CAST(4 AS INTEGER) AS trend_months
 FROM (SELECT DISTINCT store_id, period FROM fact_sales) g JOIN region r ON g.store_id = r.r_regionkey
 """, through_rpt=True)
+    s["headline_rpt"] = with_star(f"""
+SELECT store_id, period, CAST(SUM(amount) AS DOUBLE) AS revenue, CAST(SUM(qty) AS BIGINT) AS units,
+       CAST(SUM(order_count) AS BIGINT) AS orders,
+       {ratio('SUM(amount)', 'SUM(order_count)', 2)} AS avg_order_value
+FROM fact_sales WHERE period = {RPT} GROUP BY store_id, period""")
+    s["top_products_rpt"] = with_star(f"""
+SELECT store_id, period, CAST(rnk AS INTEGER) AS rnk, sku_code, brand, product_desc, category, tier,
+       qty, CAST(amount AS DOUBLE) AS amount
+FROM ({top10} WHERE period = {RPT}) WHERE rnk <= 10""".replace("FROM sales WHERE", "FROM sales WHERE", 1))
+    s["context_malformed"] = with_star("""
+SELECT store_id, trim(period) AS period, line_no FROM context_src
+WHERE nullif(trim(period), '') IS NOT NULL AND NOT regexp_matches(trim(period), '^\\d{4}-\\d{2}$')""")
     return s

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import document as DOC
 from ..operators import fuzzy as FZ
 from ..operators import ingest as IN
 from ..operators import narrative as NR
@@ -34,6 +35,14 @@ def _asof(fn) -> Query:
     return run
 
 
+def _month(fn) -> Query:
+    """one reporting month (a partition filter on the stored facts)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = _t(spark, sf_dir)
+        return fn(t, period=star.reporting_month(t))
+    return run
+
+
 def _all(fn, **kw) -> Query:
     return lambda spark, sf_dir: fn(_t(spark, sf_dir), **kw)
 
@@ -67,6 +76,10 @@ def report_queries() -> dict[str, Query]:
         "operating_context": _asof(RP.operating_context),
         "context_gaps": _asof(RP.context_gaps),
         "report_header": _asof(RP.report_header),
+        "headline_rpt": _month(RP.headline),
+        "top_products_rpt": _month(RP.top_products),
+        "context_malformed": _all(lambda t: RP.parse_monthly_context(
+            star.monthly_context_source(t))[1].select("store_id", "period", "line_no")),
     }
 
 
@@ -158,6 +171,8 @@ def text_queries() -> dict[str, Query]:
         "rejected_replies": _all(TX.rejected_replies),
         "fallback_texts": _all(NR.fallback_texts),
         "deck_texts": _all(lambda t: NR.deck_texts(t, TX.parsed_replies(t))),
+        "report_documents": _all(DOC.report_documents),
+        "document_findings": _all(DOC.document_findings),
     }
 
 

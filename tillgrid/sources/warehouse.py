@@ -14,10 +14,12 @@ lineage for everything downstream.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -59,15 +61,37 @@ def materialized(spark: SparkSession, name: str, inputs: list[str],
     key = _fingerprint(spark, inputs)
     final = f"{root(spark)}/{key}/{name}"
     fs, fp = _fs(spark, final)
-    plan = build()  # lazy: only analysed here, executed when the table is missing
-    if not fs.exists(_fs(spark, final + "/_SUCCESS")[1]):
+    schema_path = _fs(spark, final + "/_schema.json")[1]
+    if fs.exists(_fs(spark, final + "/_SUCCESS")[1]) and fs.exists(schema_path):
+        schema = T.StructType.fromJson(json.loads(_read_text(fs, schema_path)))
+    else:
+        plan = build()
+        schema = plan.schema
         tmp = f"{root(spark)}/{key}/_tmp-{name}-{uuid.uuid4().hex}"
         w = plan.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(tmp)
+        _write_text(fs, _fs(spark, tmp + "/_schema.json")[1], schema.json())
         fs.mkdirs(fp.getParent())
         if not fs.rename(_fs(spark, tmp)[1], fp) and not fs.exists(fp):
             raise RuntimeError(f"could not publish {final}")
-    # explicit schema: partition values are read back with their own types
-    return spark.read.schema(plan.schema).parquet(final).select(*plan.columns)
+    # explicit schema: partition values are read back with their own types,
+    # and the (possibly large) builder plan is not even analysed on reuse
+    return spark.read.schema(schema).parquet(final).select(*schema.fieldNames())
+
+
+def _read_text(fs, path) -> str:
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def _write_text(fs, path, text: str) -> None:
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
