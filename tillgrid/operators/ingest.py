@@ -15,9 +15,27 @@ from ..sources.tables import Tables
 SHEET = ["store_id", "year"]
 
 
+def sales_sheets(t: Tables, with_total: bool) -> DataFrame:
+    """The wide exports as they arrive (all cells text), stored once."""
+    from ..sources import warehouse
+    from ..sources.star import _inputs
+    return warehouse.materialized(
+        t.spark, f"sales_sheets_{'wide' if with_total else 'narrow'}",
+        _inputs(t, ["lineitem", "supplier", "nation", "part", "region"]),
+        lambda: wide.build_sales_sheets(t, with_total))
+
+
+def channel_sheets(t: Tables) -> DataFrame:
+    from ..sources import warehouse
+    from ..sources.star import _inputs
+    return warehouse.materialized(
+        t.spark, "channel_sheets", _inputs(t, ["orders", "customer", "nation", "lineitem"]),
+        lambda: wide.build_channel_sheets(t))
+
+
 def sheet_products(t: Tables, with_total: bool = False) -> tuple[DataFrame, DataFrame]:
     """(kept product lines, excluded non-product lines) of every sales sheet."""
-    sheets = wide.build_sales_sheets(t, with_total)
+    sheets = sales_sheets(t, with_total)
     return wide.parse_sales_sheet(sheets, vocab.MONTH_PREFIXES, F.col("store_label"))
 
 
@@ -85,10 +103,10 @@ def brands_seen(t: Tables) -> DataFrame:
 
 def channel_unpivot(t: Tables) -> DataFrame:
     """S3 + R2 + P16: channel sheets to long facts."""
-    long = wide.parse_channel_sheet(wide.build_channel_sheets(t), key_cols=["store_id"])
+    long = wide.parse_channel_sheet(channel_sheets(t), key_cols=["store_id"])
     return long.withColumn("amount", F.col("amount").cast("double"))
 
 
 def unknown_channels(t: Tables) -> DataFrame:
     """Labels that map to no channel code (must be empty)."""
-    return wide.unknown_channel_labels(wide.build_channel_sheets(t)).select(*SHEET, "channel_name")
+    return wide.unknown_channel_labels(channel_sheets(t)).select(*SHEET, "channel_name")

@@ -77,7 +77,19 @@ def _asof(grain: DataFrame, events: DataFrame, cols: list[str]) -> DataFrame:
                                                           for c in cols])
 
 
+ALL_INPUTS = ["lineitem", "supplier", "nation", "part", "orders", "customer", "region"]
+
+
 def deck_metrics(t: Tables) -> DataFrame:
+    """The per-(store, period) report figures, computed once and stored (the
+    sentences, like the slides, only read the finished report data)."""
+    from ..sources import warehouse
+    from ..sources.star import _inputs
+    return warehouse.materialized(t.spark, "report_metrics", _inputs(t, ALL_INPUTS),
+                                  lambda: build_deck_metrics(t))
+
+
+def build_deck_metrics(t: Tables) -> DataFrame:
     head = RP.headline(t)
     w = Window.partitionBy("store_id").orderBy("period")
     m = RP.monthly_totals(t)

@@ -203,4 +203,12 @@ def sql() -> dict[str, str]:
     body = METRICS + f"""
 , ex AS (SELECT store_id, period, unnest([{structs}]) AS x FROM d)
 SELECT store_id, period, x.field AS field, x.text AS text FROM ex"""
-    return {"fallback_texts": with_star(body)}
+    from .oracle_text import NUMBERS, REPLIES, TEXTS
+    deck = METRICS + f"""
+, ex AS (SELECT store_id, period, unnest([{structs}]) AS x FROM d),
+fb AS (SELECT store_id, period, x.field AS field, x.text AS text FROM ex)
+""" + NUMBERS + TEXTS + REPLIES + """
+SELECT fb.store_id, fb.period, fb.field, coalesce(nullif(trim(p.text), ''), fb.text) AS text,
+       p.text IS NOT NULL AS from_model
+FROM fb LEFT JOIN parsed p ON fb.store_id = p.store_id AND fb.period = p.period AND fb.field = p.field"""
+    return {"fallback_texts": with_star(body), "deck_texts": with_star(deck)}

@@ -19,15 +19,15 @@ NUMBERS = f"""
                CAST(SUM(order_count) AS BIGINT) AS orders,
                {ratio('SUM(amount)', 'SUM(order_count)', 2)} AS avg_order_value
         FROM fact_sales GROUP BY store_id, period),
-mo AS (SELECT store_id, period, SUM(amount) AS amount, SUM(qty) AS qty FROM fact_sales GROUP BY 1, 2),
-ml AS (SELECT *, LAG(amount) OVER (PARTITION BY store_id ORDER BY period) AS pa,
-              LAG(qty) OVER (PARTITION BY store_id ORDER BY period) AS pq FROM mo),
-m AS (SELECT store_id, period, CAST(pa AS DOUBLE) AS prev_amount, {mom('amount', 'pa')} AS amount_mom_pct,
-             {mom('qty', 'pq')} AS qty_mom_pct FROM ml),
-r AS (SELECT h.*, m.prev_amount, m.amount_mom_pct, m.qty_mom_pct,
+tmo AS (SELECT store_id, period, SUM(amount) AS amount, SUM(qty) AS qty FROM fact_sales GROUP BY 1, 2),
+tml AS (SELECT *, LAG(amount) OVER (PARTITION BY store_id ORDER BY period) AS pa,
+              LAG(qty) OVER (PARTITION BY store_id ORDER BY period) AS pq FROM tmo),
+tm AS (SELECT store_id, period, CAST(pa AS DOUBLE) AS prev_amount, {mom('amount', 'pa')} AS amount_mom_pct,
+             {mom('qty', 'pq')} AS qty_mom_pct FROM tml),
+r AS (SELECT h.*, tm.prev_amount, tm.amount_mom_pct, tm.qty_mom_pct,
              store_id * 100000 + CAST(substr(period, 1, 4) AS INTEGER) * 12
                + CAST(substr(period, 6, 2) AS INTEGER) AS i
-      FROM h LEFT JOIN m USING (store_id, period))
+      FROM h LEFT JOIN tm USING (store_id, period))
 """
 
 TEXTS = f"""
@@ -111,4 +111,34 @@ FROM fnd GROUP BY store_id, period""")
 SELECT doc_id, COUNT(*) AS n_numbers, count_if(NOT okk AND NOT sg) AS n_missing,
        count_if(NOT okk AND sg) AS n_sign_only, count_if(NOT okk AND NOT sg) > 0 AS needs_review
 FROM fnd GROUP BY doc_id""")
+    s["parsed_replies"] = with_star(NUMBERS + TEXTS + REPLIES + """
+SELECT store_id, period, field, text FROM parsed""")
+    s["rejected_replies"] = with_star(NUMBERS + TEXTS + REPLIES + """
+SELECT store_id, period, reply FROM rep WHERE NOT coalesce(json_valid(cleaned), false)""")
     return s
+
+
+FIELDS = ", ".join(q(f) for f in vocab.NARRATIVE_FIELDS)
+REPLIES = f"""
+, kv AS (SELECT store_id, period,
+                string_agg('"' || field || '": "' || text || '"', ', ' ORDER BY field, text) AS body
+         FROM tx GROUP BY store_id, period),
+js0 AS (SELECT kv.store_id, kv.period, r.i,
+               '{{' || body || CASE WHEN r.i % 2 = 0 THEN ', "mood": "upbeat"' ELSE '' END
+                    || CASE WHEN r.i % 3 = 0 THEN ',' ELSE '' END || '}}' AS js
+        FROM kv JOIN r USING (store_id, period)),
+js1 AS (SELECT store_id, period, i, CASE WHEN i % 10 = 7 THEN substr(js, 1, 20) ELSE js END AS js
+        FROM js0),
+rep AS (SELECT store_id, period,
+               CASE WHEN i % 4 = 1 THEN '```json' || chr(10) || js || chr(10) || '```' ELSE js END
+                   AS reply,
+               regexp_replace(regexp_replace(regexp_replace(
+                   CASE WHEN i % 4 = 1 THEN '```json' || chr(10) || js || chr(10) || '```' ELSE js END,
+                   '^\\s*```[a-zA-Z]*\\s*', ''), '\\s*```\\s*$', ''),
+                   ',(\\s*[}}\\]])', '\\1', 'g') AS cleaned
+        FROM js1),
+keys AS (SELECT store_id, period, cleaned, unnest(json_keys(cleaned)) AS field FROM rep
+         WHERE coalesce(json_valid(cleaned), false)),
+parsed AS (SELECT store_id, period, field, json_extract_string(cleaned, '$."' || field || '"') AS text
+           FROM keys WHERE field IN ({FIELDS}))
+"""
