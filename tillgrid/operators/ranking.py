@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _LOC_BITS = 33  # monotonically_increasing_id = (partition << 33) + row-in-partition
 
 
@@ -45,9 +47,15 @@ def ranged_ntile(df: DataFrame, group_cols: list[str], order_cols: list[Column |
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g) for g in group_cols] + [_sort_key(c) for c in order_cols]
     ordered = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    # Both the count table and the final join must see the *same* numbering.
+    # Each use of a range exchange samples its own bounds, so the numbered
+    # rows are frozen once in the shared checkpoint folder (reliable: a lost
+    # executor cannot change them) and both branches read that copy.
+    ensure_checkpoint_dir(spark)
     ided = (ordered.withColumn("_id", F.monotonically_increasing_id())
             .withColumn("_pid", F.shiftright("_id", _LOC_BITS))
-            .withColumn("_loc", F.col("_id").bitwiseAND(F.lit((1 << _LOC_BITS) - 1))))
+            .withColumn("_loc", F.col("_id").bitwiseAND(F.lit((1 << _LOC_BITS) - 1)))
+            .checkpoint(eager=True))
     seg = (ided.groupBy(*group_cols, "_pid")
            .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_min")))
     seg = (seg.withColumn("_before",
