@@ -62,7 +62,7 @@ prev_keys AS (SELECT store_id, period, brand_key,
                      lower(trim(unnest(string_split(brand_variants, '/')))) AS vk FROM prev2),
 hit AS (SELECT DISTINCT pk.store_id, pk.period, pk.brand_key FROM prev_keys pk
         JOIN cur_keys ck ON pk.store_id = ck.store_id AND pk.period = ck.period AND pk.vk = ck.vk)
-SELECT p.store_id, p.period, p.brand_variants, CAST(0 AS BIGINT) AS n_sku, 0.0 AS total_amt,
+SELECT p.store_id, p.period, p.brand_variants, CAST(0 AS BIGINT) AS n_sku, CAST(0.0 AS DOUBLE) AS total_amt,
        coalesce(b.category, '') AS confirmed_category
 FROM prev2 p LEFT JOIN brand_cat b ON p.brand_key = b.brand_key
 WHERE NOT EXISTS (SELECT 1 FROM hit h WHERE h.store_id = p.store_id AND h.period = p.period

@@ -100,16 +100,16 @@ def sql() -> dict[str, str]:
         "a.store_id = t.store_id AND a.period = t.period")
     s["grounding_findings"] = with_star(base + cls + f"SELECT {keys}, pos, value, {status} FROM fnd")
     s["grounding_verdict"] = with_star(base + cls + """
-SELECT store_id, period, COUNT(*) AS n_numbers, count_if(NOT okk AND NOT sg) AS n_missing,
-       count_if(NOT okk AND sg) AS n_sign_only, count_if(NOT okk AND NOT sg) > 0 AS needs_review
+SELECT store_id, period, COUNT(*) AS n_numbers, CAST(count_if(NOT okk AND NOT sg) AS BIGINT) AS n_missing,
+       CAST(count_if(NOT okk AND sg) AS BIGINT) AS n_sign_only, count_if(NOT okk AND NOT sg) > 0 AS needs_review
 FROM fnd GROUP BY store_id, period""")
     docs = (", dsrc AS (SELECT 'all' AS scope, doc_id, text FROM documents)\n"
             + tokens_cte("dsrc", "scope, doc_id").replace(", tk0", ", tk0", 1))
     drs = ", rs AS (SELECT *, 'all' AS scope FROM r)\n"
     s["document_grounding"] = with_star(NUMBERS + docs + drs + _allowed("scope", False)
                                         + _classify("a.scope = t.scope") + """
-SELECT doc_id, COUNT(*) AS n_numbers, count_if(NOT okk AND NOT sg) AS n_missing,
-       count_if(NOT okk AND sg) AS n_sign_only, count_if(NOT okk AND NOT sg) > 0 AS needs_review
+SELECT doc_id, COUNT(*) AS n_numbers, CAST(count_if(NOT okk AND NOT sg) AS BIGINT) AS n_missing,
+       CAST(count_if(NOT okk AND sg) AS BIGINT) AS n_sign_only, count_if(NOT okk AND NOT sg) > 0 AS needs_review
 FROM fnd GROUP BY doc_id""")
     s["parsed_replies"] = with_star(NUMBERS + TEXTS + REPLIES + """
 SELECT store_id, period, field, text FROM parsed""")
