@@ -101,7 +101,8 @@ def fact_sales(t: Tables, period: str | None = None, through: str | None = None)
     period); month filters prune partitions."""
     f = warehouse.materialized(t.spark, "fact_sales",
                                _inputs(t, ["lineitem", "supplier", "nation"]),
-                               lambda: build_fact_sales(t), partition_by=["period"])
+                               lambda: build_fact_sales(t), partition_by=["period"],
+                               cluster_by=["store_id", "partkey"])
     if period is not None:
         f = f.filter(F.col("period") == period)
     if through is not None:
@@ -210,7 +211,8 @@ def fact_channel(t: Tables, period: str | None = None, through: str | None = Non
     """The stored channel fact table (partitioned by period)."""
     f = warehouse.materialized(t.spark, "fact_channel",
                                _inputs(t, ["orders", "customer", "nation", "lineitem"]),
-                               lambda: build_fact_channel(t), partition_by=["period"])
+                               lambda: build_fact_channel(t), partition_by=["period"],
+                               cluster_by=["store_id", "channel_code"])
     if period is not None:
         f = f.filter(F.col("period") == period)
     if through is not None:

@@ -32,7 +32,22 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+_FP_CACHE: dict[tuple, str] = {}
+
+
 def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Hash of every input file's path, size and modification time (a driver
+    metadata listing; cached per application unless disabled)."""
+    cache = spark.conf.get("spark.tillgrid.fingerprintCache", "true") == "true"
+    ck = (spark.sparkContext.applicationId, tuple(sorted(paths)))
+    if cache and ck in _FP_CACHE:
+        return _FP_CACHE[ck]
+    fp = _compute_fingerprint(spark, paths)
+    _FP_CACHE[ck] = fp
+    return fp
+
+
+def _compute_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     h = hashlib.sha1(VERSION.encode())
     for path in sorted(paths):
         fs, p = _fs(spark, path)
@@ -53,9 +68,14 @@ def root(spark: SparkSession) -> str:
 
 def materialized(spark: SparkSession, name: str, inputs: list[str],
                  build: Callable[[], DataFrame], partition_by: list[str] | None = None,
-                 enabled: bool = True) -> DataFrame:
+                 cluster_by: list[str] | None = None, enabled: bool = True) -> DataFrame:
     """Return table ``name`` derived by ``build()`` from ``inputs``; build and
-    write it on first use."""
+    write it on first use.
+
+    A partitioned table is range-partitioned on (partition columns, cluster
+    columns) before the write: each task writes a contiguous slice, so the
+    file count is about tasks + partitions (not tasks x partitions) and a hot
+    partition value is split over many tasks by the cluster key."""
     if not enabled or spark.conf.get("spark.tillgrid.materialize", "true") == "false":
         return build()
     key = _fingerprint(spark, inputs)
@@ -68,7 +88,11 @@ def materialized(spark: SparkSession, name: str, inputs: list[str],
         plan = build()
         schema = plan.schema
         tmp = f"{root(spark)}/{key}/_tmp-{name}-{uuid.uuid4().hex}"
-        w = plan.write.mode("errorifexists")
+        out = plan
+        if partition_by:
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            out = plan.repartitionByRange(n, *partition_by, *(cluster_by or []))
+        w = out.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(tmp)
