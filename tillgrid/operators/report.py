@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import rules as R
 from ..functions.numeric import mom_pct, mom_pct_zero_baseline, pct, pct_or_zero, ratio
-from ..functions.text import month_label
+from ..functions.text import context_line, display_label, month_label
 from ..sources import star
 from ..sources.tables import Tables
 from . import ranking
@@ -399,4 +399,15 @@ def report_header(t: Tables, through: str | None = None) -> DataFrame:
     grain = star.fact_sales(t, through=through).select(*G).distinct()
     return (grain.join(star.dim_store(t), "store_id")
             .select(*G, month_label("period").alias("period_label"), "store_code",
-                    F.lit(vocab.TREND_MONTHS).alias("trend_months")))
+                    F.lit(vocab.TREND_MONTHS).alias("trend_months"),
+                    context_line("period").alias("context_line")))
+
+
+def category_labels(t: Tables, period: str | None = None) -> DataFrame:
+    """P20: the category mix with display labels for category and bucket."""
+    s = _with_bucket(star.sales(t, period=period))
+    a = s.groupBy(*G, "category", "bucket").agg(F.sum("amount").alias("amount"))
+    return a.select(*G, "category", "bucket",
+                    display_label("category", "category").alias("category_label"),
+                    display_label("bucket", "tier").alias("bucket_label"),
+                    _d("amount").alias("amount"))

@@ -225,7 +225,7 @@ WHERE EXISTS (SELECT 1 FROM context_rows c WHERE c.store_id = g.store_id AND c.p
               AND c.foot_traffic IS NULL)""", through_rpt=True)
     s["report_header"] = with_star(f"""
 SELECT g.store_id, g.period, {month_label('g.period')} AS period_label, r.r_name AS store_code,
-       CAST(4 AS INTEGER) AS trend_months
+       CAST(4 AS INTEGER) AS trend_months, 'Reporting month: ' || g.period AS context_line
 FROM (SELECT DISTINCT store_id, period FROM fact_sales) g JOIN region r ON g.store_id = r.r_regionkey
 """, through_rpt=True)
     s["headline_rpt"] = with_star(f"""
@@ -240,4 +240,16 @@ FROM ({top10} WHERE period = {RPT}) WHERE rnk <= 10""".replace("FROM sales WHERE
     s["context_malformed"] = with_star("""
 SELECT store_id, trim(period) AS period, line_no FROM context_src
 WHERE nullif(trim(period), '') IS NOT NULL AND NOT regexp_matches(trim(period), '^\\d{4}-\\d{2}$')""")
+    from .. import vocab
+    from .sqlgen import q
+
+    def lab(col: str, mapping: dict) -> str:
+        whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in mapping.items())
+        r = f"replace({col}, '_', ' ')"
+        return f"(CASE {col} {whens} ELSE upper(substr({r}, 1, 1)) || substr({r}, 2) END)"
+    s["category_labels"] = with_star(f"""
+SELECT store_id, period, category, bucket, {lab('category', vocab.CATEGORY_LABELS)} AS category_label,
+       {lab('bucket', vocab.TIER_LABELS)} AS bucket_label, CAST(amount AS DOUBLE) AS amount
+FROM (SELECT store_id, period, category, {report_bucket('category', 'tier')} AS bucket,
+             SUM(amount) AS amount FROM sales GROUP BY 1, 2, 3, 4)""")
     return s

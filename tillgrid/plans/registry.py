@@ -76,6 +76,7 @@ def report_queries() -> dict[str, Query]:
         "operating_context": _asof(RP.operating_context),
         "context_gaps": _asof(RP.context_gaps),
         "report_header": _asof(RP.report_header),
+        "category_labels": _all(RP.category_labels),
         "headline_rpt": _month(RP.headline),
         "top_products_rpt": _month(RP.top_products),
         "context_malformed": _all(lambda t: RP.parse_monthly_context(
