@@ -153,3 +153,16 @@ def test_asof_attach(spark):
     got = {(r.store_id, r.period): r.x for r in _asof(grain, ev, ["x"]).collect()}
     assert got == {(1, "2026-01"): 5.0, (1, "2026-03"): 7.0, (1, "2026-04"): 7.0,
                    (2, "2026-01"): None}
+
+
+def test_enum_presentation_order(spark):
+    from tillgrid.operators.report import presentation_order
+    df = spark.createDataFrame([("2026-01", "regular", 1.0), ("2026-01", "milk_powder", 3.0),
+                                ("2026-01", "premium", 2.0), ("2025-12", "regular", 9.0)],
+                               "period string, bucket string, amount double")
+    out = [(r.period, r.bucket) for r in presentation_order(df, ["period", "bucket"]).collect()]
+    assert out == [("2025-12", "regular"), ("2026-01", "premium"), ("2026-01", "regular"),
+                   ("2026-01", "milk_powder")]
+    df2 = spark.createDataFrame([("export", 1), ("local", 2)], "channel_group string, q int")
+    assert [r.channel_group for r in presentation_order(df2, ["channel_group"]).collect()] == \
+        ["local", "export"]

@@ -60,6 +60,21 @@ def load_reconcile(t: Tables) -> DataFrame:
     return U.reconcile(upsert_fact_sales(t), new, ["store_id", "period"])
 
 
+CHANNEL_KEYS = ["period", "store_id", "channel_code"]
+
+
+def upsert_fact_channel(t: Tables) -> DataFrame:
+    """K3: the reporting month's channel sheet re-imported with export
+    volumes doubled; other months and channels keep their rows."""
+    rpt = star.reporting_month(t)
+    old = star.fact_channel(t)
+    new = (old.filter((F.col("period") == rpt) & (F.col("channel_group") == "export"))
+           .withColumn("qty", F.col("qty") * 2))
+    out = U.upsert_rows(old, new, CHANNEL_KEYS, touched=["period"])
+    return out.select("period", "store_id", "channel_code", "channel_group", "order_count", "qty",
+                      F.col("amount").cast("double").alias("amount"))
+
+
 def fact_key_check(t: Tables) -> DataFrame:
     """Batch lines whose SKU has no dimension row (load aborts on any)."""
     new = U.latest_per_key(second_load(t), FACT_KEYS)

@@ -34,6 +34,31 @@ def _d(c: str):
     return F.col(c).cast("double")
 
 
+# ---------------------------------------------------------------- presentation
+# ENUM columns sort by declaration order, not alphabetically (trap T2).
+ENUM_ORDER = {
+    "bucket": ["premium", "regular", "milk_powder"],
+    "tier": vocab.TIERS,
+    "shipping_channel": vocab.SHIPPING,
+    "category": vocab.CATEGORIES,
+    "channel_group": ["local", "export"],
+}
+
+
+def enum_rank(col: str) -> "F.Column":
+    order = ENUM_ORDER[col]
+    return F.coalesce(F.array_position(F.array(*[F.lit(v) for v in order]), F.col(col)),
+                      F.lit(len(order) + 1))
+
+
+def presentation_order(df: DataFrame, keys: list) -> DataFrame:
+    """O3: sort a finished (small) report block for display; ENUM columns by
+    their declared order, anything else as given (e.g. ``F.desc('amount')``).
+    Only for presentation: results are otherwise unordered sets."""
+    cols = [enum_rank(k) if isinstance(k, str) and k in ENUM_ORDER else k for k in keys]
+    return df.orderBy(*cols)
+
+
 # ---------------------------------------------------------------- headline
 def headline(t: Tables, period: str | None = None) -> DataFrame:
     """A1 + P22: revenue, units, orders and average order value."""

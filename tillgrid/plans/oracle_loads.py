@@ -64,6 +64,14 @@ st AS (SELECT r.store_id, r.period, SUM(r.amount) AS stored FROM res r
 SELECT lo.store_id, lo.period, CAST(loaded AS DOUBLE) AS loaded, CAST(stored AS DOUBLE) AS stored,
        abs(coalesce(stored, 0) - loaded) <= 0.01 AS ok
 FROM lo LEFT JOIN st USING (store_id, period)""")
+    s["upsert_fact_channel"] = with_star(f"""
+, newc AS (SELECT period, store_id, channel_code, order_count, qty * 2 AS qty, amount, channel_group
+           FROM fact_channel WHERE period = {RPT} AND channel_group = 'export')
+SELECT period, store_id, channel_code, channel_group, order_count, qty, CAST(amount AS DOUBLE) AS amount
+FROM fact_channel o WHERE NOT EXISTS (SELECT 1 FROM newc n WHERE n.period = o.period
+      AND n.store_id = o.store_id AND n.channel_code = o.channel_code)
+UNION ALL
+SELECT period, store_id, channel_code, channel_group, order_count, qty, CAST(amount AS DOUBLE) FROM newc""")
     s["fact_key_check"] = with_star(BATCH + """
 SELECT store_id, period, sku_code FROM new
 WHERE sku_code NOT IN (SELECT sku_code FROM dim_product)""")

@@ -147,6 +147,7 @@ def load_queries() -> dict[str, Query]:
         "upsert_fact_sales": _all(LD.upsert_fact_sales_view),
         "load_reconcile": _all(LD.load_reconcile),
         "fact_key_check": _all(LD.fact_key_check),
+        "upsert_fact_channel": _all(LD.upsert_fact_channel),
         "upsert_dim_product": _all(LD.upsert_dim_product),
         "load_product_types": _all(LD.load_product_types),
         "types_missing": _all(LD.types_missing),
