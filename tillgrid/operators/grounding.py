@@ -71,35 +71,45 @@ def _bucket(v: Column) -> Column:
     return F.when(F.abs(v) < HUGE, F.floor(v).cast("double")).otherwise(v)
 
 
-def _within(tokens: DataFrame, allowed: DataFrame, keys: list[str], value: Column,
-            tol: float) -> DataFrame:
-    """Token ids (keys + pos [+ extra id cols]) having an allowed value within tol."""
-    span = F.when(F.abs(value) < HUGE,
-                  F.transform(F.sequence(F.floor(value - 2 * tol), F.floor(value + 2 * tol)),
-                              lambda b: b.cast("double"))).otherwise(F.array(value))
-    tb = tokens.select("*", value.alias("_tv"), F.explode(span).alias("_b"))
-    ab = allowed.select(*keys, F.col("a"), _bucket(F.col("a")).alias("_b")).distinct()
-    return (tb.join(ab, [*keys, "_b"])
-            .filter(F.abs(F.col("_tv") - F.col("a")) <= tol)
-            .select(*[c for c in tokens.columns]).distinct())
-
-
 def classify_tokens(tokens: DataFrame, allowed: DataFrame, keys: list[str],
                     tol: float = vocab.GROUNDING_TOLERANCE) -> DataFrame:
-    """Status per token — ok / sign_only / missing — with a message."""
-    allowed = allowed.select(*keys, "a").distinct()
-    ok = _within(tokens, allowed, keys, F.col("value"), tol).withColumn("_ok", F.lit(True))
-    mags = allowed.select(*keys, F.abs("a").alias("a")).distinct()
-    sign = _within(tokens, mags, keys, F.abs(F.col("value")), tol).withColumn("_sg", F.lit(True))
+    """Status per token — ok / sign_only / missing — with a message.
+
+    One candidate join serves both tests: the allowed values are tagged
+    (signed value -> 'ok', magnitude -> 'sign') and bucketed by floor(value);
+    each token is fanned out over the buckets its tolerance window touches,
+    joined on (key, bucket, tag), filtered by ``abs(v - a) <= tol``, and the
+    flags are folded per token with one grouped max over (tokens ∪ hits) —
+    a single shuffle of the token side, no join back."""
     cols = tokens.columns
-    j = tokens.join(ok, cols, "left").join(sign, cols, "left")
-    status = (F.when(F.col("_ok"), F.lit("ok")).when(F.col("_sg"), F.lit("sign_only"))
+    a = allowed.select(*keys, "a").distinct()
+    tagged = (a.select(*keys, F.col("a").alias("av"), F.lit("ok").alias("tag"))
+              .unionByName(a.select(*keys, F.abs("a").alias("av"), F.lit("sign").alias("tag")))
+              .distinct()
+              .withColumn("_b", _bucket(F.col("av"))))
+    probe = F.explode(F.array(
+        F.struct(F.lit("ok").alias("tag"), F.col("value").alias("tv")),
+        F.struct(F.lit("sign").alias("tag"), F.abs(F.col("value")).alias("tv"))))
+    fan = tokens.select(*cols, probe.alias("_p")).select(*cols, "_p.tag", "_p.tv")
+    span = F.when(F.abs(F.col("tv")) < HUGE,
+                  F.transform(F.sequence(F.floor(F.col("tv") - 2 * tol),
+                                         F.floor(F.col("tv") + 2 * tol)),
+                              lambda b: b.cast("double"))).otherwise(F.array(F.col("tv")))
+    hits = (fan.select("*", F.explode(span).alias("_b"))
+            .join(tagged, [*keys, "_b", "tag"])
+            .filter(F.abs(F.col("tv") - F.col("av")) <= tol)
+            .select(*cols, (F.col("tag") == "ok").cast("int").alias("_ok"),
+                    (F.col("tag") == "sign").cast("int").alias("_sg")))
+    base = tokens.select(*cols, F.lit(0).alias("_ok"), F.lit(0).alias("_sg"))
+    flags = (base.unionByName(hits).groupBy(*cols)
+             .agg(F.max("_ok").alias("_ok"), F.max("_sg").alias("_sg")))
+    status = (F.when(F.col("_ok") == 1, F.lit("ok")).when(F.col("_sg") == 1, F.lit("sign_only"))
               .otherwise(F.lit("missing")))
-    msg = (F.when(F.col("_ok"), F.lit(None).cast("string"))
-           .when(F.col("_sg"), F.lit(" matches in magnitude but not sign — check the direction "
-                                     "word (rose / fell) is right"))
+    msg = (F.when(F.col("_ok") == 1, F.lit(None).cast("string"))
+           .when(F.col("_sg") == 1, F.lit(" matches in magnitude but not sign — check the "
+                                          "direction word (rose / fell) is right"))
            .otherwise(F.lit(" does not appear in the source data — verify before publishing")))
-    return j.select(*cols, status.alias("status"), msg.alias("message"))
+    return flags.select(*cols, status.alias("status"), msg.alias("message"))
 
 
 def verdict(findings: DataFrame, keys: list[str]) -> DataFrame:
