@@ -65,7 +65,7 @@ def shipping_for(category: str | Column, tag: str | Column,
                  export_tags: list[str] = vocab.EXPORT_TAGS) -> Column:
     """Non-milk-powder -> not_applicable; no tag -> local; known tag ->
     export; otherwise 'other:<tag>'."""
-    t = F.coalesce(col(tag), F.lit(""))
+    t = F.trim(F.coalesce(col(tag), F.lit("")))
     c = col(category)
     return (F.when(c.isNull() | (c != "milk_powder"), F.lit(vocab.NOT_APPLICABLE))
             .when(t == "", F.lit("local"))

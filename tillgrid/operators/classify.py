@@ -14,12 +14,19 @@ from ..functions import rules as R
 from ..functions.text import brand_key, normalise_brand
 
 
-def variant_categories(brand_categories: DataFrame) -> DataFrame:
+def variant_categories(brand_categories: DataFrame, skip_blank: bool = False) -> DataFrame:
     """Every spelling in 'A/B/C' maps to the row's confirmed category;
     a later row (higher ``line_no``) overrides an earlier one.
 
+    Classification reads blank rows too (a later blank row clears an earlier
+    category); the new-brand queue's memory of earlier decisions skips blank
+    rows (``skip_blank``).
+
     Input: brand_variants, confirmed_category, line_no.  Output: brand_key, category.
     """
+    if skip_blank:
+        brand_categories = brand_categories.filter(
+            F.coalesce(F.trim("confirmed_category"), F.lit("")) != "")
     exploded = brand_categories.select(
         F.explode(F.split("brand_variants", "/")).alias("variant"),
         F.coalesce(F.trim("confirmed_category"), F.lit("")).alias("category"),
@@ -133,7 +140,7 @@ def brand_inventory(products: DataFrame) -> DataFrame:
 
 def new_brands(inventory: DataFrame, brand_categories: DataFrame) -> DataFrame:
     """Q1: brands without a confirmed category."""
-    cats = variant_categories(brand_categories).filter(F.col("category") != "")
+    cats = variant_categories(brand_categories, skip_blank=True)
     return (inventory.join(cats, "brand_key", "left")
             .filter(F.col("category").isNull()).drop("category"))
 

@@ -72,7 +72,7 @@ def brand_inventory_view(t: Tables) -> DataFrame:
 
 def new_brands(t: Tables) -> DataFrame:
     """Q1: brands sold in a store-month that have no confirmed category."""
-    cats = C.variant_categories(star.brand_categories(t)).filter(F.col("category") != "")
+    cats = C.variant_categories(star.brand_categories(t), skip_blank=True)
     return (brand_inventory(t).join(cats, "brand_key", "left_anti")
             .select(*G, "brand_key", "brand_variants", "n_sku",
                     F.col("total_amt").cast("double").alias("total_amt"), "sample_product"))

@@ -50,7 +50,9 @@ SELECT store_id, period, brand_key, brand_variants, n_sku, CAST(total_amt AS DOU
     s["new_brands"] = with_star(MONTH_PRODUCTS + """
 SELECT store_id, period, brand_key, brand_variants, n_sku, CAST(total_amt AS DOUBLE) AS total_amt,
        sample_product FROM inv
-WHERE brand_key NOT IN (SELECT brand_key FROM brand_cat WHERE category <> '')""")
+WHERE brand_key NOT IN (SELECT lower(trim(unnest(string_split(brand_variants, '/'))))
+                        FROM brand_categories
+                        WHERE coalesce(trim(confirmed_category), '') <> '')""")
     s["brand_carry_forward"] = with_star(MONTH_PRODUCTS + """
 , prev AS (SELECT store_id,
                   strftime(CAST(period || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m') AS period,

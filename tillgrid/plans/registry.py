@@ -128,7 +128,8 @@ def _brands(t: Tables):
 def _new_and_known_keys(t: Tables):
     from ..operators.classify import variant_categories
     cats = variant_categories(star.brand_categories(t))
-    return cats.filter("category = ''"), cats.filter("category <> ''")
+    return cats.filter("category = ''"), variant_categories(star.brand_categories(t),
+                                                            skip_blank=True)
 
 
 def fuzzy_queries() -> dict[str, Query]:

@@ -71,7 +71,7 @@ def pickup(tag: str, export_tags=vocab.EXPORT_TAGS) -> str:
 
 
 def shipping_for(cat: str, tag: str, export_tags=vocab.EXPORT_TAGS) -> str:
-    t = f"coalesce({tag}, '')"
+    t = f"trim(coalesce({tag}, ''))"
     return (f"(CASE WHEN {cat} IS NULL OR {cat} <> 'milk_powder' THEN 'not_applicable' "
             f"WHEN {t} = '' THEN 'local' WHEN {t} IN ({lst(export_tags)}) THEN 'export' "
             f"ELSE 'other:' || {t} END)")

@@ -26,6 +26,21 @@ from ..session import ensure_checkpoint_dir
 VERSION = "v1"
 
 
+def _code_version() -> str:
+    """Hash of this package's source: a code change never reads tables
+    derived by older code (the shared folder may outlive one run)."""
+    import pathlib
+    h = hashlib.sha1(VERSION.encode())
+    pkg = pathlib.Path(__file__).resolve().parent.parent
+    for f in sorted(pkg.rglob("*.py")):
+        h.update(f.relative_to(pkg).as_posix().encode())
+        h.update(f.read_bytes())
+    return h.hexdigest()[:12]
+
+
+CODE_VERSION = _code_version()
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -48,7 +63,7 @@ def _fingerprint(spark: SparkSession, paths: list[str]) -> str:
 
 
 def _compute_fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    h = hashlib.sha1(VERSION.encode())
+    h = hashlib.sha1(CODE_VERSION.encode())
     for path in sorted(paths):
         fs, p = _fs(spark, path)
         if not fs.exists(p):
