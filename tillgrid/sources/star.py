@@ -202,9 +202,23 @@ def dim_product(t: Tables, rules: vocab.RuleSet = vocab.FIXTURE_RULES) -> DataFr
 
 def sales(t: Tables, period: str | None = None, through: str | None = None,
           rules: vocab.RuleSet = vocab.FIXTURE_RULES) -> DataFrame:
-    """fact_sales ⋈ dim_product (join strategy left to AQE: both sides
-    grow with the data)."""
-    return fact_sales(t, period, through).join(dim_product(t, rules).drop("sku_code"), "partkey")
+    """fact_sales ⋈ dim_product — the facts with their product attributes.
+
+    Every report block reads facts together with product attributes, so the
+    joined relation is stored once (partitioned by period, like the facts)
+    instead of being re-joined by every query; the join itself is left to
+    the planner/AQE (both sides grow with the data)."""
+    def build() -> DataFrame:
+        return fact_sales(t).join(dim_product(t, rules).drop("sku_code"), "partkey")
+    s = warehouse.materialized(t.spark, "sales",
+                               _inputs(t, ["lineitem", "supplier", "nation", "part"]), build,
+                               partition_by=["period"], cluster_by=["store_id", "partkey"],
+                               enabled=rules is vocab.FIXTURE_RULES)
+    if period is not None:
+        s = s.filter(F.col("period") == period)
+    if through is not None:
+        s = s.filter(F.col("period") <= through)
+    return s
 
 
 def fact_channel(t: Tables, period: str | None = None, through: str | None = None) -> DataFrame:
