@@ -24,9 +24,18 @@ NUM_COLS = ["revenue", "units", "orders", "avg_order_value", "prev_amount", "amo
 
 
 def report_numbers(t: Tables) -> DataFrame:
-    h = RP.headline(t)
-    m = RP.mom_sql(t).select(*G, "prev_amount", "amount_mom_pct", "qty_mom_pct")
-    return h.join(m, G, "left")
+    """Headline and month-on-month figures per (store, period), stored once:
+    texts, allow-lists and document checks all read this small table instead
+    of re-aggregating the facts in every branch of their plans."""
+    from ..sources import warehouse
+    from ..sources.star import _inputs
+
+    def build() -> DataFrame:
+        h = RP.headline(t)
+        m = RP.mom_sql(t).select(*G, "prev_amount", "amount_mom_pct", "qty_mom_pct")
+        return h.join(m, G, "left")
+    return warehouse.materialized(t.spark, "report_numbers",
+                                  _inputs(t, ["lineitem", "supplier", "nation"]), build)
 
 
 def _ordinal():
