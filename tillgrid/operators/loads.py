@@ -17,6 +17,7 @@ from ..sources import star
 from ..sources.tables import Tables
 from . import classify as C
 from . import upsert as U
+from ..session import ensure_checkpoint_dir
 from .report import parse_monthly_context
 
 FACT_KEYS = ["store_id", "period", "partkey"]
@@ -42,10 +43,18 @@ def second_load(t: Tables) -> DataFrame:
     return (even.unionByName(moved.withColumn("load_seq", F.lit(1))).unionByName(again))
 
 
-def upsert_fact_sales(t: Tables) -> DataFrame:
+def deduped_batch(t: Tables) -> DataFrame:
+    """K8: the incoming batch with the later line per key, frozen once in
+    the shared checkpoint folder — the upsert reads it three times (touched
+    months, keys, rows) and must see one consistent copy."""
+    ensure_checkpoint_dir(t.spark)
+    return U.latest_per_key(second_load(t), FACT_KEYS).checkpoint(eager=True)
+
+
+def upsert_fact_sales(t: Tables, batch: DataFrame | None = None) -> DataFrame:
     """K8 + K2: dedupe the batch, then upsert touching only its months."""
     old = star.fact_sales(t).select(*FACT_COLS)
-    new = U.latest_per_key(second_load(t), FACT_KEYS).select(*FACT_COLS)
+    new = (batch if batch is not None else deduped_batch(t)).select(*FACT_COLS)
     return U.upsert_rows(old, new, FACT_KEYS, touched=["period"])
 
 
@@ -56,8 +65,8 @@ def upsert_fact_sales_view(t: Tables) -> DataFrame:
 
 def load_reconcile(t: Tables) -> DataFrame:
     """Q7 + F15: stored vs loaded for the loaded (store, month) groups."""
-    new = U.latest_per_key(second_load(t), FACT_KEYS)
-    return U.reconcile(upsert_fact_sales(t), new, ["store_id", "period"])
+    new = deduped_batch(t)
+    return U.reconcile(upsert_fact_sales(t, new), new, ["store_id", "period"])
 
 
 CHANNEL_KEYS = ["period", "store_id", "channel_code"]
@@ -77,7 +86,7 @@ def upsert_fact_channel(t: Tables) -> DataFrame:
 
 def fact_key_check(t: Tables) -> DataFrame:
     """Batch lines whose SKU has no dimension row (load aborts on any)."""
-    new = U.latest_per_key(second_load(t), FACT_KEYS)
+    new = deduped_batch(t)
     return new.join(star.dim_product(t).select("sku_code"), "sku_code", "left_anti") \
         .select("store_id", "period", "sku_code")
 
