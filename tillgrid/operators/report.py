@@ -168,13 +168,12 @@ def structure_intro(t: Tables, period: str | None = None, k: int = 10) -> DataFr
     j = total.join(prem_tot, G, "left").join(top, G, "left")
     pa = F.coalesce(F.col("premium_amount"), F.lit(0).cast("decimal(22,2)"))
     return j.select(
-        *G, _d("premium_amount").alias("premium_amount_raw"),
-        pa.cast("double").alias("premium_amount"),
+        *G, pa.cast("double").alias("premium_amount"),
         pct_or_zero(pa, "store_amount", 1).alias("premium_pct_of_store"),
         F.col("lead_cat").alias("leading_premium_category"),
         pct_or_zero("lead_amount", "premium_amount", 1).alias("leading_premium_pct"),
         F.coalesce("premium_in_top10", F.lit(0)).cast("bigint").alias("premium_in_top10"),
-        F.coalesce("top_n", F.lit(0)).cast("bigint").alias("top_n")).drop("premium_amount_raw")
+        F.coalesce("top_n", F.lit(0)).cast("bigint").alias("top_n"))
 
 
 def _brand_group(df: DataFrame) -> DataFrame:

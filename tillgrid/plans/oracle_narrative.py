@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .oracle_report import LABELS, month_label
-from .sqlgen import mom0, pct, pct0, q, ratio, report_bucket, rnd, with_star
+from .sqlgen import mom0, pct, pct0, q, ratio, rnd, with_star
 
 W = "PARTITION BY store_id, period"
 

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from .. import vocab
 from ..functions import rules as R
-from ..functions.numeric import money
 from ..functions.text import collapse_ws, freight_tag, parse_product_name, strip_tags
 from . import star
 from .tables import Tables
@@ -166,17 +165,22 @@ def build_sales_sheets(t: Tables, with_total: bool) -> DataFrame:
              .join(_pname(t), "partkey").drop("partkey"))
     month_cols = month_columns(vocab.MONTH_PREFIXES) + (TOTAL_COLS if with_total else [])
     store = star.dim_store(t).select("store_id", F.col("store_code").alias("store_label"))
-    # store-total and grand-total lines: sums of every column per sheet
-    sums = [F.sum(F.col(c).cast("decimal(22,2)" if c.endswith("amt") else "bigint"))
-            .cast("string").alias(c) for c in month_cols]
-    totals = lines.groupBy("store_id", "year").agg(*sums)
-    store_line = totals.join(store, "store_id").withColumn("product_name", F.col("store_label")) \
-        .drop("store_label")
-    total_line = totals.withColumn("product_name", F.lit("Total"))
+    # store-total and grand-total lines: per-sheet sums, straight from the facts
+    tot_aggs = []
+    for i, p in enumerate(vocab.MONTH_PREFIXES, start=1):
+        sel = F.col("m") == i
+        tot_aggs += [F.sum(F.when(sel, F.col("order_count"))).cast("string").alias(f"{p}_order"),
+                     F.sum(F.when(sel, F.col("qty"))).cast("string").alias(f"{p}_qty"),
+                     F.sum(F.when(sel, F.col("amount"))).cast("string").alias(f"{p}_amt")]
+    if with_total:
+        tot_aggs += [F.sum("order_count").cast("string").alias("total_order"),
+                     F.sum("qty").cast("string").alias("total_qty"),
+                     F.sum("amount").cast("string").alias("total_amt")]
+    totals = (f.groupBy("store_id", "year").agg(*tot_aggs).join(store, "store_id")
+              .withColumn("product_name", F.explode(F.array("store_label", F.lit("Total"))))
+              .drop("store_label"))
     cols = ["store_id", "year", "product_name"] + month_cols
-    return (lines.select(*cols).unionByName(store_line.select(*cols))
-            .unionByName(total_line.select(*cols))
-            .join(store, "store_id"))
+    return lines.select(*cols).unionByName(totals.select(*cols)).join(store, "store_id")
 
 
 def build_channel_sheets(t: Tables) -> DataFrame:
