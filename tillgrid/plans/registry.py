@@ -179,6 +179,15 @@ def text_queries() -> dict[str, Query]:
     }
 
 
+def sql_queries() -> dict[str, Query]:
+    """The ad-hoc analysis SQL (spark.sql with named parameters)."""
+    from . import analysis
+
+    def q(name: str) -> Query:
+        return lambda spark, sf_dir: analysis.run(spark, sf_dir, name)
+    return {f"sql_{n}": q(n) for n in analysis.SQL}
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q.update(report_queries())
@@ -187,6 +196,7 @@ def queries() -> dict[str, Query]:
     q.update(fuzzy_queries())
     q.update(load_queries())
     q.update(text_queries())
+    q.update(sql_queries())
     return q
 
 
@@ -204,4 +214,6 @@ def oracle_sql() -> dict[str, str]:
     s.update(text_sql())
     from .oracle_narrative import sql as narrative_sql
     s.update(narrative_sql())
+    from .oracle_analysis import sql as analysis_sql
+    s.update(analysis_sql())
     return s
