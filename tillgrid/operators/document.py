@@ -55,9 +55,14 @@ def document_structs(t: Tables) -> DataFrame:
                    ["decile", "sku_count", "decile_amount", "cumulative_pct"], "decile")
     si = RP.structure_intro(t)
     ctx = RP.operating_context(t)
-    j = head
+    # one row per (store, period) in every block: union + one grouped
+    # first(ignorenulls) instead of a chain of joins (one shuffle)
+    u = head.withColumn("_grain", F.lit(True))
     for part in [hdr, tiers, cats, top, brands, pareto, si, ctx]:
-        j = j.join(part, G, "left")
+        u = u.unionByName(part, allowMissingColumns=True)
+    cols = [c for c in u.columns if c not in G]
+    j = (u.groupBy(*G).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+         .filter(F.col("_grain")))
     doc = F.struct(
         "period", "period_label", "store_code", "trend_months",
         F.struct(F.col("revenue").alias("total_amount"), F.col("units").alias("total_qty"),

@@ -118,12 +118,20 @@ def build_deck_metrics(t: Tables) -> DataFrame:
     conc = (RP.sku_pareto(t).filter(F.col("decile") == 2)
             .select(*G, F.col("cumulative_pct").alias("top20_pct")))
     ctx = RP.operating_context(t).drop("miniprogram_leads")
-    chan = _asof(head.select(*G), _channel_moms(t), ["export_mom", "local_mom"])
-    chan_now = _channel_moms(t).select(*G, "ex_pct")
-    out = head
-    for part in [m, si, cat, prem, brand, milk, pick, func, conc, ctx, chan, chan_now]:
-        out = out.join(part, G, "left")
-    return out
+    moms = _channel_moms(t)
+    chan = _asof(head.select(*G), moms, ["export_mom", "local_mom"])
+    chan_now = moms.select(*G, "ex_pct")
+    # Every block has at most one row per (store, period): stitch them with a
+    # union and one grouped first(ignorenulls) — one shuffle instead of a
+    # chain of joins — keeping the headline's grain.
+    parts = [head.withColumn("_grain", F.lit(True)), m, si, cat, prem, brand, milk, pick,
+             func, conc, ctx, chan, chan_now]
+    u = parts[0]
+    for part in parts[1:]:
+        u = u.unionByName(part, allowMissingColumns=True)
+    cols = [c for c in u.columns if c not in G]
+    out = u.groupBy(*G).agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+    return out.filter(F.col("_grain")).drop("_grain")
 
 
 def fallback_texts(t: Tables) -> DataFrame:
