@@ -16,13 +16,15 @@ SHEET = ["store_id", "year"]
 
 
 def sales_sheets(t: Tables, with_total: bool) -> DataFrame:
-    """The wide exports as they arrive (all cells text), stored once."""
+    """The wide exports as they arrive (all cells text), stored once; the
+    export without a total block is the same sheet minus those columns."""
     from ..sources import warehouse
     from ..sources.star import _inputs
-    return warehouse.materialized(
-        t.spark, f"sales_sheets_{'wide' if with_total else 'narrow'}",
+    sheets = warehouse.materialized(
+        t.spark, "sales_sheets",
         _inputs(t, ["lineitem", "supplier", "nation", "part", "region"]),
-        lambda: wide.build_sales_sheets(t, with_total))
+        lambda: wide.build_sales_sheets(t, True))
+    return sheets if with_total else sheets.drop(*wide.TOTAL_COLS)
 
 
 def channel_sheets(t: Tables) -> DataFrame:
