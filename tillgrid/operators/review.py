@@ -175,14 +175,17 @@ def type_counts(t: Tables) -> DataFrame:
 
 def reviewed_seed(t: Tables, rules: vocab.RuleSet = vocab.FIXTURE_RULES) -> DataFrame:
     """Conflicts across all months -> first month per SKU, minus SKU
-    overrides, with a pending decision."""
-    mp = _month_products(t).select("period", "sku_code", "brand", "product_desc").distinct()
-    checked = C.conflicts(mp, star.brand_categories(t), rules) \
+    overrides, with a pending decision.
+
+    The verdict depends only on the SKU's brand and name, so it is computed
+    once per SKU; the first month is a grouped min over the facts (a
+    partial aggregate) — no regex runs per (month, SKU) row."""
+    checked = C.conflicts(star.products(t), star.brand_categories(t), rules) \
         .filter(F.col("verdict").startswith("CONFLICT"))
-    first = C.first_per_key(checked.select("sku_code", "period", "brand", "product_desc",
-                                           "verdict"), ["sku_code"], ["period"])
-    return (first.join(star.sku_overrides(t), "sku_code", "left_anti")
-            .select("sku_code", "brand", "product_desc", F.col("period").alias("first_seen"),
+    first_month = star.fact_sales(t).groupBy("sku_code").agg(F.min("period").alias("first_seen"))
+    return (checked.join(first_month, "sku_code")
+            .join(star.sku_overrides(t), "sku_code", "left_anti")
+            .select("sku_code", "brand", "product_desc", "first_seen",
                     F.lit("pending").alias("decision"), F.col("verdict").alias("note")))
 
 

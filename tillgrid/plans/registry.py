@@ -188,6 +188,18 @@ def sql_queries() -> dict[str, Query]:
     return {f"sql_{n}": q(n) for n in analysis.SQL}
 
 
+def build_star(spark: SparkSession, sf_dir: str) -> None:
+    """The import step: write every stored table for these inputs (no-op when
+    they exist for this input and code version)."""
+    from ..operators import document, ingest, narrative, textcheck
+    t = _t(spark, sf_dir)
+    for df in (star.fact_sales(t), star.dim_product(t), star.sales(t), star.fact_channel(t),
+               ingest.sales_sheets(t, True), ingest.channel_sheets(t),
+               textcheck.report_numbers(t), narrative.deck_metrics(t),
+               document.report_documents(t)):
+        df.limit(1).collect()  # the tables are written when first referenced
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q.update(report_queries())
