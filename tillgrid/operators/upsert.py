@@ -41,22 +41,23 @@ def upsert_columns(old: DataFrame, new: DataFrame, key: str, update: list[str],
                    keep: dict[str, Column]) -> DataFrame:
     """K1: for keys in ``new`` overwrite the ``update`` columns; columns in
     ``keep`` are left alone on existing rows and take the given default on
-    inserted rows (e.g. product_type survives a re-import, T15)."""
-    n = new.select(key, *[F.col(c).alias(f"_new_{c}") for c in update],
-                   F.lit(True).alias("_in_new"))
-    j = old.join(n, key, "full")
-    hit = F.col("_in_new").isNotNull()
-    cols = [F.col(key)]
-    for c in old.columns:
-        if c == key:
-            continue
-        if c in update:
-            cols.append(F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c))
-        elif c in keep:
-            cols.append(F.coalesce(F.col(c), keep[c]).alias(c))
-        else:
-            cols.append(F.col(c))
-    return j.select(*cols)
+    inserted rows (e.g. product_type survives a re-import, T15).
+
+    The dimension is never shuffled as a whole: rows whose key is not in the
+    batch pass through a semi/anti filter against the batch's key set (small,
+    so the planner can broadcast it); only the matching rows are joined."""
+    keys = new.select(key).distinct()
+    untouched = old.join(keys, key, "left_anti")
+    touched = old.join(keys, key, "left_semi")
+    n = new.select(key, *[F.col(c).alias(f"_new_{c}") for c in update])
+    updated = touched.join(n, key).select(
+        *[F.col(f"_new_{c}").alias(c) if c in update else F.col(c) for c in old.columns])
+    inserted = (new.join(touched.select(key), key, "left_anti")
+                .select(*[F.col(c) if c in update or c == key
+                          else (keep[c] if c in keep else F.lit(None)).cast(
+                              old.schema[c].dataType).alias(c)
+                          for c in old.columns]))
+    return untouched.unionByName(updated).unionByName(inserted)
 
 
 def update_join(dim: DataFrame, values: DataFrame, key: str, col: str) -> tuple[DataFrame, DataFrame]:

@@ -87,7 +87,7 @@ SELECT coalesce(o.sku_code, n.sku_code) AS sku_code,
        CASE WHEN n.sku_code IS NOT NULL THEN n.tier ELSE o.tier END AS tier,
        CASE WHEN n.sku_code IS NOT NULL THEN n.shipping_channel ELSE o.shipping_channel END
            AS shipping_channel,
-       coalesce(o.product_type, 'not_applicable') AS product_type
+       CASE WHEN o.sku_code IS NULL THEN 'not_applicable' ELSE o.product_type END AS product_type
 FROM dim_product o FULL JOIN newb n ON o.sku_code = n.sku_code""")
     s["load_product_types"] = with_star(TYPES + """
 SELECT d.sku_code, d.category, coalesce(v.product_type, 'not_applicable') AS product_type
