@@ -90,8 +90,11 @@ def test_commas_and_prefix_month_words(spark):
     assert extract(spark, "down -7 points") == [-7.0]
 
 
-def test_bucketed_join_equals_brute_force(spark):
-    """Tolerance join on value buckets == nested-loop definition."""
+@pytest.mark.parametrize("limit", ["5000000", "0"])
+def test_bucketed_join_equals_brute_force(spark, limit):
+    """Both tolerance paths (broadcast bucket maps, bucketed join) ==
+    nested-loop definition."""
+    spark.conf.set("spark.tillgrid.maxBroadcastRows", limit)
     import random
 
     from tillgrid.operators import grounding as GR
@@ -111,3 +114,4 @@ def test_bucketed_join_equals_brute_force(spark):
         else:
             want = "missing"
         assert got[i] == want, (i, v)
+    spark.conf.set("spark.tillgrid.maxBroadcastRows", "5000000")

@@ -71,10 +71,65 @@ def _bucket(v: Column) -> Column:
     return F.when(F.abs(v) < HUGE, F.floor(v).cast("double")).otherwise(v)
 
 
+def _status(ok: Column, sg: Column) -> tuple[Column, Column]:
+    status = F.when(ok, F.lit("ok")).when(sg, F.lit("sign_only")).otherwise(F.lit("missing"))
+    msg = (F.when(ok, F.lit(None).cast("string"))
+           .when(sg, F.lit(" matches in magnitude but not sign — check the direction word "
+                           "(rose / fell) is right"))
+           .otherwise(F.lit(" does not appear in the source data — verify before publishing")))
+    return status, msg
+
+
 def classify_tokens(tokens: DataFrame, allowed: DataFrame, keys: list[str],
                     tol: float = vocab.GROUNDING_TOLERANCE) -> DataFrame:
     """Status per token — ok / sign_only / missing — with a message.
 
+    The allow-lists are counted first.  Up to ``spark.tillgrid.maxBroadcastRows``
+    values they are broadcast as one row per key holding bucket -> values
+    maps and every token is tested in place (no shuffle of the tokens, which
+    may be far more numerous than the allowed values); beyond that the
+    bucketed join below is used."""
+    a = allowed.select(*keys, "a").distinct()
+    limit = int(tokens.sparkSession.conf.get("spark.tillgrid.maxBroadcastRows", "5000000"))
+    if a.count() <= limit:
+        return _classify_in_place(tokens, a, keys, tol)
+    return _classify_joined(tokens, a, keys, tol)
+
+
+def _bucket_maps(a: DataFrame, keys: list[str], col: Column, name: str) -> DataFrame:
+    v = a.select(*keys, col.alias("v")).distinct()
+    per = v.groupBy(*keys, _bucket(F.col("v")).alias("b")).agg(F.collect_list("v").alias("vs"))
+    return per.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("b", "vs")))
+                                  .alias(name))
+
+
+def _near(m: Column, v: Column, tol: float) -> Column:
+    buckets = F.when(F.abs(v) < HUGE,
+                     F.transform(F.sequence(F.floor(v - 2 * tol), F.floor(v + 2 * tol)),
+                                 lambda b: b.cast("double"))).otherwise(F.array(v))
+    cands = F.flatten(F.transform(buckets, lambda b: F.coalesce(
+        F.try_element_at(m, b), F.array().cast("array<double>"))))
+    return F.coalesce(F.exists(cands, lambda x: F.abs(v - x) <= tol), F.lit(False))
+
+
+def _classify_in_place(tokens: DataFrame, a: DataFrame, keys: list[str],
+                       tol: float) -> DataFrame:
+    maps = (_bucket_maps(a, keys, F.col("a"), "m_ok")
+            .join(_bucket_maps(a, keys, F.abs("a"), "m_sg"), keys, "full"))
+    cols = tokens.columns
+    j = tokens.join(F.broadcast(maps), keys, "left")  # counted above: bounded
+    ok = F.when(F.col("m_ok").isNull(), F.lit(False)).otherwise(_near(F.col("m_ok"),
+                                                                      F.col("value"), tol))
+    sg = F.when(F.col("m_sg").isNull(), F.lit(False)).otherwise(
+        _near(F.col("m_sg"), F.abs(F.col("value")), tol))
+    status, msg = _status(ok, sg)
+    return j.select(*cols, status.alias("status"), msg.alias("message"))
+
+
+def _classify_joined(tokens: DataFrame, a: DataFrame, keys: list[str],
+                     tol: float) -> DataFrame:
+    """Bucketed join variant for allow-lists too large to broadcast.
+
     One candidate join serves both tests: the allowed values are tagged
     (signed value -> 'ok', magnitude -> 'sign') and bucketed by floor(value);
     each token is fanned out over the buckets its tolerance window touches,
@@ -82,7 +137,6 @@ def classify_tokens(tokens: DataFrame, allowed: DataFrame, keys: list[str],
     flags are folded per token with one grouped max over (tokens ∪ hits) —
     a single shuffle of the token side, no join back."""
     cols = tokens.columns
-    a = allowed.select(*keys, "a").distinct()
     tagged = (a.select(*keys, F.col("a").alias("av"), F.lit("ok").alias("tag"))
               .unionByName(a.select(*keys, F.abs("a").alias("av"), F.lit("sign").alias("tag")))
               .distinct()
@@ -103,12 +157,7 @@ def classify_tokens(tokens: DataFrame, allowed: DataFrame, keys: list[str],
     base = tokens.select(*cols, F.lit(0).alias("_ok"), F.lit(0).alias("_sg"))
     flags = (base.unionByName(hits).groupBy(*cols)
              .agg(F.max("_ok").alias("_ok"), F.max("_sg").alias("_sg")))
-    status = (F.when(F.col("_ok") == 1, F.lit("ok")).when(F.col("_sg") == 1, F.lit("sign_only"))
-              .otherwise(F.lit("missing")))
-    msg = (F.when(F.col("_ok") == 1, F.lit(None).cast("string"))
-           .when(F.col("_sg") == 1, F.lit(" matches in magnitude but not sign — check the "
-                                          "direction word (rose / fell) is right"))
-           .otherwise(F.lit(" does not appear in the source data — verify before publishing")))
+    status, msg = _status(F.col("_ok") == 1, F.col("_sg") == 1)
     return flags.select(*cols, status.alias("status"), msg.alias("message"))
 
 

@@ -102,9 +102,14 @@ def document_grounding(t: Tables) -> DataFrame:
     """G1-G5 over every document: numbers checked against all headline
     figures of all stores and months (one shared allow-list: the bucketed
     join spreads it over value buckets)."""
-    docs = t.documents.select("doc_id", "text").withColumn("scope", F.lit("all"))
+    # one shared scope; derived from the row (not a bare literal) so the
+    # planner keeps an equi-join on it instead of folding it into a
+    # nested-loop join
+    docs = t.documents.select("doc_id", "text").withColumn(
+        "scope", F.when(F.col("doc_id").isNotNull(), F.lit("all")))
     toks = GR.explode_tokens(docs, ["scope", "doc_id"])
-    r = report_numbers(t).withColumn("scope", F.lit("all"))
+    r = report_numbers(t).withColumn(
+        "scope", F.when(F.col("store_id").isNotNull(), F.lit("all")))
     allowed = (GR.allowed_from_numbers(r, ["scope"], NUM_COLS)
                .unionByName(GR.prose_numbers(r, ["scope"])))
     found = GR.classify_tokens(toks, allowed, ["scope"])
