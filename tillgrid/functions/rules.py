@@ -38,15 +38,24 @@ def verdict(brand_category: str | Column, guess: str | Column) -> Column:
     CONFLICT(ambiguous) -> match -> CONFLICT(different)."""
     bc = col(brand_category)
     g = F.coalesce(col(guess), F.lit(""))
-    return (F.when(bc == vocab.EXCLUDED_CATEGORY, F.lit("excluded"))
-            .when(bc.isNull() | (bc == ""), F.lit("brand_not_classified"))
-            .when(g == "", F.lit("no_keyword_match"))
-            .when(g.startswith("ambiguous"),
-                  F.concat(F.lit("CONFLICT - name matches several categories ("), g,
-                           F.lit(") vs brand="), bc))
-            .when(g == bc, F.lit("match"))
-            .otherwise(F.concat(F.lit("CONFLICT - name suggests "), g,
-                                F.lit(", brand default is "), bc)))
+    return (F.when(bc == vocab.EXCLUDED_CATEGORY, F.lit(vocab.VERDICT_EXCLUDED))
+            .when(bc.isNull() | (bc == ""), F.lit(vocab.VERDICT_NO_BRAND))
+            .when(g == "", F.lit(vocab.VERDICT_NO_KEYWORD))
+            .when(g.startswith("ambiguous"), fill(vocab.VERDICT_AMBIGUOUS, guess=g, brand=bc))
+            .when(g == bc, F.lit(vocab.VERDICT_MATCH))
+            .otherwise(fill(vocab.VERDICT_DIFFERENT, guess=g, brand=bc)))
+
+
+def fill(template: str, **parts: Column) -> Column:
+    """A fixed message template with column values in its {placeholders}."""
+    import re
+    pieces = []
+    for i, tok in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2:
+            pieces.append(parts[tok])
+        elif tok:
+            pieces.append(F.lit(tok))
+    return F.concat(*pieces)
 
 
 def is_local_pickup(tag: str | Column, export_tags: list[str] = vocab.EXPORT_TAGS) -> Column:
@@ -98,9 +107,9 @@ def tier_for(resolved: str | Column, desc: str | Column, tag: str | Column,
     d = F.lower(F.coalesce(col(desc), F.lit("")))
     pickup = is_local_pickup(tag, rules.export_tags)
     prem = F.struct(F.lit("premium").alias("tier"),
-                    F.concat(b, F.lit(": whole brand is premium")).alias("reason"))
+                    fill(vocab.TIER_WHOLE_BRAND, brand=b).alias("reason"))
     out = (F.when(b.isNull(), F.struct(F.lit("regular").alias("tier"),
-                                       F.lit("brand has no tier rule").alias("reason")))
+                                       F.lit(vocab.TIER_NO_RULE).alias("reason")))
            .when(b.isin(*rules.premium_brands), prem))
     for rule in rules.sku_rules:
         if rule.keywords is None:
@@ -109,18 +118,20 @@ def tier_for(resolved: str | Column, desc: str | Column, tag: str | Column,
             hit = F.filter(F.array(*[F.lit(k) for k in rule.keywords]), lambda k: d.contains(k))
             body = F.when(F.size(hit) > 0, F.struct(
                 F.lit("premium").alias("tier"),
-                F.concat(F.lit(rule.note + " (matched "), F.array_join(hit, "/"), F.lit(")"))
+                fill(vocab.TIER_MATCHED, note=F.lit(rule.note), hits=F.array_join(hit, "/"))
                 .alias("reason"))).otherwise(F.struct(
                     F.lit("regular").alias("tier"),
-                    F.lit(f"{rule.brand}: no keyword match ({'/'.join(rule.keywords)})")
+                    F.lit(vocab.TIER_NO_KEYWORD.format(brand=rule.brand,
+                                                       keywords="/".join(rule.keywords)))
                     .alias("reason")))
         if rule.local_pickup_only:
             body = F.when(~pickup, F.struct(
                 F.lit("regular").alias("tier"),
-                F.lit(f"{rule.brand}: ships out, rule is pickup-only").alias("reason"))
+                F.lit(vocab.TIER_SHIPS_OUT.format(brand=rule.brand)).alias("reason"))
             ).otherwise(body)
         out = out.when(b == rule.brand, body)
-    return out.otherwise(F.struct(F.lit("regular").alias("tier"), F.lit("default").alias("reason")))
+    return out.otherwise(F.struct(F.lit("regular").alias("tier"),
+                                  F.lit(vocab.TIER_DEFAULT).alias("reason")))
 
 
 def product_type_for(category: str | Column, desc: str | Column, rules: vocab.RuleSet) -> Column:

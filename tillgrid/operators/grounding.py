@@ -74,9 +74,8 @@ def _bucket(v: Column) -> Column:
 def _status(ok: Column, sg: Column) -> tuple[Column, Column]:
     status = F.when(ok, F.lit("ok")).when(sg, F.lit("sign_only")).otherwise(F.lit("missing"))
     msg = (F.when(ok, F.lit(None).cast("string"))
-           .when(sg, F.lit(" matches in magnitude but not sign — check the direction word "
-                           "(rose / fell) is right"))
-           .otherwise(F.lit(" does not appear in the source data — verify before publishing")))
+           .when(sg, F.lit(vocab.GROUNDING_SIGN_ONLY))
+           .otherwise(F.lit(vocab.GROUNDING_MISSING)))
     return status, msg
 
 

@@ -1,5 +1,8 @@
 """Rule-composed report sentences (N1-N15) and the text document.
 
+FIXED VALUES: the quoted sentence fragments below are the source's deck
+wording and must stay word for word; only the numbers are computed.
+
 One row per (store, period, field).  Every sentence is a projection over a
 per-(store, period) metrics row assembled from the report blocks; nothing is
 formatted on the driver."""

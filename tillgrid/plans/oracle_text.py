@@ -11,8 +11,8 @@ TOKEN_RE = q(f"(-?[0-9][0-9,]*\\.?[0-9]*)([ \\t\\n\\r\\f\\x0B]*(?i:{DATE_ALT}))?
 NUM_COLS = ["revenue", "units", "orders", "avg_order_value", "prev_amount", "amount_mom_pct",
             "qty_mom_pct"]
 PROSE = ", ".join(f"{float(x)}" for x in vocab.NARRATIVE_NUMBERS)
-OK_MSG = " matches in magnitude but not sign — check the direction word (rose / fell) is right"
-MISS_MSG = " does not appear in the source data — verify before publishing"
+OK_MSG = vocab.GROUNDING_SIGN_ONLY
+MISS_MSG = vocab.GROUNDING_MISSING
 
 NUMBERS = f"""
 , h AS (SELECT store_id, period, CAST(SUM(amount) AS DOUBLE) AS revenue, CAST(SUM(qty) AS BIGINT) AS units,
