@@ -196,7 +196,8 @@ def build_star(spark: SparkSession, sf_dir: str) -> None:
     # each stored table is written when it is first referenced
     for table in (star.fact_sales, star.dim_product, star.sales, star.fact_channel,
                   lambda t: ingest.sales_sheets(t, True), ingest.channel_sheets,
-                  textcheck.report_numbers, narrative.deck_metrics, document.report_documents):
+                  textcheck.report_numbers, narrative.deck_metrics, document.report_documents,
+                  document.document_schema):
         table(t)
 
 
