@@ -20,7 +20,8 @@ def test_every_oracle_has_a_query():
 
 FAST = ["headline", "mom_sql", "tier_split", "top_products", "sku_pareto", "sheet_unpivot",
         "classified_products", "new_conflicts", "upsert_fact_sales", "grounding_findings",
-        "fallback_texts"]
+        "fallback_texts", "deck_texts", "sql_headline", "sql_tier_split", "category_labels",
+        "upsert_fact_channel", "upsert_dim_product", "brand_carry_forward", "document_grounding"]
 
 
 @pytest.mark.parametrize("name", FAST)
