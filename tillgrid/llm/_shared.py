@@ -10,6 +10,8 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,6 +168,16 @@ def batches_of_text(texts: list, size: int = SLICE) -> Iterator[tuple[int, int]]
         yield at, len(texts)
 
 
+def parts_of(frame: pa.RecordBatch, column: int, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Slices of a record batch with about ``size`` bytes of text each."""
+    length = pc.fill_null(pc.binary_length(frame.column(column)), 0).to_numpy(zero_copy_only=False)
+    go = np.cumsum(length.astype(np.int64) + 1) // size
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(go)) + 1, [frame.num_rows]])
+    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        if hi > lo:
+            yield frame.slice(lo, hi - lo)
+
+
 def joined(texts: list) -> tuple[bytes, np.ndarray]:
     """Texts with a line feed behind each, and where each begins (with the end as last)."""
     lengths = np.fromiter((len(x or b"") + 1 for x in texts), np.int64, len(texts))

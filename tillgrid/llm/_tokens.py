@@ -1,33 +1,56 @@
-"""Token ids by the ``tokenizers`` library, remembered per white-space chunk.
-
-The vocabulary's pre-tokenizer drops white space, so a text's ids are the ids
-of its chunks in turn.  Each new chunk is encoded by the library once per
-worker; a chunk of letters with ASCII punctuation behind it is encoded as the
-two pieces that the pre-tokenizer makes of it.  Texts with the rare white
-space on which Python and the tokenizer disagree are encoded whole.
+"""Token ids by the ``tokenizers`` library, remembered per piece of text.
+
+The vocabulary's pre-tokenizer drops white space and encodes runs of letters,
+digits and other signs by themselves, so a text's ids are the ids of its runs in
+turn.  Texts in ASCII and Latin letters are cut into such runs as bytes, a block
+of texts at a time; the block's distinct runs are encoded by the library, unless
+the worker remembers them, and all ids are gathered by array operations.  Texts
+for which that cut is not surely the pre-tokenizer's (apostrophes, other scripts
+and signs) go by white-space chunks, and those with the rare white space on
+which Python and the tokenizer disagree are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import string
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 
-#: Chunks and word cores remembered per worker; beyond it the store starts anew.
-REMEMBERED = 300_000
+from ._shared import runs
+
+#: Pieces in a worker's store (some 200 bytes each); there are two stores at most.
+REMEMBERED = 400_000
 #: Characters of a text handled at a time.
 STRIDE = 1 << 21
 
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: What a text cut into byte runs must not hold: apostrophes (contractions), the separators
+#: above, and beyond ASCII all but the Latin letters whose lower case is one letter.
+_NOT_PLAIN = re.compile("['\x1c-\x1f\x80-\xbf\xd7\xf7\u0130\u0250-\U0010ffff]")
 _SPACE = re.compile(r"[ \t\r\n]")
 _LOADED: dict[str, "Encoder"] = {}
 
 
+def _run_classes() -> np.ndarray:
+    """Byte classes: 0 white space, 1 letters, 2 digits, 3 other signs."""
+    c = np.full(256, 3, np.uint8)
+    for b in b" \t\n\x0b\x0c\r":
+        c[b] = 0
+    c[ord("0"):ord("9") + 1] = 2
+    c[ord("a"):ord("z") + 1] = 1
+    c[0x80:] = 1
+    return c
+
+
+_CLASSES = _run_classes()
+
+
 class Encoder:
-    """Ids of texts as little-endian bytes, two or four to an id."""
+    """Ids of texts as little-endian integers of two or four bytes."""
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -35,33 +58,37 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         top = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
         self.dtype = np.dtype("<u2") if top < 1 << 16 else np.dtype("<u4")
-        self.chunks: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: set[str]) -> None:
-        """Remember every chunk in ``new``; where that gets too many, only those."""
-        if len(self.chunks) + len(new) > REMEMBERED:
-            self.chunks = {}
-        if len(self.cores) > REMEMBERED:
-            self.cores = {}
-        pieces: dict[str, tuple[str, ...]] = {}
-        for chunk in new:
-            plain = chunk.lower() if chunk.isascii() else chunk
-            core = plain.rstrip(string.punctuation)
-            # a dotted capital I leaves a mark behind its letter, which joins the tail
-            if core and len(core) < len(plain) and core.isalpha() and core[-1] < "\u0250" \
-                    and core[-1] != "\u0130":
-                pieces[chunk] = (core, plain[len(core):])
-            else:
-                pieces[chunk] = (plain,) if plain.isalpha() else (chunk,)
-        unknown = list({p for x in pieces.values() for p in x} - self.cores.keys())
-        self.cores.update(zip(unknown, self._encode(unknown)))
-        for chunk, parts in pieces.items():
-            self.chunks[chunk] = b"".join(map(self.cores.__getitem__, parts))
+        self.special = [x.encode() for x in self._special()]
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _special(self) -> list[str]:
+        """Strings that the library cuts out of a text before all else."""
+        return [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids = array(code, e.ids)
+            if sys.byteorder == "big":
+                ids.byteswap()
+            yield ids.tobytes()
+
+    def pieces(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of distinct pieces of text, from the store or the library.  A full store
+        becomes the old one, from which pieces that come again are taken back."""
+        ids = list(map(self.known.get, texts))
+        if None not in ids:
+            return ids
+        new = [t for t, x in zip(texts, ids) if x is None]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.old, self.known = self.known, {}
+        held = list(map(self.old.get, new))
+        missing = [t for t, x in zip(new, held) if x is None]
+        got = dict(zip(missing, self._encode([t.decode() for t in missing])))
+        got.update((t, x) for t, x in zip(new, held) if x is not None)
+        self.known.update(got)
+        return [got[t] if x is None else x for t, x in zip(texts, ids)]
 
     def _strides(self, text: str) -> Iterator[str]:
         at = 0
@@ -73,45 +100,58 @@ class Encoder:
             at = cut.start()
         yield text[at:] if at else text
 
-    def encode(self, texts: list[str | None], end: int | None = None) -> Iterator[np.ndarray]:
-        """The ids of each text (null: empty), with ``end`` behind if given."""
-        tail = b"" if end is None else np.array([end], self.dtype).tobytes()
-        for text in texts:
-            text = text or ""
-            if _ODD_SPACE.search(text):
-                yield np.frombuffer(self._encode([text])[0] + tail, self.dtype)
-                continue
-            out = []
-            for part in self._strides(text):
-                words = part.split()
-                try:
-                    out.append(b"".join(map(self.chunks.__getitem__, words)))
-                except KeyError:
-                    self._learn(set(words))
-                    out.append(b"".join(map(self.chunks.__getitem__, words)))
-            out.append(tail)
-            yield np.frombuffer(b"".join(out), self.dtype)
-
-    def encode_ahead(self, texts: list[str | None], end: int | None = None,
-                     block: int = 1 << 20) -> Iterator[np.ndarray]:
-        """As ``encode``; new chunks are learnt for about ``block`` characters
-        of texts together, which saves library calls."""
+    def _whole(self, text: str) -> np.ndarray:
+        """The ids of one text, by white-space chunks where that is sure."""
+        if _ODD_SPACE.search(text):
+            return np.frombuffer(next(self._encode([text])), self.dtype)
+        out = []
+        for part in self._strides(text):
+            words = part.encode().split()
+            own = list(set(words))
+            ids = dict(zip(own, self.pieces(own)))
+            out.append(b"".join(map(ids.__getitem__, words)))
+        return np.frombuffer(b"".join(out), self.dtype)
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of texts that byte runs cut as the pre-tokenizer does."""
+        raw = [(t.lower() + "\n").encode() for t in texts]
+        data = b"".join(raw)
+        starts, ends, h = runs(data, _CLASSES)
+        _, first, which = np.unique(h, return_index=True, return_inverse=True)
+        ids = self.pieces([data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        begin = np.cumsum(size) - size
+        n = size[which]
+        after = np.cumsum(n)
+        total = int(after[-1]) if len(after) else 0
+        out = flat[np.repeat(begin[which] - after + n, n) + np.arange(total)]
+        # where the ids of each text end
+        text_end = np.cumsum([len(r) for r in raw])
+        last = np.searchsorted(starts, text_end)
+        cut = np.concatenate([[0], after])[last]
+        return np.split(out, cut[:-1])
+
+    def _is_plain(self, text: str) -> bool:
+        return len(text) <= STRIDE and not _NOT_PLAIN.search(text) and not any(
+            s.decode() in text for s in self.special)
+
+    def encode(self, texts: list[str | None], end: int | None = None,
+               block: int = 1 << 22) -> Iterator[np.ndarray]:
+        """The ids of each text (null: empty), with ``end`` behind if given.
+        Texts of about ``block`` characters are cut together."""
+        tail = np.array([] if end is None else [end], self.dtype)
         at = 0
         while at < len(texts):
-            size, to, words = 0, at, set()
-            while to < len(texts) and size < block:
-                text = texts[to] or ""
-                size += len(text)
-                if len(text) < STRIDE:
-                    words.update(text.split())
-                to += 1
-            new = words - self.chunks.keys()
-            if len(self.chunks) + len(new) > REMEMBERED:
-                self._learn(words)
-            elif new:
-                self._learn(new)
-            yield from self.encode(texts[at:to], end)
-            at = to
+            size, held = 0, []
+            while at < len(texts) and size < block:
+                held.append(texts[at] or "")
+                size += len(held[-1])
+                at += 1
+            plain = [self._is_plain(t) for t in held]
+            easy = iter(self._plain([t for t, p in zip(held, plain) if p]))
+            for text, p in zip(held, plain):
+                yield np.concatenate([next(easy) if p else self._whole(text), tail])
 
 
 def encoder(path: str) -> Encoder:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import scratch, settle
+from ._shared import parts_of, scratch, settle
 from ._tokens import check_id, encoder
 
 MAGIC = b"TGEF"
@@ -172,10 +172,9 @@ def _writer(folder: str, path: str, end: int, file_ids: int):
         fs.create_dir(root, recursive=True)
         coder = encoder(path)
         for frame in frames:
-            for i in range(0, frame.num_rows, 256):
-                part = frame.slice(i, 256)
+            for part in parts_of(frame, 1):
                 texts = part.column(1).to_pylist()
-                for doc, ids in zip(part.column(0).to_pylist(), coder.encode_ahead(texts, end)):
+                for doc, ids in zip(part.column(0).to_pylist(), coder.encode(texts, end)):
                     held.append(ids)
                     docs.append(doc)
                     size += len(ids)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import settle
+from ._shared import parts_of, settle
 from ._tokens import check_id, encoder
 
 SCHEMA = ("doc_id long, start long, length long, input_ids array<int>, ids_crc32 long, "
@@ -76,10 +76,9 @@ def _cutter(path: str, end: int, longest: int):
         rows = _Rows()
         coder = encoder(path)
         for frame in frames:
-            for i in range(0, frame.num_rows, 256):
-                part = frame.slice(i, 256)
+            for part in parts_of(frame, 1):
                 texts = part.column(1).to_pylist()
-                for doc, ids in zip(part.column(0).to_pylist(), coder.encode_ahead(texts, end)):
+                for doc, ids in zip(part.column(0).to_pylist(), coder.encode(texts, end)):
                     at = 0
                     for n in decompose(len(ids), longest):
                         piece = ids[at:at + n]
