@@ -168,14 +168,28 @@ def batches_of_text(texts: list, size: int = SLICE) -> Iterator[tuple[int, int]]
         yield at, len(texts)
 
 
-def parts_of(frame: pa.RecordBatch, column: int, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
-    """Slices of a record batch with about ``size`` bytes of text each."""
-    length = pc.fill_null(pc.binary_length(frame.column(column)), 0).to_numpy(zero_copy_only=False)
+def _cuts(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    length = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     go = np.cumsum(length.astype(np.int64) + 1) // size
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(go)) + 1, [frame.num_rows]])
-    for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
-        if hi > lo:
-            yield frame.slice(lo, hi - lo)
+    cut = np.concatenate([[0], np.flatnonzero(np.diff(go)) + 1, [len(texts)]])
+    return ((lo, hi) for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()) if hi > lo)
+
+
+def parts_of(frame: pa.RecordBatch, column: int, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Slices of a record batch with about ``size`` bytes of text each."""
+    for lo, hi in _cuts(frame.column(column), size):
+        yield frame.slice(lo, hi - lo)
+
+
+def text_lists(texts: pa.Array, size: int = 1 << 22) -> Iterator[list]:
+    """The texts as bytes (or None), in lists of about ``size`` bytes each."""
+    for lo, hi in _cuts(texts, size):
+        yield texts.slice(lo, hi - lo).cast(pa.binary()).to_pylist()
+
+
+def tidy() -> None:
+    """Give memory that a finished task no longer needs back to the system."""
+    pa.default_memory_pool().release_unused()
 
 
 def joined(texts: list) -> tuple[bytes, np.ndarray]:

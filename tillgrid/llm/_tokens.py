@@ -23,7 +23,7 @@ import numpy as np
 from ._shared import runs
 
 #: Pieces in a worker's store (some 200 bytes each); there are two stores at most.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Characters of a text handled at a time.
 STRIDE = 1 << 21
 
@@ -137,7 +137,7 @@ class Encoder:
             s.decode() in text for s in self.special)
 
     def encode(self, texts: list[str | None], end: int | None = None,
-               block: int = 1 << 22) -> Iterator[np.ndarray]:
+               block: int = 1 << 21) -> Iterator[np.ndarray]:
         """The ids of each text (null: empty), with ``end`` behind if given.
         Texts of about ``block`` characters are cut together."""
         tail = np.array([] if end is None else [end], self.dtype)

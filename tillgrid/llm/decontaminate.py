@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import lower_words, settle
+from ._shared import lower_words, settle, text_lists
 
 STRIDE = 1 << 22
 
@@ -135,7 +135,7 @@ def _finder(tables):
     def find(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ready = searches(*tables.value)
         for column in texts:
-            rows = [scan(x, ready) for x in column.cast(pa.binary()).to_pylist()]
+            rows = [scan(x, ready) for part in text_lists(column) for x in part]
             yield pa.StructArray.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()),
                  pa.array([[{"start": s, "end": e} for s, e in r[1]] for r in rows], _SPANS),

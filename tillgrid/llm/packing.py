@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import parts_of, settle
+from ._shared import parts_of, settle, tidy
 from ._tokens import check_id, encoder
 
 SCHEMA = ("doc_id long, start long, length long, input_ids array<int>, ids_crc32 long, "
@@ -87,9 +87,10 @@ def _cutter(path: str, end: int, longest: int):
                         rows.add(piece, doc, at, zlib.crc32(piece.astype("<u4").tobytes()),
                                  len(ids), task, place)
                         at += n
-                        if rows.n_ids >= 1 << 20:
+                        if rows.n_ids >= 1 << 18:
                             yield rows.batch()
         yield rows.batch()
+        tidy()
     return cut
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import batches_of_text, joined, mix, runs, settle
+from ._shared import batches_of_text, joined, mix, runs, settle, text_lists
 
 STRIDE = 1 << 22
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -190,9 +190,10 @@ def score(docs: DataFrame, model: Model) -> Column:
             if m.weights is None:
                 out.append(np.full(len(column), m.share))
             else:
-                for first, place, value, n in features(column.cast(pa.binary()).to_pylist(), m.bits):
-                    row = np.repeat(np.arange(n), np.diff(first))
-                    out.append(np.bincount(row, m.weights[place] * value, minlength=n) + m.weights[-1])
+                for part in text_lists(column):
+                    for first, place, value, n in features(part, m.bits):
+                        row = np.repeat(np.arange(n), np.diff(first))
+                        out.append(np.bincount(row, m.weights[place] * value, minlength=n) + m.weights[-1])
                 out = [1 / (1 + np.exp(-np.clip(x, -35, 35))) for x in out]
             yield pa.array(np.concatenate(out) if out else np.zeros(0))
     return of(F.col("text").cast("string"))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._shared import free_name, keyed, settle
+from ._shared import free_name, keyed, settle, text_lists
 
 SEGMENTS = 8
 WIDTH = 64 // SEGMENTS
@@ -68,7 +68,7 @@ def fingerprint(text: Column, shingle: int = 3) -> Column:
     def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
             yield pa.array([int.from_bytes(text_fingerprint(x, shingle), "big", signed=True)
-                            for x in column.cast(pa.binary()).to_pylist()], pa.int64())
+                            for texts_ in text_lists(column) for x in texts_], pa.int64())
     return of(text.cast("string"))
 
 
