@@ -6,6 +6,7 @@ Scratch tables and files go below the shared folder of the session
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -188,8 +189,12 @@ def text_lists(texts: pa.Array, size: int = 1 << 22) -> Iterator[list]:
 
 
 def tidy() -> None:
-    """Give memory that a finished task no longer needs back to the system."""
+    """At a task's end: give what it no longer needs back to the system, so that
+    the worker, which Spark keeps for later tasks, does not hold the task's peak."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def joined(texts: list) -> tuple[bytes, np.ndarray]:

@@ -4,7 +4,7 @@ The vocabulary's pre-tokenizer drops white space and encodes runs of letters,
 digits and other signs by themselves, so a text's ids are the ids of its runs in
 turn.  Texts in ASCII and Latin letters are cut into such runs as bytes, a block
 of texts at a time; the block's distinct runs are encoded by the library, unless
-the worker remembers them, and all ids are gathered by array operations.  Texts
+the task remembers them, and all ids are gathered by array operations.  Texts
 for which that cut is not surely the pre-tokenizer's (apostrophes, other scripts
 and signs) go by white-space chunks, and those with the rare white space on
 which Python and the tokenizer disagree are encoded whole.
@@ -22,7 +22,7 @@ import numpy as np
 
 from ._shared import runs
 
-#: Pieces in a worker's store (some 200 bytes each); there are two stores at most.
+#: Pieces in a task's store (some 200 bytes each); there are two stores at most.
 REMEMBERED = 300_000
 #: Characters of a text handled at a time.
 STRIDE = 1 << 21
@@ -155,12 +155,17 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file."""
+    """The task's encoder for a vocabulary file."""
     if path not in _LOADED:
         _LOADED[path] = Encoder(path)
     return _LOADED[path]
 
 
+def forget() -> None:
+    """Drop the worker's encoders, at the end of a task."""
+    _LOADED.clear()
+
+
 def check_id(path: str, end: int) -> None:
     """Fail where the end id does not fit the ids' width."""
     if not 0 <= end <= np.iinfo(encoder(path).dtype).max:

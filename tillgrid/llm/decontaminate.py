@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import lower_words, settle, text_lists
+from ._shared import lower_words, settle, text_lists, tidy
 
 STRIDE = 1 << 22
 
@@ -142,6 +142,7 @@ def _finder(tables):
                  pa.array([sorted(x for x in r[2] if x is not None) for r in rows],
                           pa.list_(pa.int64()))],
                 ["n_words", "spans", "items"])
+        tidy()
     return find
 
 

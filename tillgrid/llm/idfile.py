@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import parts_of, scratch, settle
-from ._tokens import check_id, encoder
+from ._shared import parts_of, scratch, settle, tidy
+from ._tokens import check_id, encoder, forget
 
 MAGIC = b"TGEF"
 EVERY = 64
@@ -186,6 +186,9 @@ def _writer(folder: str, path: str, end: int, file_ids: int):
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array(n_docs, pa.int64()), pa.array(n_ids, pa.int64())],
             ["file", "n_docs", "n_ids"])
+        del coder
+        forget()
+        tidy()
     return write
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shared import parts_of, settle, tidy
-from ._tokens import check_id, encoder
+from ._tokens import check_id, encoder, forget
 
 SCHEMA = ("doc_id long, start long, length long, input_ids array<int>, ids_crc32 long, "
           "doc_tokens long, task int, place long")
@@ -90,6 +90,8 @@ def _cutter(path: str, end: int, longest: int):
                         if rows.n_ids >= 1 << 18:
                             yield rows.batch()
         yield rows.batch()
+        del coder
+        forget()
         tidy()
     return cut
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import batches_of_text, joined, mix, runs, settle, text_lists
+from ._shared import batches_of_text, joined, mix, runs, settle, text_lists, tidy
 
 STRIDE = 1 << 22
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -153,6 +153,7 @@ def _epoch(model: Ftrl, bits: int):
                     model.learn(place[s], value[s], labels[done + i])
                 done += n
         yield pa.RecordBatch.from_arrays([pa.array([model.dump()], pa.binary())], ["model"])
+        tidy()
     return run
 
 
@@ -196,6 +197,7 @@ def score(docs: DataFrame, model: Model) -> Column:
                         out.append(np.bincount(row, m.weights[place] * value, minlength=n) + m.weights[-1])
                 out = [1 / (1 + np.exp(-np.clip(x, -35, 35))) for x in out]
             yield pa.array(np.concatenate(out) if out else np.zeros(0))
+        tidy()
     return of(F.col("text").cast("string"))
 
 

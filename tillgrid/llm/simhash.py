@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._shared import free_name, keyed, settle, text_lists
+from ._shared import free_name, keyed, settle, text_lists, tidy
 
 SEGMENTS = 8
 WIDTH = 64 // SEGMENTS
@@ -69,6 +69,7 @@ def fingerprint(text: Column, shingle: int = 3) -> Column:
         for column in texts:
             yield pa.array([int.from_bytes(text_fingerprint(x, shingle), "big", signed=True)
                             for texts_ in text_lists(column) for x in texts_], pa.int64())
+        tidy()
     return of(text.cast("string"))
 
 
@@ -161,6 +162,7 @@ def _forest(distance: int, firsts: list[int]):
                 out.append([{"u": int(values[a].view(np.int64)), "v": int(values[b].view(np.int64))}
                             for a, b in linked(values, firsts[k], distance)])
             yield pa.array(out, pa.list_(_PAIR))
+        tidy()
     return forest
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import batches_of_text, constants, joined, mix, runs, settle
+from ._shared import batches_of_text, constants, joined, mix, runs, settle, tidy
 from .quality import sample
 
 FOLDS = 5
@@ -251,6 +251,7 @@ def _features(sent):
                 out[at] = dense([raw[i] for i in at], sent.value[fold])
             yield pa.ListArray.from_arrays(
                 pa.array(np.arange(len(raw) + 1, dtype=np.int32) * len(NAMES)), pa.array(out.ravel()))
+        tidy()
     return of
 
 
