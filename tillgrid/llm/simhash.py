@@ -88,12 +88,13 @@ def choices(distance: int) -> list[tuple[int, int]]:
     """(first segment, mask of the bits that must agree) of every join key.
 
     A chain of c segments with budget b has at most b segments that differ, so
-    c - b agree.  The chain length is the one with the most agreeing segments,
-    the shortest of these."""
+    c - b agree.  The chain is the shortest of which half of all segments
+    agree or, where none reaches that, the one with the most that agree."""
     allowed = budgets(distance)
     if distance >= SEGMENTS:
         raise ValueError("the distance must be below the number of segments")
-    length = max(range(1, SEGMENTS + 1), key=lambda c: (c - allowed[c - 1], -c))
+    agree = lambda c: min(c - allowed[c - 1], SEGMENTS // 2)
+    length = max(range(1, SEGMENTS + 1), key=lambda c: (agree(c), -c))
     exact = sum(b == 0 for b in allowed[:length])
     found = {}
     for first in range(SEGMENTS):
