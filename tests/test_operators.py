@@ -166,3 +166,32 @@ def test_enum_presentation_order(spark):
     df2 = spark.createDataFrame([("export", 1), ("local", 2)], "channel_group string, q int")
     assert [r.channel_group for r in presentation_order(df2, ["channel_group"]).collect()] == \
         ["local", "export"]
+
+
+def test_carry_forward_over_silent_months(spark, monkeypatch):
+    """Two silent months, or a month the store did not trade, lose no brand."""
+    from tillgrid.operators import review as RV
+    inv = spark.createDataFrame(
+        [(1, "2026-01", "acme", "ACME/Acme"), (1, "2026-01", "bolt", "Bolt"), (1, "2026-02", "bolt", "Bolt"),
+         (1, "2026-04", "bolt", "BOLT"), (1, "2026-05", "core", "Core")],
+        "store_id int, period string, brand_key string, brand_variants string")
+    monkeypatch.setattr(RV, "brand_inventory", lambda t: inv)
+    monkeypatch.setattr(RV.star, "brand_categories", lambda t: spark.createDataFrame(
+        [("ACME/Acme", "honey", 1), ("Bolt", "", 2)],
+        "brand_variants string, confirmed_category string, line_no long"))
+    got = sorted((r.period, r.brand_variants, r.confirmed_category) for r in RV.brand_carry_forward(None).collect())
+    assert got == [("2026-02", "ACME/Acme", "honey"), ("2026-04", "ACME/Acme", "honey"),
+                   ("2026-05", "ACME/Acme", "honey"), ("2026-05", "BOLT", "")]
+
+
+def test_functional_leader_of_the_reporting_month(spark, monkeypatch):
+    """A store without functional sales in the month has no leader, whatever it sold before."""
+    from tillgrid.operators import report as RP
+    trend = spark.createDataFrame(
+        [(1, "2026-04", "fish_oil", 5), (1, "2026-04", "coq10", 9), (2, "2026-03", "calcium", 7)],
+        "store_id int, period string, product_type string, qty long")
+    facts = spark.createDataFrame([(1,), (2,)], "store_id int")
+    monkeypatch.setattr(RP, "functional_trend", lambda t, through, variant: trend)
+    monkeypatch.setattr(RP.star, "fact_sales", lambda t, through=None: facts)
+    got = {r.store_id: (r.period, r.leader, r.leader_qty) for r in RP.functional_leader(None, "2026-04").collect()}
+    assert got == {1: ("2026-04", "CoQ10", 9), 2: ("2026-04", None, None)}

@@ -82,33 +82,11 @@ def display_label(key: str | Column, kind: str) -> Column:
     return F.coalesce(F.element_at(_label_map(mapping), col(key)), fallback_label(key))
 
 
-def signed_pct(x: str | Column) -> Column:
-    """P24: '+1.8%' / '-3.0%'."""
-    return F.format_string("%+.1f%%", col(x).cast("double"))
-
-
 def rose_fell(x: str | Column) -> Column:
     """P24: 'rose' for >= 0, 'fell' otherwise."""
     return F.when(col(x) >= 0, F.lit("rose")).otherwise(F.lit("fell"))
 
 
-def money_text(x: str | Column) -> Column:
-    """Whole dollars with thousands separators, e.g. '$50,900'."""
-    return F.concat(F.lit("$"), F.format_number(F.round(col(x).cast("decimal(20,2)"), 0), 0))
-
-
-def units_text(x: str | Column) -> Column:
-    return F.format_number(col(x).cast("decimal(20,0)"), 0)
-
-
-def campaign_bullets(note: str | Column, default: str = "No campaign this month") -> Column:
-    """Split on ';' or ',', trim, drop blanks, prefix '· ', join with newlines."""
-    parts = F.filter(F.transform(F.split(F.coalesce(col(note), F.lit("")), "[;,]"), lambda x: F.trim(x)),
-                     lambda x: x != "")
-    joined = F.array_join(F.transform(parts, lambda x: F.concat(F.lit("· "), x)), "\n")
-    return F.when(F.size(parts) > 0, joined).otherwise(F.lit(default))
-
-
 def text_or_fallback(text: str | Column, fallback: str | Column) -> Column:
     """A blank text counts as absent."""
     return F.coalesce(F.nullif(F.trim(col(text)), F.lit("")), col(fallback))

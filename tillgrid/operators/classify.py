@@ -127,47 +127,6 @@ def new_conflicts(checked: DataFrame, reviewed: DataFrame, known: DataFrame,
             .join(settled, "sku_code", "left_anti"))
 
 
-def brand_inventory(products: DataFrame) -> DataFrame:
-    """Per brand key — sorted distinct spellings joined by '/', SKU count,
-    total, first sample product (products ordered by brand, sku_code)."""
-    return (products.withColumn("brand_key", brand_key("brand"))
-            .groupBy("brand_key")
-            .agg(F.array_join(F.array_sort(F.collect_set("brand")), "/").alias("brand_variants"),
-                 F.count("sku_code").alias("n_sku"),
-                 F.sum("total_amt").alias("total_amt"),
-                 F.min_by("product_desc", F.struct("brand", "sku_code")).alias("sample_product")))
-
-
-def new_brands(inventory: DataFrame, brand_categories: DataFrame) -> DataFrame:
-    """Q1: brands without a confirmed category."""
-    cats = variant_categories(brand_categories, skip_blank=True)
-    return (inventory.join(cats, "brand_key", "left")
-            .filter(F.col("category").isNull()).drop("category"))
-
-
-def carry_forward(inventory: DataFrame, previous: DataFrame) -> DataFrame:
-    """Previous brand rows none of whose spellings sold now; n_sku=0,
-    total_amt=0, category kept."""
-    current = inventory.select(F.explode(F.split("brand_variants", "/")).alias("v")) \
-        .select(brand_key("v").alias("vk"))
-    prev = previous.select("line_no", F.explode(F.split("brand_variants", "/")).alias("v")) \
-        .select("line_no", brand_key("v").alias("vk"))
-    hit = prev.join(current, "vk", "left_semi").select("line_no")
-    return (previous.join(hit, "line_no", "left_anti")
-            .withColumn("n_sku", F.lit(0).cast("bigint"))
-            .withColumn("total_amt", F.lit(0).cast("decimal(22,2)")))
-
-
-def category_conflict_brands(dim: DataFrame) -> DataFrame:
-    """Brands whose SKUs span more than one category."""
-    per = dim.groupBy("brand", "category").agg(F.count(F.lit(1)).alias("n"))
-    return (per.groupBy("brand")
-            .agg(F.count(F.lit(1)).alias("n_categories"),
-                 F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "n"))))
-                 .alias("counts"))
-            .filter(F.col("n_categories") > 1))
-
-
 def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str],
                   last: bool = False) -> DataFrame:
     """First (or last) row per key in the given order.

@@ -9,9 +9,10 @@ report data, within a tolerance.
   G4  each token is ok (|v-a| <= tol), sign_only (magnitudes match) or missing
   G5  per-text verdict
 
-The tolerance test is an equi-join on (key, value bucket) with a residual
-``abs(v - a) <= tol`` — never a cross join — so a text with many numbers or a
-report with many values spreads over buckets instead of pairing everything.
+The tolerance test is an equi-join on (key, value bucket): the allowed values
+collapse to the least and the greatest of each bucket, the tokens to their
+distinct values, so neither a long allow-list nor a number that is quoted
+everywhere makes more than a few joined rows per distinct value.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ def number_tokens(text: str | Column) -> Column:
     cleaned = F.regexp_replace(F.coalesce(t, F.lit("")), RANGE_MINUS, " ")
     toks = F.regexp_extract_all(cleaned, F.lit(NUMBER), 0)
     vals = F.transform(toks, lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("double"))
-    return F.filter(vals, lambda v: v.isNotNull() & (F.abs(v) < F.lit(float("inf"))))
+    # a token too long for a double stays, as infinity, and is reported as missing
+    return F.filter(vals, lambda v: v.isNotNull())
 
 
 def explode_tokens(texts: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
@@ -45,12 +47,13 @@ def explode_tokens(texts: DataFrame, keys: list[str], text_col: str = "text") ->
 
 
 def allowed_from_numbers(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """G2 (numeric part): every value of ``cols`` at 2, 1 and 0 decimals."""
+    """G2 (numeric part): every value of ``cols`` at 2, 1 and 0 decimals; halves
+    of whole numbers, which a double holds exactly, go to even."""
     arr = F.array(*[F.col(c).cast("double") for c in cols])
     v = df.select(*keys, F.explode(arr).alias("v")).filter(F.col("v").isNotNull())
     return v.select(*keys, F.explode(F.array(round_half_up(F.col("v"), 2),
                                              round_half_up(F.col("v"), 1),
-                                             round_half_up(F.col("v"), 0))).alias("a"))
+                                             F.bround("v", 0))).alias("a"))
 
 
 def allowed_from_strings(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -67,8 +70,8 @@ def prose_numbers(keys_df: DataFrame, keys: list[str]) -> DataFrame:
         *keys, F.explode(F.array(*[F.lit(float(x)) for x in vocab.NARRATIVE_NUMBERS])).alias("a"))
 
 
-def _bucket(v: Column) -> Column:
-    return F.when(F.abs(v) < HUGE, F.floor(v).cast("double")).otherwise(v)
+def _bucket(v: Column, width: float) -> Column:
+    return F.when(F.abs(v) < HUGE, F.floor(v / width).cast("double")).otherwise(v)
 
 
 def _status(ok: Column, sg: Column) -> tuple[Column, Column]:
@@ -83,81 +86,35 @@ def classify_tokens(tokens: DataFrame, allowed: DataFrame, keys: list[str],
                     tol: float = vocab.GROUNDING_TOLERANCE) -> DataFrame:
     """Status per token — ok / sign_only / missing — with a message.
 
-    The allow-lists are counted first.  Up to ``spark.tillgrid.maxBroadcastRows``
-    values they are broadcast as one row per key holding bucket -> values
-    maps and every token is tested in place (no shuffle of the tokens, which
-    may be far more numerous than the allowed values); beyond that the
-    bucketed join below is used."""
-    a = allowed.select(*keys, "a").distinct()
-    limit = int(tokens.sparkSession.conf.get("spark.tillgrid.maxBroadcastRows", "5000000"))
-    if a.count() <= limit:
-        return _classify_in_place(tokens, a, keys, tol)
-    return _classify_joined(tokens, a, keys, tol)
-
-
-def _bucket_maps(a: DataFrame, keys: list[str], col: Column, name: str) -> DataFrame:
-    v = a.select(*keys, col.alias("v")).distinct()
-    per = v.groupBy(*keys, _bucket(F.col("v")).alias("b")).agg(F.collect_list("v").alias("vs"))
-    return per.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("b", "vs")))
-                                  .alias(name))
-
-
-def _near(m: Column, v: Column, tol: float) -> Column:
-    buckets = F.when(F.abs(v) < HUGE,
-                     F.transform(F.sequence(F.floor(v - 2 * tol), F.floor(v + 2 * tol)),
-                                 lambda b: b.cast("double"))).otherwise(F.array(v))
-    cands = F.flatten(F.transform(buckets, lambda b: F.coalesce(
-        F.try_element_at(m, b), F.array().cast("array<double>"))))
-    return F.coalesce(F.exists(cands, lambda x: F.abs(v - x) <= tol), F.lit(False))
-
-
-def _classify_in_place(tokens: DataFrame, a: DataFrame, keys: list[str],
-                       tol: float) -> DataFrame:
-    maps = (_bucket_maps(a, keys, F.col("a"), "m_ok")
-            .join(_bucket_maps(a, keys, F.abs("a"), "m_sg"), keys, "full"))
-    cols = tokens.columns
-    j = tokens.join(F.broadcast(maps), keys, "left")  # counted above: bounded
-    ok = F.when(F.col("m_ok").isNull(), F.lit(False)).otherwise(_near(F.col("m_ok"),
-                                                                      F.col("value"), tol))
-    sg = F.when(F.col("m_sg").isNull(), F.lit(False)).otherwise(
-        _near(F.col("m_sg"), F.abs(F.col("value")), tol))
-    status, msg = _status(ok, sg)
-    return j.select(*cols, status.alias("status"), msg.alias("message"))
-
-
-def _classify_joined(tokens: DataFrame, a: DataFrame, keys: list[str],
-                     tol: float) -> DataFrame:
-    """Bucketed join variant for allow-lists too large to broadcast.
-
-    One candidate join serves both tests: the allowed values are tagged
-    (signed value -> 'ok', magnitude -> 'sign') and bucketed by floor(value);
-    each token is fanned out over the buckets its tolerance window touches,
-    joined on (key, bucket, tag), filtered by ``abs(v - a) <= tol``, and the
-    flags are folded per token with one grouped max over (tokens ∪ hits) —
-    a single shuffle of the token side, no join back."""
-    cols = tokens.columns
-    tagged = (a.select(*keys, F.col("a").alias("av"), F.lit("ok").alias("tag"))
-              .unionByName(a.select(*keys, F.abs("a").alias("av"), F.lit("sign").alias("tag")))
-              .distinct()
-              .withColumn("_b", _bucket(F.col("av"))))
-    probe = F.explode(F.array(
+    Buckets are half a tolerance wide.  Of the allowed values in a bucket only
+    the least and the greatest are kept: if any is within the tolerance of a
+    value, the nearer of these is.  Distinct (key, value) pairs are tested
+    against the seven buckets around them, and the result is joined back to
+    the tokens, so equal tokens keep their rows.  Every join is an equi-join
+    whose sides the planner sizes by bytes."""
+    width = tol / 2
+    tagged = allowed.where(F.col("a").isNotNull()).select(*keys, F.explode(F.array(
+        F.struct(F.lit("ok").alias("tag"), F.col("a").alias("av")),
+        F.struct(F.lit("sign").alias("tag"), F.abs("a").alias("av")))).alias("x"))
+    ends = (tagged.select(*keys, "x.tag", "x.av", _bucket(F.col("x.av"), width).alias("_b"))
+            .groupBy(*keys, "tag", "_b").agg(F.min("av").alias("lo"), F.max("av").alias("hi")))
+    values = tokens.select(*keys, "value").distinct()
+    probe = values.select(*keys, "value", F.explode(F.array(
         F.struct(F.lit("ok").alias("tag"), F.col("value").alias("tv")),
-        F.struct(F.lit("sign").alias("tag"), F.abs(F.col("value")).alias("tv"))))
-    fan = tokens.select(*cols, probe.alias("_p")).select(*cols, "_p.tag", "_p.tv")
-    span = F.when(F.abs(F.col("tv")) < HUGE,
-                  F.transform(F.sequence(F.floor(F.col("tv") - 2 * tol),
-                                         F.floor(F.col("tv") + 2 * tol)),
-                              lambda b: b.cast("double"))).otherwise(F.array(F.col("tv")))
-    hits = (fan.select("*", F.explode(span).alias("_b"))
-            .join(tagged, [*keys, "_b", "tag"])
-            .filter(F.abs(F.col("tv") - F.col("av")) <= tol)
-            .select(*cols, (F.col("tag") == "ok").cast("int").alias("_ok"),
-                    (F.col("tag") == "sign").cast("int").alias("_sg")))
-    base = tokens.select(*cols, F.lit(0).alias("_ok"), F.lit(0).alias("_sg"))
-    flags = (base.unionByName(hits).groupBy(*cols)
-             .agg(F.max("_ok").alias("_ok"), F.max("_sg").alias("_sg")))
-    status, msg = _status(F.col("_ok") == 1, F.col("_sg") == 1)
-    return flags.select(*cols, status.alias("status"), msg.alias("message"))
+        F.struct(F.lit("sign").alias("tag"), F.abs("value").alias("tv")))).alias("x"))
+    around = F.when(F.abs("tv") < HUGE, F.transform(
+        F.sequence(F.lit(-3), F.lit(3)),
+        lambda d: F.floor(F.col("tv") / width).cast("double") + d)).otherwise(F.array("tv"))
+    near = lambda c: F.abs(F.col("tv") - F.col(c)) <= tol
+    hits = (probe.select(*keys, "value", "x.tag", "x.tv")
+            .select("*", F.explode(around).alias("_b"))
+            .join(ends, [*keys, "tag", "_b"])
+            .where(near("lo") | near("hi"))
+            .groupBy(*keys, "value").agg(F.max(F.col("tag") == "ok").alias("_ok")))
+    ok = F.coalesce(F.col("_ok"), F.lit(False))
+    status, msg = _status(ok, F.col("_ok").isNotNull())
+    return tokens.join(hits, [*keys, "value"], "left").select(
+        *tokens.columns, status.alias("status"), msg.alias("message"))
 
 
 def verdict(findings: DataFrame, keys: list[str]) -> DataFrame:
@@ -176,21 +133,26 @@ def strip_fences(text: Column) -> Column:
 
 
 def parse_lenient(text: str | Column) -> Column:
-    """P25: strip fences, drop trailing commas, parse as map<string,string>
-    (NULL when still unparseable)."""
-    t = F.col(text) if isinstance(text, str) else text
-    cleaned = F.regexp_replace(strip_fences(t), r",(\s*[}\]])", "$1")
-    return F.from_json(cleaned, "map<string,string>", {"mode": "PERMISSIVE"})
+    """P25: strip fences and parse; only a text that fails has its trailing
+    commas dropped and is parsed again.  A map of the string values (G6: others
+    are skipped), NULL when still unparseable or no object."""
+    t = strip_fences(F.col(text) if isinstance(text, str) else text)
+    repaired = F.regexp_replace(t, r",(\s*[}\]])", "$1")
+    v = F.coalesce(F.try_parse_json(t), F.try_parse_json(repaired))
+    held = F.try_variant_get(v, "$", "map<string,variant>")
+    strings = F.map_filter(held, lambda _, x: F.schema_of_variant(x) == "STRING")
+    return F.transform_values(strings, lambda _, x: F.try_variant_get(x, "$", "string"))
 
 
 _NUMERIC = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "DECIMAL")
 
 
-def json_leaves(df: DataFrame, keys: list[str], json_col: str, max_depth: int = 8) -> DataFrame:
+def json_leaves(df: DataFrame, keys: list[str], json_col: str) -> DataFrame:
     """S11 / G2 for nested documents: every scalar leaf of a JSON text as
     (keys, kind, num, str) with kind in number / string (booleans and nulls
     dropped, object keys not used).  One ``variant_explode_outer`` lateral
-    join per nesting level."""
+    join per nesting level; the levels are as many as the deepest text has
+    brackets open at once, which one grouped maximum finds first."""
     spark = df.sparkSession
     cur = df.select(*keys, F.try_parse_json(json_col).alias("v")).filter(F.col("v").isNotNull())
     out = None
@@ -203,7 +165,13 @@ def json_leaves(df: DataFrame, keys: list[str], json_col: str, max_depth: int =
             F.when(num, F.try_variant_get("v", "$", "double")).alias("num"),
             F.when(~num, F.try_variant_get("v", "$", "string")).alias("str"))
 
-    for _ in range(max_depth):
+    outside = F.regexp_replace(json_col, r'"(?:[^"\\\\]|\\\\.)*"', "")
+    steps = F.filter(F.split(outside, ""), lambda c: c.isin("[", "{", "]", "}"))
+    depth = F.aggregate(steps, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda s, c: F.struct(
+        (s["now"] + F.when(c.isin("[", "{"), 1).otherwise(-1)).alias("now"),
+        F.greatest(s["most"], s["now"] + F.when(c.isin("[", "{"), 1).otherwise(-1)).alias("most")))["most"]
+    deepest = df.agg(F.max(depth)).first()[0] or 0
+    for _ in range(deepest + 1):
         t = F.schema_of_variant("v")
         nested = t.startswith("OBJECT") | t.startswith("ARRAY")
         leaf = leaves_of(cur.filter(~nested))

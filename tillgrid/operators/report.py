@@ -339,20 +339,18 @@ def trend_series_rows(t: Tables, through: str | None = None,
                     .alias("qty_mom_pct"))
 
 
-def functional_top(t: Tables, through: str | None = None, n: int = 6,
-                   months: int = vocab.TREND_MONTHS) -> DataFrame:
-    """Top-n functional types by units over the trend window, the rest
-    summed into 'Other (k types)', missing months filled with 0."""
+def functional_top(t: Tables, through: str | None = None, n: int = 6) -> DataFrame:
+    """Top-n functional types by units over all months, under their display
+    labels, the rest summed into 'Other (k types)', missing months filled with 0."""
     f = functional_trend(t, through, variant="pipeline")
-    periods = trend_window(f.select(*G).distinct(), months)
-    f = f.join(periods, G, "left_semi")
+    periods = f.select(*G).distinct()
     tot = f.groupBy("store_id", "product_type").agg(F.sum("qty").alias("tq"))
     w = Window.partitionBy("store_id").orderBy(F.desc("tq"), F.asc("product_type"))
     ranked = (tot.withColumn("_r", F.row_number().over(w))
               .withColumn("_others", F.count_if(F.col("_r") > n)
                           .over(Window.partitionBy("store_id"))))
     lab = ranked.select("store_id", "product_type",
-                        F.when(F.col("_r") <= n, F.col("product_type"))
+                        F.when(F.col("_r") <= n, display_label("product_type", "product_type"))
                         .otherwise(F.concat(F.lit("Other ("), F.col("_others").cast("string"),
                                             F.lit(" types)"))).alias("label"))
     labelled = f.join(lab, ["store_id", "product_type"]).groupBy(*G, "label") \
@@ -362,13 +360,17 @@ def functional_top(t: Tables, through: str | None = None, n: int = 6,
             .select(*G, "label", F.coalesce("qty", F.lit(0)).cast("bigint").alias("qty")))
 
 
-def functional_leader(t: Tables, through: str | None = None) -> DataFrame:
-    """Leading functional type by units in each store's latest month."""
-    f = functional_trend(t, through, variant="pipeline")
-    latest = f.groupBy("store_id").agg(F.max("period").alias("period"))
-    return (f.join(latest, G, "left_semi").groupBy(*G)
+def functional_leader(t: Tables, through: str) -> DataFrame:
+    """Each store's leading functional type by units in the reporting month
+    (``through``); NULL where the store sold none in it."""
+    f = functional_trend(t, through, variant="pipeline").where(F.col("period") == through)
+    best = (f.groupBy("store_id")
             .agg(F.min_by("product_type", F.struct(-F.col("qty"), F.col("product_type")))
                  .alias("leader"), F.max("qty").alias("leader_qty")))
+    stores = star.fact_sales(t, through=through).select("store_id").distinct()
+    return (stores.join(best, "store_id", "left")
+            .select("store_id", F.lit(through).alias("period"),
+                    display_label("leader", "product_type").alias("leader"), "leader_qty"))
 
 
 # ---------------------------------------------------------------- context, header

@@ -79,20 +79,20 @@ def new_brands(t: Tables) -> DataFrame:
 
 
 def brand_carry_forward(t: Tables) -> DataFrame:
-    """Brands in a store's previous-month list none of whose spellings
-    sold this month are carried with n_sku=0, total_amt=0 and their category."""
-    inv = brand_inventory(t)
-    nxt = F.date_format(F.add_months(F.to_date(F.concat("period", F.lit("-01"))), 1), "yyyy-MM")
-    prev = (inv.select("store_id", nxt.alias("period"), "brand_key", "brand_variants")
-            .join(inv.select(*G).distinct(), G, "left_semi"))
-    cur_keys = inv.select(*G, F.explode(F.split("brand_variants", "/")).alias("v")) \
-        .select(*G, brand_key("v").alias("vk"))
-    prev_keys = prev.select(*G, "brand_key", F.explode(F.split("brand_variants", "/")).alias("v")) \
-        .select(*G, "brand_key", brand_key("v").alias("vk"))
-    hit = prev_keys.join(cur_keys, [*G, "vk"], "left_semi").select(*G, "brand_key")
+    """Brands in a store's list from any earlier month none of whose spellings
+    sold this month are carried with n_sku=0, total_amt=0 and their category; the
+    spellings are those of the last month in which the brand sold."""
+    inv = brand_inventory(t).select(*G, "brand_key", "brand_variants")
+    first = inv.groupBy("store_id", "brand_key").agg(F.min("period").alias("first"))
+    months = inv.select(*G).distinct()
+    # one row per store, listed brand and month since its first: the size of the result
+    listed = months.join(first, "store_id").where(F.col("period") >= F.col("first"))
+    since = Window.partitionBy("store_id", "brand_key").orderBy("period")
+    carried = (listed.join(inv.withColumnRenamed("brand_variants", "sold"), [*G, "brand_key"], "left")
+               .withColumn("brand_variants", F.last("sold", ignorenulls=True).over(since))
+               .where(F.col("sold").isNull()))
     cats = C.variant_categories(star.brand_categories(t))
-    return (prev.join(hit, [*G, "brand_key"], "left_anti")
-            .join(cats, "brand_key", "left")
+    return (carried.join(cats, "brand_key", "left")
             .select(*G, "brand_variants", F.lit(0).cast("bigint").alias("n_sku"),
                     F.lit(0.0).alias("total_amt"),
                     F.coalesce("category", F.lit("")).alias("confirmed_category")))

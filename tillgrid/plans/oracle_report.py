@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .sqlgen import RPT, mom, mom0, pct, pct0, ratio, report_bucket, with_star
+from .. import vocab
+from .sqlgen import RPT, mom, mom0, pct, pct0, q, ratio, report_bucket, with_star
 
 W = "PARTITION BY store_id, period"
 LABELS = "['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec']"
@@ -186,28 +187,30 @@ FROM x""", through_rpt=True)
 
     fpipe = ("SELECT store_id, period, product_type, SUM(qty) AS qty FROM sales WHERE product_type "
              "NOT IN ('not_applicable', 'other_supplement') GROUP BY 1, 2, 3")
+    label = "CASE product_type " + " ".join(
+        f"WHEN {q(k)} THEN {q(v)}" for k, v in vocab.PRODUCT_TYPE_LABELS.items()) + " END"
     s["functional_top"] = with_star(f"""
 , f AS ({fpipe}),
-win AS ({_win('f')}),
-fw AS (SELECT f.* FROM f JOIN win USING (store_id, period)),
-tot AS (SELECT store_id, product_type, SUM(qty) AS tq FROM fw GROUP BY 1, 2),
+win AS (SELECT DISTINCT store_id, period FROM f),
+tot AS (SELECT store_id, product_type, SUM(qty) AS tq FROM f GROUP BY 1, 2),
 rk AS (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY tq DESC, product_type) AS r FROM tot),
 lab AS (SELECT store_id, product_type,
-               CASE WHEN r <= 6 THEN product_type ELSE 'Other (' ||
+               CASE WHEN r <= 6 THEN {label} ELSE 'Other (' ||
                     CAST(count_if(r > 6) OVER (PARTITION BY store_id) AS VARCHAR) || ' types)' END
                    AS label FROM rk),
-labelled AS (SELECT fw.store_id, fw.period, lab.label, SUM(fw.qty) AS qty
-             FROM fw JOIN lab USING (store_id, product_type) GROUP BY 1, 2, 3),
+labelled AS (SELECT f.store_id, f.period, lab.label, SUM(f.qty) AS qty
+             FROM f JOIN lab USING (store_id, product_type) GROUP BY 1, 2, 3),
 grid AS (SELECT DISTINCT win.store_id, win.period, lab.label FROM win JOIN lab USING (store_id))
 SELECT g.store_id, g.period, g.label, CAST(coalesce(l.qty, 0) AS BIGINT) AS qty
 FROM grid g LEFT JOIN labelled l USING (store_id, period, label)""", through_rpt=True)
 
     s["functional_leader"] = with_star(f"""
 , f AS ({fpipe}),
-latest AS (SELECT store_id, max(period) AS period FROM f GROUP BY 1)
-SELECT store_id, period, product_type AS leader, CAST(qty AS BIGINT) AS leader_qty
-FROM (SELECT f.*, row_number() OVER (PARTITION BY store_id ORDER BY qty DESC, product_type) AS rn
-      FROM f JOIN latest USING (store_id, period)) WHERE rn = 1""", through_rpt=True)
+best AS (SELECT store_id, {label} AS leader, qty
+         FROM (SELECT f.*, row_number() OVER (PARTITION BY store_id ORDER BY qty DESC, product_type) AS rn
+               FROM f WHERE period = {RPT}) WHERE rn = 1)
+SELECT s.store_id, {RPT} AS period, best.leader, CAST(best.qty AS BIGINT) AS leader_qty
+FROM (SELECT DISTINCT store_id FROM fact_sales) s LEFT JOIN best USING (store_id)""", through_rpt=True)
 
     s["operating_context"] = with_star("""
 SELECT g.store_id, g.period, c.foot_traffic, c.miniprogram_leads,
@@ -240,8 +243,6 @@ FROM ({top10} WHERE period = {RPT}) WHERE rnk <= 10""".replace("FROM sales WHERE
     s["context_malformed"] = with_star("""
 SELECT store_id, trim(period) AS period, line_no FROM context_src
 WHERE nullif(trim(period), '') IS NOT NULL AND NOT regexp_matches(trim(period), '^\\d{4}-\\d{2}$')""")
-    from .. import vocab
-    from .sqlgen import q
 
     def lab(col: str, mapping: dict) -> str:
         whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in mapping.items())

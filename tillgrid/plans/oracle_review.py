@@ -54,21 +54,17 @@ WHERE brand_key NOT IN (SELECT lower(trim(unnest(string_split(brand_variants, '/
                         FROM brand_categories
                         WHERE coalesce(trim(confirmed_category), '') <> '')""")
     s["brand_carry_forward"] = with_star(MONTH_PRODUCTS + """
-, prev AS (SELECT store_id,
-                  strftime(CAST(period || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m') AS period,
-                  brand_key, brand_variants FROM inv),
-prev2 AS (SELECT * FROM prev WHERE (store_id, period) IN (SELECT store_id, period FROM inv)),
-cur_keys AS (SELECT store_id, period, lower(trim(unnest(string_split(brand_variants, '/')))) AS vk
-             FROM inv),
-prev_keys AS (SELECT store_id, period, brand_key,
-                     lower(trim(unnest(string_split(brand_variants, '/')))) AS vk FROM prev2),
-hit AS (SELECT DISTINCT pk.store_id, pk.period, pk.brand_key FROM prev_keys pk
-        JOIN cur_keys ck ON pk.store_id = ck.store_id AND pk.period = ck.period AND pk.vk = ck.vk)
-SELECT p.store_id, p.period, p.brand_variants, CAST(0 AS BIGINT) AS n_sku, CAST(0.0 AS DOUBLE) AS total_amt,
+, months AS (SELECT DISTINCT store_id, period FROM inv)
+SELECT m.store_id, m.period,
+       (SELECT arg_max(i.brand_variants, i.period) FROM inv i WHERE i.store_id = m.store_id
+          AND i.brand_key = k.brand_key AND i.period < m.period) AS brand_variants,
+       CAST(0 AS BIGINT) AS n_sku, CAST(0.0 AS DOUBLE) AS total_amt,
        coalesce(b.category, '') AS confirmed_category
-FROM prev2 p LEFT JOIN brand_cat b ON p.brand_key = b.brand_key
-WHERE NOT EXISTS (SELECT 1 FROM hit h WHERE h.store_id = p.store_id AND h.period = p.period
-                  AND h.brand_key = p.brand_key)""")
+FROM months m JOIN (SELECT DISTINCT store_id, brand_key FROM inv) k ON k.store_id = m.store_id
+LEFT JOIN brand_cat b ON k.brand_key = b.brand_key
+WHERE EXISTS (SELECT 1 FROM inv i WHERE i.store_id = m.store_id AND i.brand_key = k.brand_key AND i.period < m.period)
+  AND NOT EXISTS (SELECT 1 FROM inv i WHERE i.store_id = m.store_id AND i.brand_key = k.brand_key
+                  AND i.period = m.period)""")
     s["category_spread"] = with_star("""
 , per AS (SELECT brand, category, COUNT(*) AS n FROM dim_product GROUP BY 1, 2),
 multi AS (SELECT brand, COUNT(*) AS n_categories FROM per GROUP BY 1 HAVING COUNT(*) > 1)

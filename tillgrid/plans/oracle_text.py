@@ -63,13 +63,13 @@ tk2 AS (SELECT {keys}, j, TRY_CAST(replace(CASE WHEN starts_with(t1[j], '-') AND
                                               THEN substr(t1[j], 2) ELSE t1[j] END, ',', '')
                                    AS DOUBLE) AS value FROM tk1),
 toks AS (SELECT {keys}, CAST(row_number() OVER (PARTITION BY {keys} ORDER BY j) - 1 AS INTEGER) AS pos,
-                value FROM tk2 WHERE value IS NOT NULL AND isfinite(value))
+                value FROM tk2 WHERE value IS NOT NULL)
 """
 
 
 def _allowed(keys: str, with_strings: bool) -> str:
     nums = " UNION ALL ".join(
-        f"SELECT {keys}, {rnd(c, d)} AS a FROM rs WHERE {c} IS NOT NULL"
+        f"SELECT {keys}, {rnd(c, d) if d else f'round_even(CAST({c} AS DOUBLE), 0)'} AS a FROM rs WHERE {c} IS NOT NULL"
         for c in NUM_COLS for d in (2, 1, 0))
     strings = (f" UNION ALL SELECT {keys}, CAST(unnest(regexp_extract_all(period, '[0-9]+')) AS DOUBLE)"
                f" FROM rs") if with_strings else ""
