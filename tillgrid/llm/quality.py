@@ -95,7 +95,7 @@ def features(texts: list[bytes | None], bits: int) -> Iterator[tuple[np.ndarray,
 class Ftrl:
     """Per-coordinate FTRL-proximal logistic regression; the last place is the bias."""
 
-    def __init__(self, bits: int, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02,
+    def __init__(self, bits: int, alpha: float = 4.0, beta: float = 1.0, l1: float = 0.02,
                  l2: float = 0.1) -> None:
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z = np.zeros((1 << bits) + 1)
