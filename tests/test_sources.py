@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillgrid.operators import grounding as GR
 from tillgrid.operators.classify import variant_categories
 from tillgrid.sources import reference as REF
+from tillgrid.sources import wide
 
 
 def test_reference_csv_with_bom_and_quoted_commas(spark, tmp_path):
@@ -89,3 +90,12 @@ def test_labels(spark):
                   display_label("t", "product_type").alias("t"),
                   display_label(F.lit("new_thing"), "category").alias("x")).first()
     assert (r.c, r.t, r.x) == ("Milk Powder", "Fish Oil / Omega", "New thing")
+
+
+def test_cells_that_do_not_parse_are_listed(spark):
+    df = spark.createDataFrame(
+        [("s", "1,200", " ", "10000000000.00", "n/a"), ("t", "1.5.2", None, "", "7")],
+        "sku_code string, jan_order string, jan_qty string, jan_amt string, total_amt string")
+    got = {tuple(r) for r in wide.rejected_cells(df, ["sku_code"]).collect()}
+    assert got == {("s", "total_amt", "n/a"), ("t", "jan_order", "1.5.2")}
+    assert wide.rejected_cells(df.limit(0), ["sku_code"]).count() == 0

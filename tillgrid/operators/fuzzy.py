@@ -4,7 +4,8 @@ Only distinct unresolved names are scored, and only against known names
 whose length can still reach the threshold: ``ratio <= 2*min(la,lb)/(la+lb)``
 is a lossless upper bound, so each known name is fanned out over the
 candidate lengths it admits and joined on length (an equi-join, not a cross
-join).  The ratio itself runs in an Arrow-batched pandas UDF.
+join).  A pair must then share enough characters, a second lossless bound
+in column expressions.  The ratio itself runs in an Arrow-batched pandas UDF.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import difflib
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -28,6 +29,18 @@ def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
                      dtype="float64")
 
 
+def shares_enough(a: str, b: str, threshold: float) -> Column:
+    """Whether the characters that ``a`` and ``b`` share, in any order, still allow
+    the threshold: a lossless bound of the ratio that needs no Python."""
+    chars = F.array_distinct(F.split(F.col(b), ""))
+
+    def times(s: str, c: Column) -> Column:
+        return F.length(s) - F.length(F.replace(F.col(s), c, F.lit("")))
+
+    common = F.aggregate(chars, F.lit(0), lambda n, c: n + F.least(times(a, c), times(b, c)))
+    return 2 * common >= (threshold - 1e-9) * (F.length(a) + F.length(b))
+
+
 def _length_band(length: int, threshold: float) -> tuple[int, int]:
     """Candidate lengths l with 2*min(l, L)/(l + L) >= threshold."""
     if threshold <= 0:
@@ -73,7 +86,8 @@ def fuzzy_resolve(brands: DataFrame, rules: vocab.RuleSet = vocab.FIXTURE_RULES,
                        tight_brand("brand").alias("tight")).distinct()
          .filter(~F.col("norm_brand").isin(*known_norm) & ~F.col("tight").isin(*known_tight)))
     known = known_frame(spark, rules.known_brands, threshold)
-    cand = _candidates(d, known, "tight").withColumn("ratio", seq_ratio("tight", "known_key"))
+    cand = _candidates(d, known, "tight").filter(shares_enough("tight", "known_key", threshold))
+    cand = cand.withColumn("ratio", seq_ratio("tight", "known_key"))
     best = (cand.groupBy("norm_brand")
             .agg(F.max_by(F.struct("known_brand", "ratio"),
                           F.struct(F.col("ratio"), -F.col("ordinal"))).alias("b")))
@@ -120,7 +134,7 @@ def close_names(new_keys: DataFrame, known_keys: DataFrame, n: int = vocab.CLOSE
         .alias("len"),
         "known_key")
     cand = (new_keys.select("brand_key").distinct().withColumn("len", F.length("brand_key"))
-            .join(lens, "len")
+            .join(lens, "len").filter(shares_enough("known_key", "brand_key", cutoff))
             .withColumn("ratio", seq_ratio("known_key", "brand_key"))
             .filter(F.col("ratio") >= cutoff))
     w = Window.partitionBy("brand_key").orderBy(F.desc("ratio"), F.desc("known_key"))

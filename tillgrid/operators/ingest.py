@@ -13,6 +13,9 @@ from ..sources import wide
 from ..sources.tables import Tables
 
 SHEET = ["store_id", "year"]
+#: (end of the SKU, cell, value) of the cells that the reject check plants.
+BAD_CELLS = [("89", "jan_amt", "n/a"), ("83", "mar_qty", "12345678901234567890123"),
+             ("71", "feb_amt", "10000000000.00")]
 
 
 def sales_sheets(t: Tables, with_total: bool) -> DataFrame:
@@ -46,7 +49,7 @@ def products_view(t: Tables) -> DataFrame:
     return kept.select(*SHEET, "sku_code", "brand", "product_desc", "freight_tag",
                        F.col("total_order").cast("bigint").alias("total_order"),
                        F.col("total_qty").cast("bigint").alias("total_qty"),
-                       F.col("total_amt").cast("decimal(12,2)").cast("double").alias("total_amt"))
+                       F.col("total_amt").cast(wide.AMOUNT).cast("double").alias("total_amt"))
 
 
 def excluded_view(t: Tables) -> DataFrame:
@@ -54,7 +57,7 @@ def excluded_view(t: Tables) -> DataFrame:
     return ex.select(*SHEET, "product_name",
                      F.col("total_order").cast("bigint").alias("total_order"),
                      F.col("total_qty").cast("bigint").alias("total_qty"),
-                     F.col("total_amt").cast("decimal(12,2)").cast("double").alias("total_amt"))
+                     F.col("total_amt").cast(wide.AMOUNT).cast("double").alias("total_amt"))
 
 
 def unpivoted(t: Tables) -> DataFrame:
@@ -63,6 +66,16 @@ def unpivoted(t: Tables) -> DataFrame:
     return wide.unpivot_sales(kept, key_cols=["store_id"], year_col="year")
 
 
+def rejects(t: Tables) -> DataFrame:
+    """Cells that do not parse, over sheets with bad cells (a word, a count beyond a
+    long) and, beside them, amounts of eleven digits, which parse."""
+    kept, _ = sheet_products(t, with_total=True)
+    for end, cell, value in BAD_CELLS:
+        kept = kept.withColumn(cell, F.when(F.col("sku_code").endswith(end), value)
+                               .otherwise(F.col(cell)))
+    return wide.rejected_cells(kept, [*SHEET, "sku_code"])
+
+
 def unpivot_view(t: Tables) -> DataFrame:
     return unpivoted(t).withColumn("amount", F.col("amount").cast("double"))
 
@@ -71,7 +84,7 @@ def unpivot_reconcile(t: Tables) -> DataFrame:
     """Q6: per sheet, Σ unpivoted amount vs Σ source total, tolerance 0.01."""
     kept, _ = sheet_products(t, with_total=True)
     src = kept.groupBy(*SHEET).agg(
-        F.sum(F.col("total_amt").try_cast("decimal(12,2)")).alias("source_amount"))
+        F.sum(F.col("total_amt").try_cast(wide.AMOUNT)).alias("source_amount"))
     facts = (wide.unpivot_sales(kept, key_cols=["store_id"], year_col="year")
              .withColumn("year", F.substring("period", 1, 4).cast("int"))
              .groupBy(*SHEET).agg(F.sum("amount").alias("fact_amount")))
@@ -110,5 +123,7 @@ def channel_unpivot(t: Tables) -> DataFrame:
 
 
 def unknown_channels(t: Tables) -> DataFrame:
-    """Labels that map to no channel code (must be empty)."""
-    return wide.unknown_channel_labels(channel_sheets(t)).select(*SHEET, "channel_name")
+    """Labels that map to no channel code; each sheet carries one such line more."""
+    sheets = channel_sheets(t)
+    line = sheets.filter(F.col("channel_name") == "Total").withColumn("channel_name", F.lit("Fax"))
+    return wide.unknown_channel_labels(sheets.unionByName(line)).select(*SHEET, "channel_name")

@@ -21,6 +21,8 @@ from ..session import ensure_checkpoint_dir
 from .report import parse_monthly_context
 
 FACT_KEYS = ["store_id", "period", "partkey"]
+#: A month that no sales have yet.
+MONTH_AHEAD = "2099-01"
 FACT_COLS = ["partkey", "sku_code", "period", "store_id", "order_count", "qty", "amount"]
 
 
@@ -85,8 +87,12 @@ def upsert_fact_channel(t: Tables) -> DataFrame:
 
 
 def fact_key_check(t: Tables) -> DataFrame:
-    """Batch lines whose SKU has no dimension row (load aborts on any)."""
+    """Batch lines whose SKU has no dimension row (load aborts on any); beside
+    the lines of every 25th part the batch carries one of an unregistered SKU."""
     new = deduped_batch(t)
+    stray = (new.filter(F.col("partkey") % 25 == 0)
+             .withColumn("sku_code", F.concat("sku_code", F.lit("-U"))))
+    new = new.unionByName(stray)
     return new.join(star.dim_product(t).select("sku_code"), "sku_code", "left_anti") \
         .select("store_id", "period", "sku_code")
 
@@ -147,10 +153,19 @@ def dim_date_skipped(t: Tables) -> DataFrame:
     return skipped
 
 
+def context_file(t: Tables) -> DataFrame:
+    """The context rows, and each store's reporting month once more under a month
+    that no sales have yet."""
+    rows, _ = parse_monthly_context(star.monthly_context_source(t))
+    ahead = (rows.filter(F.col("period") == star.reporting_month(t))
+             .withColumn("period", F.lit(MONTH_AHEAD)))
+    return rows.unionByName(ahead)
+
+
 def upsert_monthly_context(t: Tables) -> DataFrame:
     """K4: context rows up to 1997 were loaded before; now the whole file is
     loaded again; months missing from dim_date are skipped."""
-    rows, _ = parse_monthly_context(star.monthly_context_source(t))
+    rows = context_file(t)
     existing = rows.filter(F.col("period") < "1998-01") \
         .withColumn("study_tour_note", F.lit("older note"))
     dim = star.dim_date(t, through=star.reporting_month(t))
@@ -160,7 +175,7 @@ def upsert_monthly_context(t: Tables) -> DataFrame:
 
 
 def context_skipped(t: Tables) -> DataFrame:
-    rows, _ = parse_monthly_context(star.monthly_context_source(t))
+    rows = context_file(t)
     dim = star.dim_date(t, through=star.reporting_month(t))
     return rows.join(dim.select("period"), "period", "left_anti").select("store_id", "period")
 

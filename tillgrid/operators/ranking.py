@@ -40,9 +40,9 @@ def ranged_ntile(df: DataFrame, group_cols: list[str], order_cols: list[Column |
     """NTILE(k) per group, ordered by ``order_cols`` (which must end in a
     unique tie-breaker so the order is total and recomputation-stable).
 
-    Size bound of the broadcast side: one row per (group, range partition)
-    it touches, i.e. at most ``num_partitions + number of groups`` rows; it
-    is counted before it is broadcast.
+    The count table has one row per (group, range partition) it touches, i.e.
+    at most ``num_partitions + number of groups`` rows; the planner picks its
+    join by its size in bytes.
     """
     spark = df.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -64,12 +64,7 @@ def ranged_ntile(df: DataFrame, group_cols: list[str], order_cols: list[Column |
                                              .rowsBetween(Window.unboundedPreceding, -1)))
            .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*group_cols)))
            .fillna(0, subset=["_before"]))
-    # The count table has at most (partitions + groups) rows; its size is
-    # measured (cheap: it is aggregated from the frozen copy) and it is only
-    # broadcast below the limit — beyond it the planner picks the join.
-    limit = int(spark.conf.get("spark.tillgrid.maxBroadcastRows", "5000000"))
-    side = F.broadcast(seg) if seg.count() <= limit else seg
-    joined = ided.join(side, [*group_cols, "_pid"])
+    joined = ided.join(seg, [*group_cols, "_pid"])
     rank = F.col("_before") + (F.col("_loc") - F.col("_min")) + 1
     res = joined.withColumn(out, ntile_from_rank(rank, F.col("_n"), k))
     if rank_out:

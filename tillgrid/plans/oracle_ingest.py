@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import vocab
+from ..operators.ingest import BAD_CELLS
 from .sqlgen import q, with_star
 
 P = vocab.PRODUCT_PATTERN
@@ -101,7 +102,7 @@ def unpivot_cte(src: str, key: str = "sku_code") -> str:
 , stacked AS (SELECT store_id, year, {key} AS sku_code, unnest([{structs}]) AS x FROM {src}),
 long AS (SELECT store_id, sku_code, CAST(year AS VARCHAR) || '-' || x.mm AS period,
                 {_num('x.o', 'BIGINT')} AS order_count, {_num('x.q', 'BIGINT')} AS qty,
-                {_num('x.a', 'DECIMAL(12,2)')} AS amount FROM stacked),
+                {_num('x.a', 'DECIMAL(28,2)')} AS amount FROM stacked),
 unpiv AS (SELECT * FROM long
           WHERE NOT (order_count IS NULL AND qty IS NULL AND amount IS NULL))"""
 
@@ -132,15 +133,15 @@ def sql() -> dict[str, str]:
     s["sheet_products"] = with_star(narrow + """
 SELECT store_id, year, sku_code, brand, product_desc, freight_tag,
        CAST(total_order AS BIGINT) AS total_order, CAST(total_qty AS BIGINT) AS total_qty,
-       CAST(CAST(total_amt AS DECIMAL(12,2)) AS DOUBLE) AS total_amt FROM kept""")
+       CAST(CAST(total_amt AS DECIMAL(28,2)) AS DOUBLE) AS total_amt FROM kept""")
     s["sheet_excluded"] = with_star(narrow + """
 SELECT store_id, year, product_name, CAST(total_order AS BIGINT) AS total_order,
        CAST(total_qty AS BIGINT) AS total_qty,
-       CAST(CAST(total_amt AS DECIMAL(12,2)) AS DOUBLE) AS total_amt FROM excluded""")
+       CAST(CAST(total_amt AS DECIMAL(28,2)) AS DOUBLE) AS total_amt FROM excluded""")
     s["sheet_unpivot"] = with_star(wide_ + unpivot_cte("kept") + """
 SELECT store_id, sku_code, period, order_count, qty, CAST(amount AS DOUBLE) AS amount FROM unpiv""")
     s["unpivot_reconcile"] = with_star(wide_ + unpivot_cte("kept") + """
-, src AS (SELECT store_id, year, SUM(TRY_CAST(total_amt AS DECIMAL(12,2))) AS source_amount
+, src AS (SELECT store_id, year, SUM(TRY_CAST(total_amt AS DECIMAL(28,2))) AS source_amount
           FROM kept GROUP BY 1, 2),
 facts AS (SELECT store_id, CAST(substr(period, 1, 4) AS INTEGER) AS year, SUM(amount) AS fact_amount
           FROM unpiv GROUP BY 1, 2)
@@ -162,5 +163,16 @@ SELECT store_id, year, COUNT(DISTINCT lower(trim(brand))) AS n_brands FROM kept
 SELECT store_id, sku_code AS channel_code, period, order_count, qty, CAST(amount AS DOUBLE) AS amount,
        CASE sku_code {groups} END AS channel_group FROM unpiv""")
     s["unknown_channels"] = with_star(channel_sheets_cte() + """
-SELECT store_id, year, channel_name FROM cbody WHERE code IS NULL""".replace("FROM cbody", "FROM ccoded"))
+SELECT store_id, year, channel_name FROM ccoded WHERE code IS NULL
+UNION ALL SELECT store_id, year, 'Fax' FROM csheets WHERE channel_name = 'Total'""")
+    bad = {cell: f"CASE WHEN ends_with(sku_code, {q(end)}) THEN {q(value)} ELSE {cell} END"
+           for end, cell, value in BAD_CELLS}
+    cells = ", ".join(
+        f"struct_pack(cell := {q(c)}, value := {c}, bad := "
+        f"{_num(c, 'DECIMAL(28,2)' if c.endswith('amt') else 'BIGINT')} IS NULL)" for c in _cols(True))
+    s["sheet_rejects"] = with_star(wide_ + f"""
+, marked AS (SELECT * REPLACE ({", ".join(f"{e} AS {c}" for c, e in bad.items())}) FROM kept),
+cells AS (SELECT store_id, year, sku_code, unnest([{cells}]) AS x FROM marked)
+SELECT store_id, year, sku_code, x.cell AS cell, x.value AS value FROM cells
+WHERE x.bad AND trim(x.value) <> ''""")
     return s

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.loads import MONTH_AHEAD
 from .oracle_ingest import parsed_cte, sales_sheets_cte
 from .sqlgen import RPT, with_star
 
@@ -73,7 +74,9 @@ FROM fact_channel o WHERE NOT EXISTS (SELECT 1 FROM newc n WHERE n.period = o.pe
 UNION ALL
 SELECT period, store_id, channel_code, channel_group, order_count, qty, CAST(amount AS DOUBLE) FROM newc""")
     s["fact_key_check"] = with_star(BATCH + """
-SELECT store_id, period, sku_code FROM new
+SELECT store_id, period, sku_code FROM (
+  SELECT store_id, period, sku_code FROM new
+  UNION ALL SELECT store_id, period, sku_code || '-U' FROM new WHERE partkey % 25 = 0)
 WHERE sku_code NOT IN (SELECT sku_code FROM dim_product)""")
     s["upsert_dim_product"] = with_star("""
 , newb AS (SELECT sku_code, lower(brand) AS brand, product_desc, category, tier, shipping_channel
@@ -116,7 +119,9 @@ SELECT store_id, period, foot_traffic, miniprogram_leads,
        CAST(miniprogram_completion_rate AS DOUBLE), study_tour_flag, study_tour_note,
        activity_description FROM loadable""")
     s["context_skipped"] = with_star(f"""
-SELECT store_id, period FROM context_rows
+SELECT store_id, period FROM (
+  SELECT store_id, period FROM context_rows
+  UNION ALL SELECT store_id, '{MONTH_AHEAD}' FROM context_rows WHERE period = {RPT})
 WHERE period NOT IN (SELECT DISTINCT period FROM fact_sales WHERE period <= {RPT})""")
     s["seed_store"] = with_star("""
 SELECT r_regionkey AS store_id, r_name AS store_code, array_to_string(list_transform(string_split(lower(r_name), ' '), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ') AS store_name FROM region

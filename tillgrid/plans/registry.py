@@ -89,6 +89,7 @@ def ingest_queries() -> dict[str, Query]:
         "sheet_products": _all(IN.products_view),
         "sheet_excluded": _all(IN.excluded_view),
         "sheet_unpivot": _all(IN.unpivot_view),
+        "sheet_rejects": _all(IN.rejects),
         "unpivot_reconcile": _all(IN.unpivot_reconcile),
         "unpivot_month_counts": _all(IN.month_counts),
         "freight_tag_counts": _all(IN.freight_tag_counts),

@@ -21,7 +21,10 @@ from ..functions.text import collapse_ws, freight_tag, parse_product_name, strip
 from . import star
 from .tables import Tables
 
-SUFFIXES = ["order", "qty", "amt"]
+#: The type of an amount cell: wide enough for any sum of a sheet.
+AMOUNT = "decimal(28,2)"
+CELL_TYPES = {"order": "bigint", "qty": "bigint", "amt": AMOUNT}
+SUFFIXES = list(CELL_TYPES)
 TOTAL_COLS = ["total_order", "total_qty", "total_amt"]
 
 
@@ -62,19 +65,32 @@ def read_sheet_csv(spark: SparkSession, path: str, prefixes: list[str],
 
 
 def _num(c: str, typ: str) -> Column:
-    return F.regexp_replace(F.col(c), ",", "").try_cast(typ)
+    return F.replace(F.col(c), F.lit(","), F.lit("")).try_cast(typ)
 
 
 def with_total_block(df: DataFrame, prefixes: list[str]) -> DataFrame:
     """Derive the total block as the sum over months when it is absent."""
     if all(c in df.columns for c in TOTAL_COLS):
         return df
-    for s, typ in zip(SUFFIXES, ["bigint", "bigint", "decimal(12,2)"]):
+    for s, typ in CELL_TYPES.items():
         terms = [F.coalesce(_num(f"{p}_{s}", typ), F.lit(0).cast(typ)) for p in prefixes]
         df = df.withColumn(f"total_{s}", reduce(lambda a, b: a + b, terms).cast("string"))
     return df
 
 
+def rejected_cells(df: DataFrame, key_cols: list[str]) -> DataFrame:
+    """Cells that are not blank and do not parse: (keys, cell, value).
+
+    The parse gives NULL for them, so a load that finds any must stop."""
+    names = [(c, typ) for p in [*vocab.MONTH_PREFIXES, "total"] for s, typ in CELL_TYPES.items()
+             if (c := f"{p}_{s}") in df.columns]
+    cells = F.array(*[F.struct(F.lit(c).alias("cell"), F.col(c).alias("value"),
+                               _num(c, typ).isNull().alias("bad")) for c, typ in names])
+    bad = F.filter(cells, lambda x: x["bad"] & (F.trim(x["value"]) != ""))
+    return (df.select(*key_cols, F.explode(bad).alias("c"))
+            .select(*key_cols, "c.cell", "c.value"))
+
+
 def body_rows(df: DataFrame, label: str, store_label: Column | None) -> DataFrame:
     """Drop header lines (label NULL / 'Column0' / sub-header), the
     store-total line and the grand-total line — by predicate."""
@@ -126,7 +142,7 @@ def unpivot_sales(products: DataFrame, months: list[tuple[str, str]] | None = No
                                                            "period")).drop(year_col)
     out = stacked.select(*keys, "sku_code", "period",
                          _num("o", "bigint").alias("order_count"), _num("q", "bigint").alias("qty"),
-                         _num("a", "decimal(12,2)").alias("amount"))
+                         _num("a", AMOUNT).alias("amount"))
     return out.na.drop(how="all", subset=["order_count", "qty", "amount"])
 
 
