@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, idfile, licenses, neighbours, packing, quality, simhash, substrings,
-               toxicity, warc)
+from . import (decontaminate, idfile, licenses, merkle, neighbours, packing, quality, sentencepieces, simhash,
+               substrings, toxicity, warc, whitening)
 from ._shared import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +68,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepieces.encode(table(spark, sf_dir, "documents"), PIECES)
+    return sentencepieces.digest(sentencepieces.decode(coded, PIECES))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_newlines())
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_decontamination, op3_toxicity, op4_licenses, op5_substrings,
-                            op6_simhash, op7_quality, op8_neighbours, op9_idfile, op10_warc)}
+                            op6_simhash, op7_quality, op8_neighbours, op9_idfile, op10_warc,
+                            op11_sentencepiece, op12_merkle, op13_whitening)}
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -135,9 +150,58 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to
 FROM b"""
 
+def _merkle_sql() -> str:
+    def field(c: str) -> str:
+        return f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def walk(name: str, start: str, steps: str) -> str:
+        return f"""{name} AS ({start} UNION ALL
+      SELECT k, w.s, w.p // 3, w.lvl + 1, proof || l || r, sha256(l || folded || r), leaf, subroot
+      FROM {name} w JOIN {steps} q ON w.s = q.s AND w.lvl = q.lvl AND w.p = q.p)"""
+
+    def tree(name: str, start: str) -> str:
+        return f"""{name}(s, lvl, p, n, digest) AS ({start} UNION ALL
+      SELECT s, lvl + 1, p // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY p))
+      FROM {name} WHERE n > 1 GROUP BY s, lvl, p // 3, n)"""
+
+    def steps(name: str, nodes: str) -> str:
+        return f"""{name} AS (SELECT a.s, a.lvl, a.p,
+      coalesce(string_agg(b.digest, '' ORDER BY b.p) FILTER (b.p < a.p), '') AS l,
+      coalesce(string_agg(b.digest, '' ORDER BY b.p) FILTER (b.p > a.p), '') AS r
+      FROM {nodes} a JOIN {nodes} b ON a.s = b.s AND a.lvl = b.lvl AND a.p // 3 = b.p // 3
+      WHERE a.n > 1 GROUP BY ALL)"""
+
+    # crc32, bit by bit: a byte enters before the first of its eight shifts
+    bits = ("list_concat([4294967295::BIGINT], flatten(list_transform(range(1, len(i) + 1), "
+            "lambda k: [ascii(i[k])::BIGINT, 0, 0, 0, 0, 0, 0, 0])))")
+    crc = (f"xor(list_reduce({bits}, lambda a, b: xor(xor(a, b) >> 1, (xor(a, b) & 1) * 3988292384::BIGINT)), "
+           "4294967295::BIGINT)")
+    return f"""
+WITH RECURSIVE c AS (SELECT *, CAST(doc_id AS VARCHAR) AS i FROM documents),
+d AS (SELECT row_number() OVER () AS k, doc_id, coalesce('x' || source, '') AS s, {leaf('text')} AS leaf,
+      CASE WHEN {crc} % 2 = 0 AND text IS NOT NULL THEN {leaf("replace(text, chr(10), '')")} END AS other FROM c),
+x AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+      count(*) OVER (PARTITION BY s) AS n FROM d),
+{tree('t', 'SELECT s, 0, p, n, leaf FROM x')},
+{steps('tq', 't')},
+b AS (SELECT s, digest, row_number() OVER (ORDER BY s) - 1 AS p, count(*) OVER () AS n FROM t WHERE n = 1),
+{tree('u', "SELECT '', 0, p, n, digest FROM b")},
+{steps('uq', 'u')},
+{walk('w', "SELECT k, s, p, 0 AS lvl, '' AS proof, coalesce(other, leaf) AS folded, leaf, '' AS subroot FROM x", 'tq')},
+{walk('v', "SELECT k, '' AS s, b.p, 0 AS lvl, proof, folded, leaf, b.digest AS subroot FROM w JOIN t ON w.s = t.s "
+           "AND w.lvl = t.lvl AND t.n = 1 JOIN b ON w.s = b.s", 'uq')}
+SELECT doc_id, v.leaf, subroot, u.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+       folded = u.digest AS verified
+FROM v JOIN u ON u.n = 1 AND u.lvl = v.lvl JOIN d USING (k)"""
+
+
 ORACLE: dict[str, str] = {
     "op2_decontamination": _decontamination_sql(),
     "op4_licenses": _licenses_sql(),
     "op8_neighbours": _NEIGHBOURS,
     "op10_warc": _WARC,
+    "op12_merkle": _merkle_sql(),
 }
