@@ -9,13 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab
-from ..sources import wide
+from ..sources import fixtures, wide
 from ..sources.tables import Tables
 
 SHEET = ["store_id", "year"]
-#: (end of the SKU, cell, value) of the cells that the reject check plants.
-BAD_CELLS = [("89", "jan_amt", "n/a"), ("83", "mar_qty", "12345678901234567890123"),
-             ("71", "feb_amt", "10000000000.00")]
 
 
 def sales_sheets(t: Tables, with_total: bool) -> DataFrame:
@@ -67,13 +64,9 @@ def unpivoted(t: Tables) -> DataFrame:
 
 
 def rejects(t: Tables) -> DataFrame:
-    """Cells that do not parse, over sheets with bad cells (a word, a count beyond a
-    long) and, beside them, amounts of eleven digits, which parse."""
+    """Cells that do not parse, over sheets that have some."""
     kept, _ = sheet_products(t, with_total=True)
-    for end, cell, value in BAD_CELLS:
-        kept = kept.withColumn(cell, F.when(F.col("sku_code").endswith(end), value)
-                               .otherwise(F.col(cell)))
-    return wide.rejected_cells(kept, [*SHEET, "sku_code"])
+    return wide.rejected_cells(fixtures.with_bad_cells(kept), [*SHEET, "sku_code"])
 
 
 def unpivot_view(t: Tables) -> DataFrame:
@@ -123,7 +116,6 @@ def channel_unpivot(t: Tables) -> DataFrame:
 
 
 def unknown_channels(t: Tables) -> DataFrame:
-    """Labels that map to no channel code; each sheet carries one such line more."""
-    sheets = channel_sheets(t)
-    line = sheets.filter(F.col("channel_name") == "Total").withColumn("channel_name", F.lit("Fax"))
-    return wide.unknown_channel_labels(sheets.unionByName(line)).select(*SHEET, "channel_name")
+    """Labels that map to no channel code, over sheets that have some."""
+    sheets = fixtures.with_unknown_channel(channel_sheets(t))
+    return wide.unknown_channel_labels(sheets).select(*SHEET, "channel_name")

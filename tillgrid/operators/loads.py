@@ -1,63 +1,73 @@
-"""Keyed loads exercised on the derived star schema (slice 8).
+"""Keyed loads exercised on the derived schema (slice 8).
 
-The "second load" of the reporting month re-imports it with amounts x1.1 for
-even SKUs, drops odd SKUs from the file (their old rows must survive) and
-adds the next month's lines as new SKUs, some of them twice in the batch
-(the later line wins)."""
+The fact tables are versioned (``sources.versioned``): the stored facts are the first
+version, taken over without a copy, and a load writes the months its batch touches.
+``sources.fixtures`` derives the batches: the "second load" of the reporting month
+re-imports it with amounts x1.1 for even SKUs, drops odd SKUs from the file (their old
+rows survive) and adds new SKUs, some of them twice (the later line wins)."""
 
 from __future__ import annotations
 
-from decimal import Decimal
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import vocab
-from ..sources import star
+from ..sources import fixtures, star, warehouse
+from ..sources.fixtures import FACT_COLS
 from ..sources.tables import Tables
+from ..sources.versioned import VersionedTable
 from . import classify as C
 from . import upsert as U
-from ..session import ensure_checkpoint_dir
 from .report import parse_monthly_context
 
 FACT_KEYS = ["store_id", "period", "partkey"]
-#: A month that no sales have yet.
-MONTH_AHEAD = "2099-01"
-FACT_COLS = ["partkey", "sku_code", "period", "store_id", "order_count", "qty", "amount"]
+CHANNEL_KEYS = ["period", "store_id", "channel_code"]
+CONTEXT_KEYS = ["store_id", "period"]
 
 
-def _next_period(p: str) -> str:
-    y, m = int(p[:4]), int(p[5:7])
-    return f"{y + (m == 12):04d}-{m % 12 + 1:02d}"
+def _versions(t: Tables, name: str, inputs: list[str], rows: Callable[[], DataFrame], columns: list[str] | None,
+              keys: list[str]) -> VersionedTable:
+    """The versioned table over a stored one; its first version takes over the stored folder."""
+    stored = rows()
+    columns = columns or stored.columns
+    own = StructType([stored.schema[c] for c in columns])
+    paths = star._inputs(t, inputs)
+    table = VersionedTable(t.spark, f"{warehouse.folder(t.spark, paths)}/{name}-versions", own)
+    if not table.version():
+        if warehouse.enabled(t.spark):
+            table.adopt(f"{warehouse.folder(t.spark, paths)}/{name}")
+        else:
+            table.upsert(stored.select(*columns), keys)
+    return table
 
 
-def second_load(t: Tables) -> DataFrame:
-    rpt = star.reporting_month(t)
-    old = star.fact_sales(t).select(*FACT_COLS)
-    cur = old.filter(F.col("period") == rpt)
-    even = (cur.filter(F.col("partkey") % 2 == 0)
-            .withColumn("amount", F.round(F.col("amount") * F.lit(Decimal("1.1")), 2)
-                        .cast(old.schema["amount"].dataType))
-            .withColumn("load_seq", F.lit(1)))
-    moved = (old.filter(F.col("period") == _next_period(rpt)).withColumn("period", F.lit(rpt))
-             .join(cur.select("store_id", "partkey"), ["store_id", "partkey"], "left_anti"))
-    again = moved.withColumn("qty", F.col("qty") + 1).withColumn("load_seq", F.lit(2))
-    return (even.unionByName(moved.withColumn("load_seq", F.lit(1))).unionByName(again))
+def fact_sales_table(t: Tables) -> VersionedTable:
+    return _versions(t, "fact_sales", ["lineitem", "supplier", "nation"], lambda: star.fact_sales(t), FACT_COLS,
+                     FACT_KEYS)
+
 
+def fact_channel_table(t: Tables) -> VersionedTable:
+    return _versions(t, "fact_channel", ["orders", "customer", "nation", "lineitem"],
+                     lambda: star.fact_channel(t), None, CHANNEL_KEYS)
 
-def deduped_batch(t: Tables) -> DataFrame:
-    """K8: the incoming batch with the later line per key, frozen once in
-    the shared checkpoint folder — the upsert reads it three times (touched
-    months, keys, rows) and must see one consistent copy."""
-    ensure_checkpoint_dir(t.spark)
-    return U.latest_per_key(second_load(t), FACT_KEYS).checkpoint(eager=True)
 
+def load_sales(table: VersionedTable, batch: DataFrame, dim: DataFrame, order: str | None = "load_seq",
+               log: tuple[str, list[str]] | None = None) -> int:
+    """K2 + K8 + J10: upsert fact lines; a line of an unregistered SKU stops the load."""
+    known = dim.select("sku_code", F.lit(True).alias("_registered"))
+    return table.upsert(batch.join(known, "sku_code", "left"), FACT_KEYS, order, {
+        "unregistered SKU": F.col("_registered").isNull()}, log)
 
-def upsert_fact_sales(t: Tables, batch: DataFrame | None = None) -> DataFrame:
-    """K8 + K2: dedupe the batch, then upsert touching only its months."""
-    old = star.fact_sales(t).select(*FACT_COLS)
-    new = (batch if batch is not None else deduped_batch(t)).select(*FACT_COLS)
-    return U.upsert_rows(old, new, FACT_KEYS, touched=["period"])
+
+def upsert_fact_sales(t: Tables) -> DataFrame:
+    """K8 + K2: the facts after the second load, read back from its version."""
+    table = fact_sales_table(t)
+    rpt = star.reporting_month(t)
+    return table.read(load_sales(table, fixtures.second_load(t), star.dim_product(t),
+                                 log=("second load", [rpt])))
 
 
 def upsert_fact_sales_view(t: Tables) -> DataFrame:
@@ -67,34 +77,31 @@ def upsert_fact_sales_view(t: Tables) -> DataFrame:
 
 def load_reconcile(t: Tables) -> DataFrame:
     """Q7 + F15: stored vs loaded for the loaded (store, month) groups."""
-    new = deduped_batch(t)
-    return U.reconcile(upsert_fact_sales(t, new), new, ["store_id", "period"])
-
-
-CHANNEL_KEYS = ["period", "store_id", "channel_code"]
+    new = U.latest_per_key(fixtures.second_load(t), FACT_KEYS)
+    return U.reconcile(upsert_fact_sales(t), new, ["store_id", "period"])
 
 
 def upsert_fact_channel(t: Tables) -> DataFrame:
-    """K3: the reporting month's channel sheet re-imported with export
-    volumes doubled; other months and channels keep their rows."""
+    """K3: the reporting month's channel sheet re-imported with export volumes doubled; other
+    months and channels keep their rows.  Read back from the load's version."""
     rpt = star.reporting_month(t)
-    old = star.fact_channel(t)
-    new = (old.filter((F.col("period") == rpt) & (F.col("channel_group") == "export"))
+    table = fact_channel_table(t)
+    new = (star.fact_channel(t).filter((F.col("period") == rpt) & (F.col("channel_group") == "export"))
            .withColumn("qty", F.col("qty") * 2))
-    out = U.upsert_rows(old, new, CHANNEL_KEYS, touched=["period"])
+    out = table.read(table.upsert(new, CHANNEL_KEYS, log=("second load", [rpt])))
     return out.select("period", "store_id", "channel_code", "channel_group", "order_count", "qty",
                       F.col("amount").cast("double").alias("amount"))
 
 
+def unregistered(batch: DataFrame, dim: DataFrame) -> DataFrame:
+    """Batch lines whose SKU has no dimension row (a load stops on any)."""
+    return batch.join(dim.select("sku_code"), "sku_code", "left_anti").select("store_id", "period", "sku_code")
+
+
 def fact_key_check(t: Tables) -> DataFrame:
-    """Batch lines whose SKU has no dimension row (load aborts on any); beside
-    the lines of every 25th part the batch carries one of an unregistered SKU."""
-    new = deduped_batch(t)
-    stray = (new.filter(F.col("partkey") % 25 == 0)
-             .withColumn("sku_code", F.concat("sku_code", F.lit("-U"))))
-    new = new.unionByName(stray)
-    return new.join(star.dim_product(t).select("sku_code"), "sku_code", "left_anti") \
-        .select("store_id", "period", "sku_code")
+    """J10 over a batch with unregistered SKUs."""
+    batch = fixtures.with_stray_skus(U.latest_per_key(fixtures.second_load(t), FACT_KEYS))
+    return unregistered(batch, star.dim_product(t))
 
 
 def upsert_dim_product(t: Tables) -> DataFrame:
@@ -154,22 +161,27 @@ def dim_date_skipped(t: Tables) -> DataFrame:
 
 
 def context_file(t: Tables) -> DataFrame:
-    """The context rows, and each store's reporting month once more under a month
-    that no sales have yet."""
     rows, _ = parse_monthly_context(star.monthly_context_source(t))
-    ahead = (rows.filter(F.col("period") == star.reporting_month(t))
-             .withColumn("period", F.lit(MONTH_AHEAD)))
-    return rows.unionByName(ahead)
+    return fixtures.with_month_ahead(rows, star.reporting_month(t))
+
+
+def load_context(table: VersionedTable, rows: DataFrame, dim_date: DataFrame,
+                 log: tuple[str, list[str]] | None = None) -> int:
+    """K4: the whole context file each run; months missing from dim_date are skipped."""
+    loadable = rows.join(dim_date.select("period"), "period", "left_semi")
+    return table.upsert(loadable, CONTEXT_KEYS, log=log)
 
 
 def upsert_monthly_context(t: Tables) -> DataFrame:
-    """K4: context rows up to 1997 were loaded before; now the whole file is
-    loaded again; months missing from dim_date are skipped."""
+    """K4: context rows up to 1997 were loaded before; now the whole file is loaded again.
+    Read back from the load's version."""
     rows = context_file(t)
-    existing = rows.filter(F.col("period") < "1998-01") \
-        .withColumn("study_tour_note", F.lit("older note"))
+    paths = star._inputs(t, ["orders", "customer", "nation", "lineitem", "supplier"])
+    table = VersionedTable(t.spark, f"{warehouse.folder(t.spark, paths)}/context-versions", rows.schema)
     dim = star.dim_date(t, through=star.reporting_month(t))
-    table, _ = U.upsert_context(existing, rows, dim, ["store_id", "period"])
+    existing = rows.filter(F.col("period") < "1998-01").withColumn("study_tour_note", F.lit("older note"))
+    table.upsert(existing, CONTEXT_KEYS, log=("context file", ["up to 1997"]))
+    table = table.read(load_context(table, rows, dim, ("context file", ["whole"])))
     return table.withColumn("miniprogram_completion_rate",
                             F.col("miniprogram_completion_rate").cast("double"))
 

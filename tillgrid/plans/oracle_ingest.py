@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .. import vocab
-from ..operators.ingest import BAD_CELLS
+from ..sources.fixtures import BAD_CELLS
 from .sqlgen import q, with_star
 
 P = vocab.PRODUCT_PATTERN

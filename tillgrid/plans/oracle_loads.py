@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators.loads import MONTH_AHEAD
+from ..sources.fixtures import MONTH_AHEAD
 from .oracle_ingest import parsed_cte, sales_sheets_cte
 from .sqlgen import RPT, with_star
 

@@ -197,7 +197,7 @@ def dim_product(t: Tables, rules: vocab.RuleSet = vocab.FIXTURE_RULES) -> DataFr
                 .select("partkey", "sku_code", "brand", "product_desc", "category", "tier",
                         "shipping_channel", "product_type"))
     return warehouse.materialized(t.spark, "dim_product", _inputs(t, ["part"]), build,
-                                  enabled=rules is vocab.FIXTURE_RULES)
+                                  store=rules is vocab.FIXTURE_RULES)
 
 
 def sales(t: Tables, period: str | None = None, through: str | None = None,
@@ -213,7 +213,7 @@ def sales(t: Tables, period: str | None = None, through: str | None = None,
     s = warehouse.materialized(t.spark, "sales",
                                _inputs(t, ["lineitem", "supplier", "nation", "part"]), build,
                                partition_by=["period"], cluster_by=["store_id", "partkey"],
-                               enabled=rules is vocab.FIXTURE_RULES)
+                               store=rules is vocab.FIXTURE_RULES)
     if period is not None:
         s = s.filter(F.col("period") == period)
     if through is not None:

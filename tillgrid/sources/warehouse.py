@@ -81,9 +81,18 @@ def root(spark: SparkSession) -> str:
     return configured or ensure_checkpoint_dir(spark).rstrip("/") + "/tillgrid-star"
 
 
+def enabled(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.tillgrid.materialize", "true") != "false"
+
+
+def folder(spark: SparkSession, inputs: list[str]) -> str:
+    """Where the tables derived from these inputs are stored."""
+    return f"{root(spark)}/{_fingerprint(spark, inputs)}"
+
+
 def materialized(spark: SparkSession, name: str, inputs: list[str],
                  build: Callable[[], DataFrame], partition_by: list[str] | None = None,
-                 cluster_by: list[str] | None = None, enabled: bool = True) -> DataFrame:
+                 cluster_by: list[str] | None = None, store: bool = True) -> DataFrame:
     """Return table ``name`` derived by ``build()`` from ``inputs``; build and
     write it on first use.
 
@@ -91,10 +100,10 @@ def materialized(spark: SparkSession, name: str, inputs: list[str],
     columns) before the write: each task writes a contiguous slice, so the
     file count is about tasks + partitions (not tasks x partitions) and a hot
     partition value is split over many tasks by the cluster key."""
-    if not enabled or spark.conf.get("spark.tillgrid.materialize", "true") == "false":
+    if not store or not enabled(spark):
         return build()
-    key = _fingerprint(spark, inputs)
-    final = f"{root(spark)}/{key}/{name}"
+    place = folder(spark, inputs)
+    final = f"{place}/{name}"
     fs, fp = _fs(spark, final)
     schema_path = _fs(spark, final + "/_schema.json")[1]
     if fs.exists(_fs(spark, final + "/_SUCCESS")[1]) and fs.exists(schema_path):
@@ -102,7 +111,7 @@ def materialized(spark: SparkSession, name: str, inputs: list[str],
     else:
         plan = build()
         schema = plan.schema
-        tmp = f"{root(spark)}/{key}/_tmp-{name}-{uuid.uuid4().hex}"
+        tmp = f"{place}/_tmp-{name}-{uuid.uuid4().hex}"
         out = plan
         if partition_by:
             n = int(spark.conf.get("spark.sql.shuffle.partitions"))

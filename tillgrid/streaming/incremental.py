@@ -1,76 +1,50 @@
 """Incremental loads with Structured Streaming.
 
-The source system handles late corrections by re-importing a month and
-upserting it (rows not in the new file survive).  The streaming form: month
-extracts land as files in a folder; a file-source stream picks up each new
-file, and ``foreachBatch`` applies the same keyed upsert (``upsert_rows``,
-touching only the months in the batch) and publishes a new table snapshot.
-Progress is tracked in the checkpoint folder, so a restarted or retried
-query neither skips nor double-applies a file; the upsert itself is
-idempotent, so replaying a batch after a failure gives the same table.
+The source system handles late corrections by re-importing a month and upserting
+it (rows not in the new file survive).  The streaming form: month extracts land as
+files in a folder, a file-source stream picks up each new file, and ``foreachBatch``
+upserts it into a versioned table, which writes the touched months only.
+
+A file is applied once.  The table's manifest names the files of each load and is
+published together with its rows, so a batch that is replayed, or handed in again
+after the stream's checkpoint was reset and batch numbers start anew, is recognised
+by its files: those applied are passed over, the others are loaded.  (A replay of an
+old file would else undo a later correction.)
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ..operators import upsert as U
+from ..sources.versioned import VersionedTable
 
 FACT_KEYS = ["store_id", "period", "partkey"]
 
 
-def _latest_snapshot(spark: SparkSession, table_root: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table_root)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    versions = [s.getPath().getName() for s in fs.listStatus(root)
-                if s.getPath().getName().startswith("v=")
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    if not versions:
-        return None
-    return f"{table_root.rstrip('/')}/{max(versions, key=lambda v: int(v[2:]))}"
-
-
-def apply_batch(table_root: str, schema: StructType, keys: list[str] = FACT_KEYS,
-                touched: list[str] | None = None):
-    """foreachBatch handler: dedupe the batch (later line wins), upsert into
-    the latest snapshot and write the next version.  Snapshot folders are
-    numbered by batch id, so a replayed batch rewrites the same version."""
-    touched = touched or ["period"]
-
+def apply_batch(table: VersionedTable, stream: str, keys: list[str] = FACT_KEYS) -> Callable[[DataFrame, int], None]:
+    """foreachBatch handler: the batch's new files (column ``_file``) go into the table,
+    of lines with one key the last by ``load_seq``."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = U.latest_per_key(batch, keys).drop("load_seq")
-        latest = _latest_snapshot(spark, table_root)
-        if latest is None:
-            table = new
-        else:
-            old = spark.read.schema(schema).parquet(latest)
-            table = U.upsert_rows(old, new.select(*old.columns), keys, touched)
-        target = f"{table_root.rstrip('/')}/v={batch_id + 1}"
-        if latest == target:  # replay of the batch that produced the latest snapshot
-            return
-        table.write.mode("overwrite").partitionBy(*touched).parquet(target)
-
+        fresh = batch.join(table.applied(stream).withColumnRenamed("name", "_file"), "_file", "left_anti")
+        files = sorted(r["_file"] for r in fresh.select("_file").distinct().collect())  # maxFilesPerTrigger at most
+        if files:
+            table.upsert(fresh, keys, order="load_seq", log=(stream, files))
     return run
 
 
 def start_fact_stream(spark: SparkSession, landing: str, table_root: str, checkpoint: str,
-                      schema: StructType, once: bool = False) -> StreamingQuery:
-    """Stream month extracts (Parquet files with ``schema`` plus ``load_seq``)
-    from ``landing`` into the snapshot-versioned fact table at ``table_root``."""
-    src = (spark.readStream.schema(StructType(schema.fields + [
-        StructType.fromJson({"type": "struct", "fields": [
-            {"name": "load_seq", "type": "long", "nullable": True, "metadata": {}}]}).fields[0]]))
-        .option("maxFilesPerTrigger", 1).parquet(landing))
-    w = (src.withColumn("load_seq", F.coalesce("load_seq", F.lit(0)))
-         .writeStream.foreachBatch(apply_batch(table_root, schema))
-         .option("checkpointLocation", checkpoint))
-    if once:
-        w = w.trigger(availableNow=True)
-    return w.start()
+                      schema: StructType, once: bool = False, stream: str = "fact stream") -> StreamingQuery:
+    """Stream month extracts (Parquet files with ``schema`` plus ``load_seq``) from
+    ``landing`` into the versioned fact table at ``table_root``."""
+    files = StructType([*schema.fields, StructField("load_seq", LongType())])
+    name = F.concat_ws("#", "_metadata.file_path", F.unix_millis("_metadata.file_modification_time").cast("string"))
+    rows = (spark.readStream.schema(files).option("maxFilesPerTrigger", 1).parquet(landing)
+            .select("*", name.alias("_file")).withColumn("load_seq", F.coalesce("load_seq", F.lit(0))))
+    table = VersionedTable(spark, table_root, schema)
+    writer = rows.writeStream.foreachBatch(apply_batch(table, stream)).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
