@@ -1,99 +1,86 @@
 """Fuzzy brand resolution (Ratcliff-Obershelp ratio, stdlib difflib).
 
-Only distinct unresolved names are scored, and only against known names
-whose length can still reach the threshold: ``ratio <= 2*min(la,lb)/(la+lb)``
-is a lossless upper bound, so each known name is fanned out over the
-candidate lengths it admits and joined on length (an equi-join, not a cross
-join).  A pair must then share enough characters, a second lossless bound
-in column expressions.  The ratio itself runs in an Arrow-batched pandas UDF.
+Only distinct spellings that exact and space-free matching leave unresolved are
+scored, and only against the known names that ``operators.similar`` finds within the
+threshold.  What was scored is stored, one row per spelling, and kept up by load:
+a spelling is scored once, and the product dimension joins the stored table.
 """
 
 from __future__ import annotations
 
-import difflib
-import math
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from .. import vocab
 from ..functions.text import normalise_brand, tight_brand
+from ..sources.versioned import VersionedTable
+from .similar import seq_ratio, shares_enough, similar
+
+__all__ = ["seq_ratio", "shares_enough"]
 
+#: The stored resolutions: fuzzy_brand and ratio are null where no known name is near enough.
+RESOLUTIONS = "norm_brand string, fuzzy_brand string, ratio double, shelf string"
+#: Shelves (parts) of the stored resolutions: a load rewrites those of its new spellings.
+SHELVES = 16
 
-@F.pandas_udf(DoubleType())
-def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """difflib ratio of (a, b) — argument order matters (not symmetric)."""
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)],
-                     dtype="float64")
 
+def known_frame(spark: SparkSession, names: list[str]) -> DataFrame:
+    """The known list by its space-free spellings; a later duplicate keeps the first
+    position but the later brand, as a dict built in order."""
+    entries: dict[str, tuple[int, str]] = {}
+    for i, brand in enumerate(names):
+        key = brand.replace(" ", "")
+        entries[key] = (entries[key][0] if key in entries else i, brand)
+    return spark.createDataFrame([(k, b, i) for k, (i, b) in entries.items()],
+                                 "b string, known_brand string, ordinal int")
 
-def shares_enough(a: str, b: str, threshold: float) -> Column:
-    """Whether the characters that ``a`` and ``b`` share, in any order, still allow
-    the threshold: a lossless bound of the ratio that needs no Python."""
-    chars = F.array_distinct(F.split(F.col(b), ""))
 
-    def times(s: str, c: Column) -> Column:
-        return F.length(s) - F.length(F.replace(F.col(s), c, F.lit("")))
+def unresolved(brands: DataFrame, rules: vocab.RuleSet) -> DataFrame:
+    """(norm_brand, a) of the distinct spellings that exact and tight matching leave; ``a`` has no spaces."""
+    tight = {b.replace(" ", "") for b in rules.known_brands}
+    return (brands.select(normalise_brand("brand").alias("norm_brand"), tight_brand("brand").alias("a")).distinct()
+            .filter(~F.col("norm_brand").isin(*rules.known_brands) & ~F.col("a").isin(*tight)))
 
-    common = F.aggregate(chars, F.lit(0), lambda n, c: n + F.least(times(a, c), times(b, c)))
-    return 2 * common >= (threshold - 1e-9) * (F.length(a) + F.length(b))
 
+def _scored(names: DataFrame, rules: vocab.RuleSet, threshold: float) -> DataFrame:
+    """(a, fuzzy_brand, ratio): the best known brand within the threshold, the first of equals."""
+    known = known_frame(names.sparkSession, rules.known_brands)
+    near = similar(names, known, threshold).join(known, "b")
+    best = near.groupBy("a").agg(F.max_by(F.struct("known_brand", "ratio"),
+                                          F.struct(F.col("ratio"), -F.col("ordinal"))).alias("best"))
+    return best.select("a", F.col("best.known_brand").alias("fuzzy_brand"), "best.ratio")
 
-def _length_band(length: int, threshold: float) -> tuple[int, int]:
-    """Candidate lengths l with 2*min(l, L)/(l + L) >= threshold."""
-    if threshold <= 0:
-        return 0, 1 << 20
-    # widened by an epsilon: extra candidates are dropped by the exact ratio
-    lo = math.ceil(threshold * length / (2 - threshold) - 1e-9)
-    hi = math.floor((2 - threshold) * length / threshold + 1e-9)
-    return lo, hi
 
+def fuzzy_resolve(brands: DataFrame, rules: vocab.RuleSet = vocab.FIXTURE_RULES,
+                  threshold: float = vocab.FUZZY_THRESHOLD) -> DataFrame:
+    """U1 / J14 stage 3 for every distinct brand spelling that exact and tight matching
+    leave unresolved: norm_brand, fuzzy_brand, ratio, for those with a brand near enough."""
+    names = unresolved(brands, rules)
+    return names.join(_scored(names, rules, threshold), "a").select("norm_brand", "fuzzy_brand", "ratio")
 
-def known_frame(spark: SparkSession, names: list[str], threshold: float,
-                tight: bool = True) -> DataFrame:
-    """The known list (bounded rule data) with ordinal and admissible lengths.
 
-    With ``tight`` the lookup is the space-free spelling; a later duplicate
-    keeps the first position but the later brand, as a dict built in order."""
-    entries: dict[str, tuple[int, str]] = {}
-    for i, b in enumerate(names):
-        key = b.replace(" ", "") if tight else b
-        entries[key] = (entries[key][0] if key in entries else i, b)
-    rows = []
-    for key, (ordinal, brand) in entries.items():
-        lo, hi = _length_band(len(key), threshold)
-        rows.append((key, brand, ordinal, lo, hi))
-    return spark.createDataFrame(rows, "known_key string, known_brand string, ordinal int, "
-                                       "lo int, hi int")
+def resolution_table(spark: SparkSession, root: str) -> VersionedTable:
+    schema = spark.createDataFrame([], RESOLUTIONS).schema
+    return VersionedTable(spark, root, schema, part="shelf")
 
 
-def _candidates(names: DataFrame, known: DataFrame, key_col: str) -> DataFrame:
-    fan = known.select("*", F.explode(F.sequence("lo", "hi")).alias("len"))
-    return names.withColumn("len", F.length(key_col)).join(F.broadcast(fan), "len")
+def keep_resolutions(table: VersionedTable, brands: DataFrame, rules: vocab.RuleSet = vocab.FIXTURE_RULES,
+                     threshold: float = vocab.FUZZY_THRESHOLD) -> int:
+    """Score the spellings that the table does not hold yet, and add them.  Returns its version."""
+    new = unresolved(brands, rules).join(table.read().select("norm_brand"), "norm_brand", "left_anti")
+    shelf = F.pmod(F.xxhash64("norm_brand"), F.lit(SHELVES)).cast("string")
+    rows = (new.join(_scored(new, rules, threshold), "a", "left")
+            .select("norm_brand", "fuzzy_brand", "ratio", shelf.alias("shelf")))
+    return table.upsert(rows, ["norm_brand"])
 
 
-def fuzzy_resolve(brands: DataFrame, rules: vocab.RuleSet = vocab.FIXTURE_RULES,
-                  threshold: float = vocab.FUZZY_THRESHOLD) -> DataFrame:
-    """U1 / J14 stage 3 for every distinct brand spelling that exact and
-    tight matching leave unresolved: norm_brand, fuzzy_brand, ratio
-    (best known brand with ratio >= threshold, first-best on ties)."""
-    spark = brands.sparkSession
-    known_norm = set(rules.known_brands)
-    known_tight = {b.replace(" ", "") for b in rules.known_brands}
-    d = (brands.select(normalise_brand("brand").alias("norm_brand"),
-                       tight_brand("brand").alias("tight")).distinct()
-         .filter(~F.col("norm_brand").isin(*known_norm) & ~F.col("tight").isin(*known_tight)))
-    known = known_frame(spark, rules.known_brands, threshold)
-    cand = _candidates(d, known, "tight").filter(shares_enough("tight", "known_key", threshold))
-    cand = cand.withColumn("ratio", seq_ratio("tight", "known_key"))
-    best = (cand.groupBy("norm_brand")
-            .agg(F.max_by(F.struct("known_brand", "ratio"),
-                          F.struct(F.col("ratio"), -F.col("ordinal"))).alias("b")))
-    return (best.select("norm_brand", F.col("b.known_brand").alias("fuzzy_brand"),
-                        F.col("b.ratio").alias("ratio"))
-            .filter(F.col("ratio") >= threshold))
+def headroom(names: DataFrame, floor: float = 0.3, threshold: float = vocab.FUZZY_THRESHOLD) -> DataFrame:
+    """Q11: pairs of different brands (``brand``) with a ratio of ``floor`` or more, and whether
+    fuzzy matching would merge them.  The threshold has headroom while it merges none."""
+    own = names.select(normalise_brand("brand").alias("a")).distinct()
+    pairs = similar(own, own.withColumnRenamed("a", "b"), floor).where("a < b")
+    return pairs.select(F.col("a").alias("brand_a"), F.col("b").alias("brand_b"),
+                        F.round("ratio", 3).alias("ratio"), (F.col("ratio") >= threshold).alias("merged"))
 
 
 def resolution(brands: DataFrame, rules: vocab.RuleSet = vocab.FIXTURE_RULES,
@@ -126,18 +113,9 @@ def close_names(new_keys: DataFrame, known_keys: DataFrame, n: int = vocab.CLOSE
                 cutoff: float = vocab.CLOSE_NAME_CUTOFF) -> DataFrame:
     """Up to n known keys with ratio(known, new) >= cutoff, best
     first, ties by the larger key (as a heap of (score, name) would)."""
-    known = known_keys.select(F.col("brand_key").alias("known_key")).distinct()
-    fan = known.select("known_key", F.length("known_key").alias("kl"))
-    lens = fan.select(F.explode(F.sequence(
-        F.ceil(F.lit(cutoff) * F.col("kl") / F.lit(2 - cutoff) - F.lit(1e-9)).cast("int"),
-        F.floor(F.lit(2 - cutoff) * F.col("kl") / F.lit(cutoff) + F.lit(1e-9)).cast("int")))
-        .alias("len"),
-        "known_key")
-    cand = (new_keys.select("brand_key").distinct().withColumn("len", F.length("brand_key"))
-            .join(lens, "len").filter(shares_enough("known_key", "brand_key", cutoff))
-            .withColumn("ratio", seq_ratio("known_key", "brand_key"))
-            .filter(F.col("ratio") >= cutoff))
-    w = Window.partitionBy("brand_key").orderBy(F.desc("ratio"), F.desc("known_key"))
-    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-            .select("brand_key", "rank", F.col("known_key").alias("close_name"),
+    near = similar(known_keys.select(F.col("brand_key").alias("a")),
+                   new_keys.select(F.col("brand_key").alias("b")), cutoff)
+    w = Window.partitionBy("b").orderBy(F.desc("ratio"), F.desc("a"))
+    return (near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+            .select(F.col("b").alias("brand_key"), "rank", F.col("a").alias("close_name"),
                     F.round("ratio", 3).alias("ratio")))

@@ -226,7 +226,7 @@ def dim_first_line(t: Tables) -> DataFrame:
     cls = C.classify_products(kept.select("store_id", "year", "sku_code", "brand",
                                           "product_desc", "freight_tag"),
                               star.brand_categories(t), star.sku_overrides(t),
-                              star.known_skus(t), vocab.FIXTURE_RULES)
+                              star.known_skus(t), vocab.FIXTURE_RULES, star.brand_resolutions(t))
     first = C.first_per_key(cls.select("sku_code", "category", "tier", "brand", "store_id", "year",
                                        "product_desc", "shipping_channel"),
                             ["sku_code"], ["category", "tier", "brand", "store_id", "year"])

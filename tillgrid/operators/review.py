@@ -14,6 +14,7 @@ from ..functions.text import brand_key
 from ..sources import star
 from ..sources.tables import Tables
 from . import classify as C
+from . import fuzzy as FZ
 
 G = ["store_id", "period"]
 
@@ -71,11 +72,18 @@ def brand_inventory_view(t: Tables) -> DataFrame:
 
 
 def new_brands(t: Tables) -> DataFrame:
-    """Q1: brands sold in a store-month that have no confirmed category."""
+    """Q1: brands sold in a store-month that have no confirmed category, by revenue
+    (``place``), each with the names of known brands that it is close to."""
     cats = C.variant_categories(star.brand_categories(t), skip_blank=True)
-    return (brand_inventory(t).join(cats, "brand_key", "left_anti")
-            .select(*G, "brand_key", "brand_variants", "n_sku",
-                    F.col("total_amt").cast("double").alias("total_amt"), "sample_product"))
+    new = brand_inventory(t).join(cats, "brand_key", "left_anti")
+    close = (FZ.close_names(new.select("brand_key"), cats).groupBy("brand_key")
+             .agg(F.array_sort(F.collect_list(F.struct("rank", "close_name"))).alias("c"))
+             .select("brand_key", F.array_join(F.transform("c", lambda x: x["close_name"]), "/").alias("close_names")))
+    by_revenue = Window.partitionBy(*G).orderBy(F.desc("total_amt"), "brand_key")
+    return (new.join(close, "brand_key", "left").withColumn("place", F.row_number().over(by_revenue))
+            .select(*G, "place", "brand_key", "brand_variants", "n_sku",
+                    F.col("total_amt").cast("double").alias("total_amt"), "sample_product",
+                    F.coalesce("close_names", F.lit("")).alias("close_names")))
 
 
 def brand_carry_forward(t: Tables) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import vocab
+from .oracle_fuzzy import close_pairs
 from .sqlgen import keyword_guess, q, verdict, with_star
 
 R = vocab.FIXTURE_RULES
@@ -47,12 +48,14 @@ SELECT sku_code, brand, product_desc FROM conf WHERE verdict = 'brand_not_classi
     s["brand_inventory"] = with_star(MONTH_PRODUCTS + """
 SELECT store_id, period, brand_key, brand_variants, n_sku, CAST(total_amt AS DOUBLE) AS total_amt,
        sample_product FROM inv""")
-    s["new_brands"] = with_star(MONTH_PRODUCTS + """
-SELECT store_id, period, brand_key, brand_variants, n_sku, CAST(total_amt AS DOUBLE) AS total_amt,
-       sample_product FROM inv
-WHERE brand_key NOT IN (SELECT lower(trim(unnest(string_split(brand_variants, '/'))))
-                        FROM brand_categories
-                        WHERE coalesce(trim(confirmed_category), '') <> '')""")
+    s["new_brands"] = with_star(MONTH_PRODUCTS + close_pairs() + """
+, named AS (SELECT new_key, string_agg(known_key, '/' ORDER BY rank) AS close_names FROM close GROUP BY 1)
+SELECT store_id, period,
+       CAST(row_number() OVER (PARTITION BY store_id, period ORDER BY total_amt DESC, brand_key) AS INTEGER) AS place,
+       brand_key, brand_variants, n_sku, CAST(total_amt AS DOUBLE) AS total_amt, sample_product,
+       coalesce(close_names, '') AS close_names
+FROM inv LEFT JOIN named ON brand_key = new_key
+WHERE brand_key NOT IN (SELECT known_key FROM keys)""")
     s["brand_carry_forward"] = with_star(MONTH_PRODUCTS + """
 , months AS (SELECT DISTINCT store_id, period FROM inv)
 SELECT m.store_id, m.period,

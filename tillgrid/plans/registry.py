@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import document as DOC
 from ..operators import fuzzy as FZ
@@ -138,9 +139,10 @@ def fuzzy_queries() -> dict[str, Query]:
         "brand_resolution": _all(lambda t: FZ.resolution(_brands(t))),
         "fuzzy_merges": _all(lambda t: FZ.fuzzy_merges(_brands(t))),
         "close_names": _all(lambda t: FZ.close_names(*_new_and_known_keys(t))),
-        "classified_fuzzy": _all(lambda t: star.classified(
-            t, fuzzy_brands=FZ.fuzzy_resolve(_brands(t))).select(
-                "sku_code", "brand", "resolved_brand", "resolve_how", "tier", "tier_reason")),
+        "classified_fuzzy": _all(lambda t: star.classified(t).select(
+            "sku_code", "brand", "resolved_brand", "resolve_how", "tier", "tier_reason")),
+        "brand_headroom": _all(lambda t: FZ.headroom(star.brand_categories(t).select(
+            F.substring_index("brand_variants", "/", 1).alias("brand")))),
     }
 
 
@@ -222,6 +224,8 @@ def oracle_sql() -> dict[str, str]:
     s.update(ingest_sql())
     from .oracle_review import sql as review_sql
     s.update(review_sql())
+    from .oracle_fuzzy import sql as fuzzy_sql
+    s.update(fuzzy_sql())
     from .oracle_loads import sql as loads_sql
     s.update(loads_sql())
     from .oracle_text import sql as text_sql

@@ -4,6 +4,8 @@ so every registered query can be checked against an independent engine."""
 
 from __future__ import annotations
 
+import difflib
+
 from .. import vocab
 
 
@@ -85,7 +87,30 @@ def tight_brand(b: str) -> str:
     return f"replace({norm_brand(b)}, ' ', '')"
 
 
-def resolved_brand(b: str, rules: vocab.RuleSet) -> str:
+def spellings(name: str) -> dict[str, str]:
+    """``sources.star.brand_spellings`` of a fixture brand."""
+    return {"plain": name, "capitals": name.upper(), "dropped": name[:2] + name[3:],
+            "joined": name.replace(" ", ""), "swapped": name[:3] + name[4:5] + name[3:4] + name[5:]}
+
+
+def fuzzy_pairs(rules: vocab.RuleSet) -> dict[str, tuple[str, float]]:
+    """Space-free spelling -> (known brand, ratio) of the fixture spellings that need the
+    fuzzy stage, by plain difflib."""
+    tight = {k.replace(" ", ""): k for k in rules.known_brands}
+    found = {}
+    for name in vocab.FIXTURE_BRANDS:
+        for typed in spellings(name).values():
+            t = typed.lower().replace(" ", "")
+            if t in tight:
+                continue
+            ratios = [(difflib.SequenceMatcher(None, t, k).ratio(), -i, b) for i, (k, b) in enumerate(tight.items())]
+            ratio, _, best = max(ratios)
+            if ratio >= vocab.FUZZY_THRESHOLD:
+                found[t] = (best, ratio)
+    return found
+
+
+def resolved_exact_tight(b: str, rules: vocab.RuleSet) -> str:
     n, t = norm_brand(b), tight_brand(b)
     tight_map = {}
     for k in rules.known_brands:
@@ -94,10 +119,16 @@ def resolved_brand(b: str, rules: vocab.RuleSet) -> str:
     return f"(CASE WHEN {n} IN ({lst(rules.known_brands)}) THEN {n} {whens} ELSE NULL END)"
 
 
+def resolved_brand(b: str, rules: vocab.RuleSet) -> str:
+    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, (v, _) in fuzzy_pairs(rules).items())
+    return f"coalesce({resolved_exact_tight(b, rules)}, CASE {tight_brand(b)} {whens} END)"
+
+
 def resolve_how(b: str, rules: vocab.RuleSet) -> str:
     n = norm_brand(b)
     return (f"(CASE WHEN {n} IN ({lst(rules.known_brands)}) THEN 'exact' "
-            f"WHEN {resolved_brand(b, rules)} IS NOT NULL THEN 'tight' ELSE 'none' END)")
+            f"WHEN {resolved_exact_tight(b, rules)} IS NOT NULL THEN 'tight' "
+            f"WHEN {resolved_brand(b, rules)} IS NOT NULL THEN 'fuzzy' ELSE 'none' END)")
 
 
 def tier_parts(rb: str, desc: str, tag: str, rules: vocab.RuleSet) -> tuple[str, str]:
@@ -138,6 +169,10 @@ def report_bucket(cat: str, tier: str) -> str:
 
 RPT = "(SELECT max(strftime(o_orderdate, '%Y-%m')) FROM orders)"
 CATS = "[" + lst(vocab.CATEGORIES) + "]"
+BRANDS = "[" + lst(vocab.FIXTURE_BRANDS) + "]"
+DROPPED = "substr(name, 1, 2) || substr(name, 4)"
+JOINED = "replace(name, ' ', '')"
+SWAPPED = "substr(name, 1, 3) || substr(name, 5, 1) || substr(name, 4, 1) || substr(name, 6)"
 
 
 def star_ctes(rules: vocab.RuleSet = vocab.FIXTURE_RULES, through_rpt: bool = False) -> str:
@@ -162,18 +197,21 @@ fact_sales AS (
   FROM sales_lines GROUP BY partkey, period, store_id),
 products AS (
   SELECT p_partkey AS partkey, 'SKU' || CAST(p_partkey AS VARCHAR) AS sku_code,
-         CASE WHEN p_partkey % 7 = 0 THEN upper(p_brand) ELSE p_brand END AS brand,
-         CAST(split_part(p_brand, '#', 2) AS INTEGER) AS bn,
+         CASE WHEN p_partkey % 7 = 0 THEN upper(name) WHEN p_partkey % 19 = 3 THEN {DROPPED}
+              WHEN p_partkey % 19 = 7 THEN {JOINED} WHEN p_partkey % 19 = 11 THEN {SWAPPED}
+              ELSE name END AS brand, bn,
          p_name || ' ' || lower(p_type) AS product_desc,
          CASE WHEN p_size = 50 THEN 'Drone Courier' WHEN p_size % 4 = 1 THEN 'Express Freight'
               WHEN p_size % 4 = 2 THEN 'Standard Freight' WHEN p_size % 4 = 3 THEN '15-Day Express'
               ELSE '' END AS freight_tag
-  FROM part),
+  FROM (SELECT *, {BRANDS}[bn] AS name FROM (
+        SELECT *, CAST(split_part(p_brand, '#', 2) AS INTEGER) AS bn FROM part))),
 brand_categories AS (
-  SELECT p_brand || '/' || upper(p_brand) AS brand_variants,
+  SELECT name || '/' || upper(name) || '/' || {DROPPED} || '/' || {JOINED} AS brand_variants,
          CASE WHEN bn = 25 THEN '' ELSE {CATS}[bn % 6 + 1] END AS confirmed_category,
          CAST(bn AS BIGINT) AS line_no
-  FROM (SELECT DISTINCT p_brand, CAST(split_part(p_brand, '#', 2) AS INTEGER) AS bn FROM part)),
+  FROM (SELECT *, {BRANDS}[bn] AS name FROM (
+        SELECT DISTINCT p_brand, CAST(split_part(p_brand, '#', 2) AS INTEGER) AS bn FROM part))),
 brand_cat AS (
   SELECT lower(trim(v)) AS brand_key, max_by(category, line_no) AS category
   FROM (SELECT unnest(string_split(brand_variants, '/')) AS v,

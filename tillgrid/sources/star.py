@@ -26,6 +26,7 @@ from .. import vocab
 from ..functions import rules as R
 from ..functions.numeric import money
 from ..operators import classify as C
+from ..operators import fuzzy as FZ
 from . import warehouse
 from .tables import Tables, month_start, next_month_start
 
@@ -120,10 +121,30 @@ def dim_date(t: Tables, through: str | None = None) -> DataFrame:
         ((F.substring("period", 6, 2).cast("int") - 1) / 3 + 1).cast("int").alias("quarter"))
 
 
+def _brand_number():
+    return F.substring_index("p_brand", "#", -1).cast("int")
+
+
+def _brand_name(bn):
+    return F.element_at(F.array(*[F.lit(b) for b in vocab.FIXTURE_BRANDS]), bn)
+
+
+def brand_spellings(name) -> dict:
+    """The ways a brand is typed: as it is, in capitals, a character dropped, without
+    spaces, two characters swapped."""
+    return {"plain": name, "capitals": F.upper(name),
+            "dropped": F.concat(F.substr(name, F.lit(1), F.lit(2)), F.substr(name, F.lit(4))),
+            "joined": F.replace(name, F.lit(" "), F.lit("")),
+            "swapped": F.concat(F.substr(name, F.lit(1), F.lit(3)), F.substr(name, F.lit(5), F.lit(1)),
+                                F.substr(name, F.lit(4), F.lit(1)), F.substr(name, F.lit(6)))}
+
+
 def products(t: Tables) -> DataFrame:
     """One product line per part: sku_code, partkey, brand, bn, product_desc,
     freight_tag (the parsed form of ``[SKUn] [brand]desc{tag}``)."""
     p = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    typed = brand_spellings(_brand_name(_brand_number()))
+    turn = F.col("p_partkey") % 19
     tag = (F.when(F.col("p_size") == 50, F.lit("Drone Courier"))
            .when(F.col("p_size") % 4 == 1, F.lit("Express Freight"))
            .when(F.col("p_size") % 4 == 2, F.lit("Standard Freight"))
@@ -132,9 +153,10 @@ def products(t: Tables) -> DataFrame:
     return p.select(
         F.col("p_partkey").alias("partkey"),
         F.concat(F.lit("SKU"), F.col("p_partkey").cast("string")).alias("sku_code"),
-        F.when(F.col("p_partkey") % 7 == 0, F.upper("p_brand")).otherwise(F.col("p_brand"))
+        F.when(F.col("p_partkey") % 7 == 0, typed["capitals"]).when(turn == 3, typed["dropped"])
+        .when(turn == 7, typed["joined"]).when(turn == 11, typed["swapped"]).otherwise(typed["plain"])
         .alias("brand"),
-        F.substring_index("p_brand", "#", -1).cast("int").alias("bn"),
+        _brand_number().alias("bn"),
         F.concat(F.col("p_name"), F.lit(" "), F.lower("p_type")).alias("product_desc"),
         tag.alias("freight_tag"))
 
@@ -145,12 +167,14 @@ def _category_by_bn(bn, shift: int = 0):
 
 
 def brand_categories(t: Tables) -> DataFrame:
-    """Reference brand list: brand_variants 'Brand#n/BRAND#N', confirmed_category
-    (brand 25 left blank → new-brand queue), line_no."""
+    """Reference brand list: brand_variants 'Name/NAME/Nme/Joined' (the spellings decided
+    earlier; those with swapped letters are new), confirmed_category (brand 25 left
+    blank → new-brand queue), line_no."""
     b = t.part.select("p_brand").distinct()
-    bn = F.substring_index("p_brand", "#", -1).cast("int")
+    bn = _brand_number()
+    typed = brand_spellings(_brand_name(bn))
     return b.select(
-        F.concat(F.col("p_brand"), F.lit("/"), F.upper("p_brand")).alias("brand_variants"),
+        F.concat_ws("/", *(typed[k] for k in ("plain", "capitals", "dropped", "joined"))).alias("brand_variants"),
         F.when(bn == 25, F.lit("")).otherwise(_category_by_bn(bn)).alias("confirmed_category"),
         bn.cast("bigint").alias("line_no"))
 
@@ -182,11 +206,21 @@ def conflict_reviewed(t: Tables) -> DataFrame:
                     F.lit("keep brand default").alias("decision")))
 
 
-def classified(t: Tables, rules: vocab.RuleSet = vocab.FIXTURE_RULES,
-               fuzzy_brands: DataFrame | None = None) -> DataFrame:
-    """Product lines after J6 precedence + tier + shipping."""
+def brand_resolutions(t: Tables) -> DataFrame:
+    """The stored fuzzy resolutions (norm_brand, fuzzy_brand, ratio), with every spelling of the
+    product lines scored; a load that brings no new spelling leaves the table as it is."""
+    table = FZ.resolution_table(t.spark, f"{warehouse.folder(t.spark, _inputs(t, ['part']))}/brand_resolutions")
+    if not table.version():
+        FZ.keep_resolutions(table, products(t).select("brand"))
+    return table.read().select("norm_brand", "fuzzy_brand", "ratio")
+
+
+def classified(t: Tables, rules: vocab.RuleSet = vocab.FIXTURE_RULES) -> DataFrame:
+    """Product lines after J6 precedence + tier + shipping, brands resolved fuzzily too."""
+    fuzzy = (brand_resolutions(t) if rules is vocab.FIXTURE_RULES
+             else FZ.fuzzy_resolve(products(t).select("brand"), rules))
     return C.classify_products(products(t), brand_categories(t), sku_overrides(t),
-                               known_skus(t), rules, fuzzy_brands)
+                               known_skus(t), rules, fuzzy)
 
 
 def dim_product(t: Tables, rules: vocab.RuleSet = vocab.FIXTURE_RULES) -> DataFrame:
