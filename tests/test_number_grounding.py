@@ -118,3 +118,38 @@ def test_replies_are_repaired_only_if_they_fail_and_keep_strings_only(spark):
 
 def test_twenty_fields_may_be_filled_in():
     assert len(vocab.NARRATIVE_FIELDS) == len(set(vocab.NARRATIVE_FIELDS)) == 20
+
+
+def _leaves_of(value):
+    if isinstance(value, dict):
+        return [x for v in value.values() for x in _leaves_of(v)]
+    if isinstance(value, list):
+        return [x for v in value for x in _leaves_of(v)]
+    if value is None or isinstance(value, bool):
+        return []
+    return [value if isinstance(value, str) else float(value)]
+
+
+def test_leaves_of_any_depth_and_escape(spark):
+    rng = random.Random(2)
+    signs = ["a", '"', "\\", "\n", "é", "{", "[", ":", ",", " ", "😀", "/", "u0022", "true"]
+
+    def make(depth):
+        kind = rng.random()
+        if depth and kind < 0.3:
+            return [make(depth - 1) for _ in range(rng.randint(0, 3))]
+        if depth and kind < 0.6:
+            return {"".join(rng.choices(signs, k=3)) + str(i): make(depth - 1) for i in range(rng.randint(0, 3))}
+        return rng.choice([True, None, rng.randint(-999, 10**12), rng.random() * 1e-7, -1.5e300,
+                           "".join(rng.choices(signs, k=rng.randint(0, 8)))])
+
+    texts = [json.dumps(make(6), ensure_ascii=i % 2 == 0) for i in range(200)]
+    texts += [r'{"p": "C:\\", "x": [[[[12345]]]], "y": "z"}', "[" * 200 + "12345" + "]" * 200,
+              json.dumps("\n" * 20_000), '{"a": "1', "nope", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, j string")
+    got = {}
+    for r in GR.json_leaves(df, ["k"], "j").collect():
+        got.setdefault(r.k, []).append(r.str if r.kind == "string" else r.num)
+    for i, text in enumerate(texts[:-3]):
+        assert sorted(got.get(i, []), key=repr) == sorted(_leaves_of(json.loads(text)), key=repr), text[:100]
+    assert not set(got) & set(range(len(texts) - 3, len(texts)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import star
 from ..sources.tables import Tables
 from . import grounding as GR
 from . import report as RP
@@ -102,3 +103,23 @@ def document_findings(t: Tables) -> DataFrame:
     allowed = (GR.allowed_from_typed_json(docs, G, "document", schema)
                .unionByName(GR.prose_numbers(docs, G)))
     return GR.classify_tokens(TX.number_tokens(t), allowed, G)
+
+
+def nested_channel_documents(t: Tables) -> DataFrame:
+    """(store_id, document): each store's channel facts nested by month, with the notes that a
+    naive reader of JSON trips over (paths that end in a backslash, quotes, brackets)."""
+    f = star.fact_channel(t)
+    line = F.struct(F.col("channel_code").alias("code"), F.col("qty"), F.col("amount").cast("double").alias("amount"),
+                    F.concat(F.lit("C:\\"), F.col("channel_group"), F.lit("\\")).alias("path"),
+                    F.array(F.array(F.col("order_count"), F.lit(None).cast("bigint"))).alias("counts"),
+                    (F.col("qty") > 100).alias("large"))
+    months = f.groupBy(*G).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    month = F.struct("period", F.concat(F.lit('"'), "period", F.lit('": [')).alias("note"), "lines")
+    stores = months.groupBy("store_id").agg(F.array_sort(F.collect_list(month)).alias("months"))
+    return stores.select("store_id", F.to_json(F.struct("months")).alias("document"))
+
+
+def json_leaves(t: Tables) -> DataFrame:
+    """The leaves of nested documents, with how often each occurs."""
+    return (GR.json_leaves(nested_channel_documents(t), ["store_id"], "document")
+            .groupBy("store_id", "kind", "num", "str").agg(F.count(F.lit(1)).alias("n")))

@@ -144,42 +144,30 @@ def parse_lenient(text: str | Column) -> Column:
     return F.transform_values(strings, lambda _, x: F.try_variant_get(x, "$", "string"))
 
 
-_NUMERIC = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE", "DECIMAL")
+#: What a JSON text without escaped quotes consists of: strings (a key has its colon behind) and bare words.
+JSON_TOKEN = r'"[^"]*"(?:\s*:)?|[^\s"{}\[\],:]+'
 
 
 def json_leaves(df: DataFrame, keys: list[str], json_col: str) -> DataFrame:
     """S11 / G2 for nested documents: every scalar leaf of a JSON text as
     (keys, kind, num, str) with kind in number / string (booleans and nulls
-    dropped, object keys not used).  One ``variant_explode_outer`` lateral
-    join per nesting level; the levels are as many as the deepest text has
-    brackets open at once, which one grouped maximum finds first."""
-    spark = df.sparkSession
-    cur = df.select(*keys, F.try_parse_json(json_col).alias("v")).filter(F.col("v").isNotNull())
-    out = None
-
-    def leaves_of(frame: DataFrame) -> DataFrame:
-        t = F.schema_of_variant("v")
-        num = t.startswith("DECIMAL") | t.isin(*_NUMERIC)
-        return frame.filter(num | (t == "STRING")).select(
-            *keys, F.when(num, F.lit("number")).otherwise(F.lit("string")).alias("kind"),
-            F.when(num, F.try_variant_get("v", "$", "double")).alias("num"),
-            F.when(~num, F.try_variant_get("v", "$", "string")).alias("str"))
-
-    outside = F.regexp_replace(json_col, r'"(?:[^"\\\\]|\\\\.)*"', "")
-    steps = F.filter(F.split(outside, ""), lambda c: c.isin("[", "{", "]", "}"))
-    depth = F.aggregate(steps, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), lambda s, c: F.struct(
-        (s["now"] + F.when(c.isin("[", "{"), 1).otherwise(-1)).alias("now"),
-        F.greatest(s["most"], s["now"] + F.when(c.isin("[", "{"), 1).otherwise(-1)).alias("most")))["most"]
-    deepest = df.agg(F.max(depth)).first()[0] or 0
-    for _ in range(deepest + 1):
-        t = F.schema_of_variant("v")
-        nested = t.startswith("OBJECT") | t.startswith("ARRAY")
-        leaf = leaves_of(cur.filter(~nested))
-        out = leaf if out is None else out.unionByName(leaf)
-        inner = cur.filter(nested)
-        cur = (inner.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer()))
-               .select(*keys, F.col("value").alias("v")).filter(F.col("v").isNotNull()))
-    return out
+    dropped, object keys not used).
+
+    A leaf needs no way down to it: the text, once the parser has found it to be
+    JSON, is cut into its tokens in one pass, whatever its depth.  Escaped
+    backslashes and quotes are spelled as code points first, so that a quote is an
+    end of a string always.  Texts that are no JSON have no leaves."""
+    text = F.col(json_col)
+    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+    leaf = F.col("leaf")
+    tokens = (df.where(F.try_parse_json(text).isNotNull())
+              .select(*keys, F.explode(F.regexp_extract_all(plain, F.lit(JSON_TOKEN), F.lit(0))).alias("leaf"))
+              .where(~leaf.endswith(":") & ~leaf.isin("true", "false", "null")))
+    told = leaf.startswith('"')
+    return tokens.select(
+        *keys, F.when(told, "string").otherwise("number").alias("kind"),
+        F.when(~told, leaf.try_cast("double")).alias("num"),
+        F.when(told, F.try_variant_get(F.try_parse_json(leaf), "$", "string")).alias("str"))
 
 
 def allowed_from_json(df: DataFrame, keys: list[str], json_col: str) -> DataFrame:

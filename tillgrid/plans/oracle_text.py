@@ -111,6 +111,18 @@ FROM fnd GROUP BY store_id, period""")
 SELECT doc_id, COUNT(*) AS n_numbers, CAST(count_if(NOT okk AND NOT sg) AS BIGINT) AS n_missing,
        CAST(count_if(NOT okk AND sg) AS BIGINT) AS n_sign_only, count_if(NOT okk AND NOT sg) > 0 AS needs_review
 FROM fnd GROUP BY doc_id""")
+    s["json_leaves"] = with_star("""
+, months AS (SELECT store_id, period, list(struct_pack(code := channel_code, qty := qty, amount := CAST(amount AS DOUBLE),
+               path := 'C:\\' || channel_group || '\\', counts := [[order_count, NULL]], large := qty > 100)) AS lines
+             FROM fact_channel GROUP BY 1, 2),
+docs AS (SELECT store_id, to_json(struct_pack(months := list(struct_pack(
+               period := period, note := '"' || period || '": [', lines := lines)))) AS j FROM months GROUP BY 1),
+leaves AS (SELECT store_id, x.type AS t, x.atom AS a FROM docs, json_tree(docs.j) x
+           WHERE x.type IN ('VARCHAR', 'BIGINT', 'UBIGINT', 'DOUBLE'))
+SELECT store_id, CASE WHEN t = 'VARCHAR' THEN 'string' ELSE 'number' END AS kind,
+       CASE WHEN t <> 'VARCHAR' THEN CAST(a AS DOUBLE) END AS num, CASE WHEN t = 'VARCHAR' THEN a ->> '$' END AS str,
+       COUNT(*) AS n
+FROM leaves GROUP BY ALL""")
     s["parsed_replies"] = with_star(NUMBERS + TEXTS + REPLIES + """
 SELECT store_id, period, field, text FROM parsed""")
     s["rejected_replies"] = with_star(NUMBERS + TEXTS + REPLIES + """

@@ -179,6 +179,7 @@ def text_queries() -> dict[str, Query]:
         "deck_texts": _all(lambda t: NR.deck_texts(t, TX.parsed_replies(t))),
         "report_documents": _all(DOC.report_documents),
         "document_findings": _all(DOC.document_findings),
+        "json_leaves": _all(DOC.json_leaves),
     }
 
 
