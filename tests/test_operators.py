@@ -102,7 +102,7 @@ def test_read_parse_unpivot_sheet(spark, tmp_path, with_total):
     months = wide.months_for(2026, 1, 2)
     prefixes = [m for m, _ in months]
     df = wide.read_sheet_csv(spark, _sheet_csv(tmp_path, with_total), prefixes)
-    kept, excluded = wide.parse_sales_sheet(df, prefixes, F.lit("Demo Store"))
+    kept, excluded = wide.parse_sales_sheet(df, prefixes)
     rows = {r.sku_code: r for r in kept.collect()}
     assert set(rows) == {"SKU1", "SKU2"}
     assert rows["SKU1"].product_desc == "Liver Support 60s" and rows["SKU1"].freight_tag == ""

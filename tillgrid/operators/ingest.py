@@ -38,7 +38,7 @@ def channel_sheets(t: Tables) -> DataFrame:
 def sheet_products(t: Tables, with_total: bool = False) -> tuple[DataFrame, DataFrame]:
     """(kept product lines, excluded non-product lines) of every sales sheet."""
     sheets = sales_sheets(t, with_total)
-    return wide.parse_sales_sheet(sheets, vocab.MONTH_PREFIXES, F.col("store_label"))
+    return wide.parse_sales_sheet(sheets, vocab.MONTH_PREFIXES, SHEET)
 
 
 def products_view(t: Tables) -> DataFrame:
@@ -118,4 +118,4 @@ def channel_unpivot(t: Tables) -> DataFrame:
 def unknown_channels(t: Tables) -> DataFrame:
     """Labels that map to no channel code, over sheets that have some."""
     sheets = fixtures.with_unknown_channel(channel_sheets(t))
-    return wide.unknown_channel_labels(sheets).select(*SHEET, "channel_name")
+    return wide.unknown_channel_labels(sheets, SHEET).select(*SHEET, "channel_name")

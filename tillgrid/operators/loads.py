@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import vocab
-from ..sources import fixtures, star, warehouse
+from ..sources import fixtures, star, warehouse, wide
 from ..sources.fixtures import FACT_COLS
 from ..sources.tables import Tables
 from ..sources.versioned import VersionedTable
@@ -62,6 +62,37 @@ def load_sales(table: VersionedTable, batch: DataFrame, dim: DataFrame, order: s
         "unregistered SKU": F.col("_registered").isNull()}, log)
 
 
+def load_sales_sheets(table: VersionedTable, sheets: DataFrame, prefixes: list[str], dim: DataFrame,
+                      sheet: list[str], log: tuple[str, list[str]] | None = None) -> int:
+    """S1-S2, R0, K2 with the source's stops: wide sales sheets (one per store and ``year``) go into
+    the fact table, unless a cell does not parse, a line's months miss its total or a SKU is not
+    registered.  The checks are observed while the batch is written; the sheets are read once."""
+    kept, _ = wide.parse_sales_sheet(sheets, prefixes, sheet)
+    lines = kept.withColumn("_bad", F.size(wide.bad_cells(kept)) > 0).withColumn("_off", wide.off_total(kept, prefixes)) \
+        .withColumn("_stop", F.col("_bad") | F.col("_off"))
+    facts = wide.unpivot_sales(lines, key_cols=["store_id", "_bad", "_off", "_stop"], year_col="year", keep="_stop")
+    known = dim.select("sku_code", "partkey", F.lit(True).alias("_registered"))
+    amount = table.schema["amount"].dataType
+    batch = facts.join(known, "sku_code", "left").withColumn("amount", F.col("amount").cast(amount))
+    return table.upsert(batch, FACT_KEYS, checks={
+        "cells of lines that do not parse": F.col("_bad"), "lines that miss their total": F.col("_off"),
+        "unregistered SKU": F.col("_registered").isNull()}, log=log)
+
+
+def load_channel_sheets(table: VersionedTable, sheets: DataFrame, sheet: list[str],
+                        log: tuple[str, list[str]] | None = None) -> int:
+    """S3, R2, K3 with the source's stops: wide channel sheets go into the channel facts, unless a
+    label has no channel code or a cell does not parse."""
+    known = F.coalesce(F.trim("channel_name").isin(*vocab.CHANNEL_CODES), F.lit(False))
+    marked = sheets.withColumn("_unknown", ~known).withColumn("_bad", F.size(wide.bad_cells(sheets)) > 0) \
+        .withColumn("_stop", F.col("_unknown") | F.col("_bad"))
+    flags = ["_unknown", "_bad", "_stop"]
+    facts = wide.parse_channel_sheet(marked, [c for c in sheet if c != "year"] + flags, sheet=sheet, keep="_stop")
+    facts = facts.withColumn("amount", F.col("amount").cast(table.schema["amount"].dataType))
+    return table.upsert(facts, CHANNEL_KEYS, checks={
+        "unknown channel label": F.col("_unknown"), "cells of lines that do not parse": F.col("_bad")}, log=log)
+
+
 def upsert_fact_sales(t: Tables) -> DataFrame:
     """K8 + K2: the facts after the second load, read back from its version."""
     table = fact_sales_table(t)

@@ -25,17 +25,12 @@ def _cols(with_total: bool) -> list[str]:
     return cols + (["total_order", "total_qty", "total_amt"] if with_total else [])
 
 
-def _sums(cols: list[str]) -> str:
-    return ", ".join(
-        f"CAST(SUM(CAST({c} AS {'DECIMAL(38,2)' if c.endswith('amt') else 'BIGINT'})) AS VARCHAR)"
-        f" AS {c}" for c in cols)
-
-
 def sales_sheets_cte(with_total: bool) -> str:
     cols = _cols(with_total)
     tot = (",\n       CAST(SUM(order_count) AS VARCHAR) AS total_order, CAST(SUM(qty) AS VARCHAR)"
            " AS total_qty, CAST(SUM(amount) AS VARCHAR) AS total_amt") if with_total else ""
-    pname = ("CASE WHEN p.partkey % 97 = 0 THEN '[DIS' || CAST(p.partkey AS VARCHAR) || '] $5 off' "
+    pname = ("CASE WHEN p.partkey % 89 = 5 THEN NULL WHEN p.partkey % 89 = 6 THEN 'Total' "
+             "WHEN p.partkey % 89 = 7 THEN 'Order' WHEN p.partkey % 97 = 0 THEN '[DIS' || CAST(p.partkey AS VARCHAR) || '] $5 off' "
              "ELSE '[' || p.sku_code || ']' || CASE WHEN p.partkey % 11 = 0 THEN '  ' ELSE ' ' END || "
              "'[' || p.brand || ']' || p.product_desc || CASE WHEN p.freight_tag <> '' THEN '{' || "
              "p.freight_tag || '}' ELSE '' END END")
@@ -48,13 +43,7 @@ lines AS (SELECT store_id, year, partkey,
   FROM fsm GROUP BY store_id, year, partkey),
 named AS (SELECT l.store_id, l.year, {pname} AS product_name, {", ".join('l.' + c for c in cols)}
           FROM lines l JOIN products p ON l.partkey = p.partkey),
-sheet_tot AS (SELECT store_id, year, {_sums(cols)} FROM named GROUP BY store_id, year),
-sheets0 AS (SELECT store_id, year, product_name, {clist} FROM named
-            UNION ALL SELECT t.store_id, t.year, r.r_name AS product_name, {clist}
-                      FROM sheet_tot t JOIN region r ON t.store_id = r.r_regionkey
-            UNION ALL SELECT store_id, year, 'Total' AS product_name, {clist} FROM sheet_tot),
-sheets AS (SELECT s.*, r.r_name AS store_label FROM sheets0 s JOIN region r
-           ON s.store_id = r.r_regionkey)"""
+sheets AS (SELECT store_id, year, product_name, {clist} FROM named)"""
 
 
 def _num(c: str, typ: str) -> str:
@@ -75,9 +64,7 @@ def parsed_cte(with_total: bool) -> str:
     return f"""
 , body AS (SELECT store_id, year, trim(regexp_replace(product_name, '\\s+', ' ', 'g')) AS product_name,
                   {mcols}, {totals}
-           FROM sheets
-           WHERE NOT (trim(product_name) IS NULL OR trim(product_name) IN ('Column0', 'Total', 'Order')
-                      OR trim(product_name) = store_label)),
+           FROM sheets),
 parsed AS (SELECT *,
              CASE WHEN regexp_matches(product_name, {q(P)}) THEN regexp_extract(product_name, {q(P)}, 1) END
                  AS sku_code,
@@ -117,11 +104,7 @@ def channel_sheets_cte() -> str:
                  CASE channel_code {labels} END AS channel_name FROM fact_channel),
 crow AS (SELECT store_id, year, channel_name, {_month_aggs()} FROM fcm
          GROUP BY store_id, year, channel_name),
-csheets AS (SELECT store_id, year, channel_name, {clist} FROM crow
-            UNION ALL SELECT store_id, year, 'Total' AS channel_name, {_sums(cols)} FROM crow
-            GROUP BY store_id, year),
-cbody AS (SELECT * FROM csheets
-          WHERE NOT (trim(channel_name) IS NULL OR trim(channel_name) IN ('Column0', 'Total', 'Order'))),
+cbody AS (SELECT store_id, year, channel_name, {clist} FROM crow),
 ccoded AS (SELECT *, CASE trim(channel_name) {" ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in vocab.CHANNEL_CODES.items())} END
                   AS code FROM cbody)"""
 
@@ -164,7 +147,7 @@ SELECT store_id, sku_code AS channel_code, period, order_count, qty, CAST(amount
        CASE sku_code {groups} END AS channel_group FROM unpiv""")
     s["unknown_channels"] = with_star(channel_sheets_cte() + """
 SELECT store_id, year, channel_name FROM ccoded WHERE code IS NULL
-UNION ALL SELECT store_id, year, 'Fax' FROM csheets WHERE channel_name = 'Total'""")
+UNION ALL SELECT DISTINCT store_id, year, 'Fax' FROM crow""")
     bad = {cell: f"CASE WHEN ends_with(sku_code, {q(end)}) THEN {q(value)} ELSE {cell} END"
            for end, cell, value in BAD_CELLS}
     cells = ", ".join(

@@ -10,7 +10,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import star
+from . import star, wide
 from .tables import Tables
 
 #: A month that no sales have yet.
@@ -51,7 +51,8 @@ def with_stray_skus(batch: DataFrame) -> DataFrame:
 
 def with_unknown_channel(sheets: DataFrame) -> DataFrame:
     """Each channel sheet carries one line more, of a channel without a code."""
-    line = sheets.filter(F.col("channel_name") == "Total").withColumn("channel_name", F.lit("Fax"))
+    line = (sheets.filter(F.col("line") == wide.LAST_LINE).withColumn("channel_name", F.lit("Fax"))
+            .withColumn("line", F.col("line") - 1))
     return sheets.unionByName(line)
 
 

@@ -5,7 +5,7 @@ All readers take explicit schemas (no inference)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,14 +28,21 @@ KNOWN_SKUS = T.StructType([T.StructField(c, T.StringType()) for c in
                             "shipping_channel", "product_type"]])
 
 
-def read_reference_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV (a UTF-8 byte-order mark is stripped by the reader),
-    quoted fields may hold commas; ``line_no`` keeps file order for
-    'later row wins' rules."""
+def file_order(file: bool = True) -> Column:
+    """Where a row stands: its file, the block's start in it, its place in the block.  A block is
+    read by one task from its start on, so this orders the rows of split and of several files."""
+    parts = [F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")]
+    return F.struct(*([F.col("_metadata.file_path").alias("file")] if file else []), *parts)
+
+
+def read_reference_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """Header CSV (a UTF-8 byte-order mark is stripped by the reader); quoted
+    fields may hold commas and, with ``multi_line`` (files are then read whole, a task each),
+    line breaks.  ``line_no`` keeps file order for 'later row wins' rules."""
     df = (spark.read.option("header", True).option("encoding", "UTF-8")
-          .option("multiLine", False).option("quote", '"').option("escape", '"')
+          .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
           .schema(schema).csv(path))
-    return df.withColumn("line_no", F.monotonically_increasing_id())
+    return df.withColumn("line_no", file_order())
 
 
 def read_holidays(spark: SparkSession, path: str) -> DataFrame:
