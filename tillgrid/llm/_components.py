@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ._shared import settle
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -25,16 +25,20 @@ def _stars(links: DataFrame) -> DataFrame:
     return small.unionByName(centre.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node is a centre or has one centre, and not both."""
+    ends = links.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e")).select("e.*")
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.agg(F.max(F.expr("up > 1 or up > 0 and down > 0"))).first()[0]
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (columns ``u``, ``v``, of one
     orderable type) but the roots themselves; a root is its component's smallest node."""
-    ensure_checkpoint_dir(links.sparkSession)
-    now = links.where("u <> v").select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
-    seen = None
-    while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if tuple(mark) == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = tuple(mark)
-        now = _stars(now).checkpoint()
+    now = settle(links.where("u <> v").select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    while not _are_stars(now):
+        now = settle(_stars(now), "links")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

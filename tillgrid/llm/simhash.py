@@ -192,7 +192,7 @@ def links(fingerprints: DataFrame, distance: int = 3, block: int = BLOCK) -> Dat
 def clustered(rows: DataFrame, ident: str, distance: int = 3) -> DataFrame:
     """``rows`` (columns ``ident`` and ``fp``) with ``component``: the smallest
     non-null ``ident`` reachable by links."""
-    each = rows.groupBy("fp").agg(F.min(ident).alias("least")).checkpoint()
+    each = settle(rows.groupBy("fp").agg(F.min(ident).alias("least")), "distinct-fingerprints")
     roots = components(links(each, distance))
     named = each.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
