@@ -85,6 +85,20 @@ def test_pieces_of_the_documents_table(spark, plain):
     check_pieces(rows, {r["doc_id"]: r["text"] for r in docs.collect()}, plain)
 
 
+def test_a_vocabulary_of_another_make_is_encoded_whole(tmp_path):
+    import json
+    made = json.load(open(PATH))
+    for name, change in {"no-normaliser": {"normalizer": None}, "other-split": {"pre_tokenizer": {
+            "type": "Sequence", "pretokenizers": [{"type": "Whitespace"}, made["pre_tokenizer"]["pretokenizers"][1]]}}}.items():
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(made | change))
+        other = Tokenizer.from_file(str(path))
+        texts = [*ODD, "Some Words, in CAPITALS: 12345 a-b"]
+        assert [x.tolist() for x in Encoder(str(path)).encode(texts)] == [
+            other.encode(t, add_special_tokens=False).ids for t in texts]
+    assert Encoder(PATH).cuts
+
+
 def test_packing_edge_cases(spark, plain):
     docs = spark.createDataFrame([(None, "a b", 1, "s"), (1, None, 2, None), (2, "", 3, "t")],
                                  "doc_id long, text string, length int, task string")
@@ -124,7 +138,7 @@ def test_file_round_trip_and_damage():
     ids = [np.array(x, "<u2") for x in ([3, 4, 5], [1], [49407, 1])]
     raw = b"".join(idfile.dump(ids, [-7, 12, None]))
     f = idfile.IdFile(io.BytesIO(raw))
-    assert f.doc_ids() == [-7, 12, None]
+    assert [f.doc_id(i) for i in range(3)] == [-7, 12, None]
     assert [f.document(i).tolist() for i in range(3)] == [x.tolist() for x in ids]
     with pytest.raises(ValueError):
         idfile.IdFile(io.BytesIO(raw[:-1]))

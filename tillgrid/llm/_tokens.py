@@ -8,10 +8,14 @@ the worker remembers them, and all ids are gathered by array operations.  Texts
 for which that cut is not surely the pre-tokenizer's (apostrophes, other scripts
 and signs) go by white-space chunks, and those with the rare white space on
 which Python and the tokenizer disagree are encoded whole.
+
+All this holds for vocabularies with the normaliser and pre-tokenizer named below; with
+any other, every text is encoded whole by the library.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -20,8 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 
+import public_tokenizers
+
 from ._shared import runs
 
+#: The vocabulary of the registered queries.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 #: Pieces in a worker's store (some 200 bytes each); there are two stores at most.
 REMEMBERED = 300_000
 #: Characters of a text handled at a time.
@@ -31,6 +40,13 @@ _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f
 #: What a text cut into byte runs must not hold: apostrophes (contractions), the separators
 #: above, and beyond ASCII all but the Latin letters whose lower case is one letter.
 _NOT_PLAIN = re.compile("['\x1c-\x1f\x80-\xbf\xd7\xf7\u0130\u0250-\U0010ffff]")
+#: The normaliser and pre-tokenizer (fixed values of the vocabulary's format) that the cuts are made for.
+_NORMALISER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 _SPACE = re.compile(r"[ \t\r\n]")
 _LOADED: dict[str, "Encoder"] = {}
 
@@ -59,9 +75,18 @@ class Encoder:
         top = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
         self.dtype = np.dtype("<u2") if top < 1 << 16 else np.dtype("<u4")
         self.special = [x.encode() for x in self._special()]
+        self.cuts = self._as_expected()
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def _as_expected(self) -> bool:
+        """Whether texts may be cut; else they are encoded whole."""
+        own = [x and json.loads(x.__getstate__()) for x in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        return (own == [_NORMALISER, _PRE_TOKENIZER] and self.tokenizer.truncation is None
+                and self.tokenizer.padding is None
+                and not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added))
+
     def _special(self) -> list[str]:
         """Strings that the library cuts out of a text before all else."""
         return [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -102,7 +127,7 @@ class Encoder:
 
     def _whole(self, text: str) -> np.ndarray:
         """The ids of one text, by white-space chunks where that is sure."""
-        if _ODD_SPACE.search(text):
+        if not self.cuts or _ODD_SPACE.search(text):
             return np.frombuffer(next(self._encode([text])), self.dtype)
         out = []
         for part in self._strides(text):
@@ -133,7 +158,7 @@ class Encoder:
         return np.split(out, cut[:-1])
 
     def _is_plain(self, text: str) -> bool:
-        return len(text) <= STRIDE and not _NOT_PLAIN.search(text) and not any(
+        return self.cuts and len(text) <= STRIDE and not _NOT_PLAIN.search(text) and not any(
             s.decode() in text for s in self.special)
 
     def encode(self, texts: list[str | None], end: int | None = None,
@@ -162,6 +187,9 @@ def encoder(path: str) -> Encoder:
 
 
 def check_id(path: str, end: int) -> None:
-    """Fail where the end id does not fit the ids' width."""
-    if not 0 <= end <= np.iinfo(encoder(path).dtype).max:
-        raise ValueError(f"id {end} does not fit {encoder(path).dtype}")
+    """Fail where the end id does not fit the ids' width.  The file is only searched for its
+    ids: the driver has no need of the vocabulary itself."""
+    with open(path, "rb") as f:
+        top = max((int(x) for x in re.findall(rb'"\s*:\s*(\d+)', f.read())), default=0)
+    if not 0 <= end < (1 << 16 if top < 1 << 16 else 1 << 32):
+        raise ValueError(f"id {end} does not fit the ids of {path}")

@@ -143,9 +143,9 @@ class IdFile:
                                part["docs_sample"])
         self.first = h["first"]
 
-    def doc_ids(self) -> list[int | None]:
-        known = (self._docs.values() + self.first).tolist()
-        return known + [None] * (self.n - len(known))
+    def doc_id(self, i: int) -> int | None:
+        """The id of document ``i``, by a select; the last of a file may have none."""
+        return self._docs.select(i) + self.first if i < self._docs.n else None
 
     def document(self, i: int) -> np.ndarray:
         """The ids of document ``i`` of the file, by two selects."""
@@ -216,16 +216,15 @@ def _reader(folder: str):
             for name, base in zip(frame.column(0).to_pylist(), frame.column(1).to_pylist()):
                 with fs.open_input_stream(f"{root}/{name}") as stream:
                     opened = IdFile(stream)
-                ends = opened.ends.values()
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                docs = opened.doc_ids()
-                for i in range(0, opened.n, 4096):
-                    s, e = starts[i:i + 4096], ends[i:i + 4096]
-                    crc = [zlib.crc32(opened.ids[a:b].astype("<u4").tobytes()) for a, b in zip(s, e)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(docs[i:i + 4096], pa.int64()), pa.array(s + base),
-                         pa.array(e - s), pa.array(crc, pa.int64())],
-                        ["doc_id", "start", "n_tokens", "ids_crc32"])
+                end = 0
+                for at in range(0, opened.n, 4096):
+                    rows = []
+                    for i in range(at, min(opened.n, at + 4096)):
+                        start, end = end, opened.ends.select(i)
+                        crc = zlib.crc32(opened.ids[start:end].astype("<u4").tobytes())
+                        rows.append((opened.doc_id(i), start + base, end - start, crc))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
+                                                     ["doc_id", "start", "n_tokens", "ids_crc32"])
     return read
 
 

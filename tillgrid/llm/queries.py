@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from . import (decontaminate, idfile, licenses, merkle, neighbours, packing, quality, sentencepieces, simhash,
                substrings, toxicity, warc, whitening)
 from ._shared import table
+from ._tokens import TOKENIZER
 
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
