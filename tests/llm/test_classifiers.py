@@ -98,13 +98,20 @@ def test_features_count_as_a_plain_version():
         assert np.allclose(sorted(got[i].tolist()), [x / norm for x in want], atol=1e-6)
 
 
-def test_long_texts_go_stride_by_stride(monkeypatch):
-    text = b"alpha beta 7 " * 3000
-    whole = next(Q.features([text], 12))
-    monkeypatch.setattr(Q, "STRIDE", 13 * 100)
-    strided = next(Q.features([text], 12))
-    assert strided[3] == 1 and abs(len(strided[1]) - len(whole[1])) <= 1
-    assert set(strided[1].tolist()) <= set(whole[1].tolist())
+def _rows_of(texts, bits):
+    return [(place[first[i]:first[i + 1]].tolist(), value[first[i]:first[i + 1]].tolist())
+            for first, place, value, n in Q.features(texts, bits) for i in range(n)]
+
+
+def test_long_texts_count_as_whole_ones_whatever_stands_beside_them(monkeypatch):
+    rng = random.Random(4)
+    words = ["alpha", "beta", "7", "--", "gamma!", "x" * 90, "é"]
+    texts = [" ".join(rng.choices(words, k=n)).encode() for n in (3000, 5, 400, 1, 2500)] + [b"y" * 5000, None, b"hi there"]
+    whole = [_rows_of([t], 14)[0] for t in texts]
+    for stride in (64, 700, 6000):
+        monkeypatch.setattr(Q, "STRIDE", stride)
+        assert _rows_of(texts, 14) == whole
+        assert _rows_of(texts[::-1], 14) == whole[::-1]
 
 
 def plain_ftrl(rows, dims, alpha, beta, l1, l2):
@@ -199,6 +206,28 @@ def test_features_do_not_depend_on_the_block():
     assert np.allclose(T.dense(texts, lex), alone)
 
 
+def test_long_texts_have_the_features_of_whole_ones_whatever_stands_beside_them(monkeypatch):
+    rng = random.Random(9)
+    lex = lexicon("nasty", "vile", "rotten")
+    words = ["you", "n@5ty", "VILE", "rotten", "fine,", "day", "w" * 200, "12", "?!", "and", "so", "on"]
+    texts = [" ".join(rng.choices(words, weights=[2, 1, 1, 1, 9, 9, 1, 3, 3, 9, 9, 9], k=n)).encode()
+             for n in (2000, 3, 700, 1500)] + [b"z" * 3000 + b" you", None, b"hi there", b"you " + b"q" * 900 + b" vile"]
+    whole = np.concatenate([T.dense([t], lex) for t in texts])
+    for stride in (50, 333, 4000):
+        monkeypatch.setattr(T, "STRIDE", stride)
+        assert np.allclose(T.dense(texts, lex), whole, rtol=1e-12, atol=1e-12)
+        assert np.allclose(T.dense(texts[::-1], lex), whole[::-1], rtol=1e-12, atol=1e-12)
+        assert [g.tolist() for g in T.distinct_grams(texts)] == [T.distinct_grams([t])[0].tolist() for t in texts]
+
+
+def test_the_sample_holds_one_row_an_id(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, "c"), (3, "d")] + [(7, "hot")] * 500,
+                                 "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in (1, 2, 7, 9)], "doc_id long, label int")
+    held = sorted(map(tuple, Q.sample(docs, known, 101).collect()))
+    assert held == [(1, "a", 1), (2, "c", 0), (7, "hot", 1)]
+
+
 def test_lexicon_keeps_likelier_grams_only():
     grams = np.array([5, 9, 7], np.uint64)
     lex = T.learn_lexicon(grams, np.array([10, 10, 1]), np.array([0, 100, 0]), 20, 200, 10)

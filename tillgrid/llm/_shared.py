@@ -119,11 +119,11 @@ def lower_words() -> np.ndarray:
     return classes
 
 
-def _slices(data: bytes, gap: np.ndarray) -> Iterator[tuple[int, int]]:
+def slices(data: bytes, gap: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
     """Cut points so that no run of bytes outside ``gap`` is cut."""
     at, n = 0, len(data)
     while at < n:
-        end = min(n, at + SLICE)
+        end = min(n, at + size)
         while end < n and not gap[data[end]]:
             end += 1
         yield at, end
@@ -138,7 +138,7 @@ def runs(data: bytes, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     bounded whatever the length."""
     parts = []
     gap = classes == 0
-    for lo, hi in _slices(data, gap):
+    for lo, hi in slices(data, gap):
         buf = np.frombuffer(data, np.uint8, hi - lo, lo)
         kind = classes[buf]
         cut = np.flatnonzero(kind[1:] != kind[:-1]) + 1
@@ -169,6 +169,25 @@ def batches_of_text(texts: list, size: int = SLICE) -> Iterator[tuple[int, int]]
         yield at, len(texts)
 
 
+def blocks(texts: list, alone: int) -> Iterator[tuple[int, int]]:
+    """As ``batches_of_text``, but a text of more than ``alone`` bytes is a range of its own."""
+    at, total = 0, 0
+    for i, x in enumerate(texts):
+        n = len(x or b"")
+        if n > alone:
+            if at < i:
+                yield at, i
+            yield i, i + 1
+            at, total = i + 1, 0
+            continue
+        total += n + 1
+        if total >= SLICE:
+            yield at, i + 1
+            at, total = i + 1, 0
+    if at < len(texts):
+        yield at, len(texts)
+
+
 def _cuts(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
     length = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     go = np.cumsum(length.astype(np.int64) + 1) // size

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import batches_of_text, joined, mix, runs, settle, text_lists, tidy
+from ._shared import blocks, joined, mix, runs, settle, slices, text_lists, tidy
 
 STRIDE = 1 << 22
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -49,17 +49,17 @@ def token_classes() -> np.ndarray:
 _CLASSES = token_classes()
 
 
-def _places(texts: list[bytes | None], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, place) of every n-gram occurrence; places 0 and 1 are the repeats."""
-    data, at = joined(texts)
-    starts, _, h = runs(data, _CLASSES)
-    row = np.searchsorted(at, starts, "right") - 1
+def _places(h: np.ndarray, row: np.ndarray, bits: int, told: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of every n-gram occurrence; places 0 and 1 are the repeats.  The first
+    ``told`` tokens were counted before and only begin pairs that end behind them."""
     shift = np.uint64(64 - bits)
-    rows, places = [row], [h >> shift]
+    rows, places = [row[told:]], [h[told:] >> shift]
     with np.errstate(over="ignore"):
         for gap in (1, 2):
-            same = row[gap:] == row[:-gap]
-            a, b, r = h[:-gap][same], h[gap:][same], row[gap:][same]
+            skip = max(0, told - gap)
+            left, right = h[skip:len(h) - gap], h[skip + gap:]
+            same = row[skip + gap:] == row[skip:len(h) - gap]
+            a, b, r = left[same], right[same], row[skip + gap:][same]
             repeat = a == b
             if gap == 1:
                 pair = mix(a * _PAIR + b) >> shift
@@ -71,19 +71,33 @@ def _places(texts: list[bytes | None], bits: int) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(rows), np.concatenate(places).astype(np.int64)
 
 
+def _long_counts(text: bytes, bits: int) -> np.ndarray:
+    """How often each place occurs in one long text, stride by stride.  Strides end at white
+    space and take the last two tokens along, so the counts are those of the whole text."""
+    count = np.zeros(1 << bits, np.int64)
+    tail = np.zeros(0, np.uint64)
+    for lo, hi in slices(text, _CLASSES == 0, STRIDE):
+        _, _, h = runs(text[lo:hi], _CLASSES)
+        h = np.concatenate([tail, h])
+        if len(h):
+            count += np.bincount(_places(h, np.zeros(len(h), np.int64), bits, len(tail))[1], minlength=1 << bits)
+        tail = h[-2:]
+    return count
+
+
 def features(texts: list[bytes | None], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
-    """(first places per row, places, values, rows) for blocks of texts; a text
-    longer than a stride is counted stride by stride (no pair spans two)."""
-    for lo, hi in batches_of_text(texts):
+    """(first places per row, places, values, rows) for blocks of texts.  A text's
+    features do not depend on the texts beside it."""
+    for lo, hi in blocks(texts, STRIDE):
         part = texts[lo:hi]
-        if hi - lo == 1 and len(part[0] or b"") > STRIDE:
-            dense = np.zeros(1 << bits, np.int64)
-            for at in range(0, len(part[0]), STRIDE):
-                dense += np.bincount(_places([part[0][at:at + STRIDE]], bits)[1], minlength=1 << bits)
-            place = np.flatnonzero(dense)
-            row, count = np.zeros(len(place), np.int64), dense[place]
+        if len(part[0] or b"") > STRIDE:
+            counts = _long_counts(part[0], bits)
+            place = np.flatnonzero(counts)
+            row, count = np.zeros(len(place), np.int64), counts[place]
         else:
-            row, place = _places(part, bits)
+            data, at = joined(part)
+            starts, _, h = runs(data, _CLASSES)
+            row, place = _places(h, np.searchsorted(at, starts, "right") - 1, bits)
             both, count = np.unique(row << bits | place, return_counts=True)
             row, place = both >> bits, both & (1 << bits) - 1
         value = 1 + np.log(count)
@@ -134,11 +148,12 @@ def labelled(labels: DataFrame, label: str) -> DataFrame:
 
 
 def sample(docs: DataFrame, known: DataFrame, sample_rows: int) -> DataFrame:
-    """(doc_id, text, label) of the sampled ids, written to the shared folder.
-    The ids sent to the tasks are at most ``sample_rows``."""
+    """(doc_id, text, label) of the sampled ids, one row an id (of rows that repeat it, that
+    with the least text), written to the shared folder: at most ``sample_rows``."""
     few = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return settle(texts.join(F.broadcast(few), "doc_id"), "sample")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(few), "doc_id")
+    return settle(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+                  .select("doc_id", "text", "label"), "sample")
 
 
 def _epoch(model: Ftrl, bits: int):

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import batches_of_text, constants, joined, mix, runs, settle, tidy
+from ._shared import blocks, constants, joined, mix, runs, settle, slices, tidy
 from .quality import sample
 
 FOLDS = 5
@@ -127,11 +127,11 @@ class Words:
 
 
 def _parts(texts: list[bytes | None]) -> Iterator[tuple[int, int, list[bytes | None]]]:
-    """Blocks of texts; a text beyond a stride comes in pieces of one row each."""
-    for lo, hi in batches_of_text(texts):
-        if hi - lo == 1 and len(texts[lo] or b"") > STRIDE:
-            for at in range(0, len(texts[lo]), STRIDE):
-                yield lo, hi, [texts[lo][at:at + STRIDE]]
+    """Blocks of texts; a text beyond a stride comes alone, in pieces that end at white space."""
+    for lo, hi in blocks(texts, STRIDE):
+        if len(texts[lo] or b"") > STRIDE:
+            for begin, end in slices(texts[lo], _CLASSES == 0, STRIDE):
+                yield lo, hi, [texts[lo][begin:end]]
         else:
             yield lo, hi, texts[lo:hi]
 
@@ -184,58 +184,104 @@ NAMES = ["word_density", "word_sum", "word_peak", "word_second", "stem_density",
          "hidden", "hidden_hits", "log_words"]
 
 
+#: How the sums of a text become features: per word, per byte, and what else adds up.
+_PER_WORD, _PER_BYTE, _ADDED = [0, 4, 9, 11, 14], [10, 12, 13], [1, 5, 15, 16]
+#: Greatest and second greatest log-odds; the greatest near a second-person word.
+_PEAKS, _NEAREST = [(2, 3), (6, 7)], 8
+
+
+def _sums(part: list[bytes | None], lexicon: Lexicon, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts, sums and peaks of each text (columns as NAMES, before any division), and its bytes."""
+    w = Words(part)
+    n = len(part)
+    word = lexicon.look_up(w.grams[0])
+    stem = np.maximum.reduce([lexicon.look_up(g) for g in w.grams[1:]])
+    total = lambda x: np.bincount(w.text, x, minlength=n)
+    f = np.zeros((n, len(NAMES)))
+    for at, odds in ((0, word), (4, stem)):
+        hit = odds > 0
+        f[:, at] = total(hit)
+        f[:, at + 1] = total(odds)
+        hits = np.flatnonzero(hit)
+        order = hits[np.lexsort((-odds[hits], w.text[hits]))]
+        of = w.text[order]
+        start = np.searchsorted(of, np.arange(n))
+        rank = np.arange(len(of)) - start[of]
+        for r in (0, 1):
+            f[of[rank == r], at + 2 + r] = odds[order[rank == r]]
+    you = np.flatnonzero(np.isin(w.grams[0], second))
+    hits = np.flatnonzero((word > 0) | (stem > 0))
+    if len(you) and len(hits):
+        after = np.minimum(np.searchsorted(you, hits), len(you) - 1)
+        for near in (you[after], you[np.maximum(after - 1, 0)]):
+            close = (np.abs(near - hits) <= NEAR) & (w.text[near] == w.text[hits])
+            value = np.maximum(word, stem)[hits[close]] / np.maximum(np.abs(near - hits)[close], 1)
+            np.maximum.at(f[:, _NEAREST], w.text[hits[close]], value)
+    f[:, 9] = np.bincount(w.text[you], minlength=n)
+    sums = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[w.at])
+    f[:, 10] = sums((w.raw >= 65) & (w.raw <= 90))
+    f[:, 11] = np.bincount(w.sign_text, minlength=n)
+    f[:, 12] = sums(w.raw == 33)
+    f[:, 13] = sums((w.raw >= 48) & (w.raw <= 57))
+    f[:, 14] = total(w.hidden)
+    f[:, 15] = total(w.hidden & (word > 0))
+    f[:, 16] = np.bincount(w.text, minlength=n)
+    return f, np.diff(w.at) - 1
+
+
+def _words_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text begin and end."""
+    starts, ends, _ = runs(text.lower(), _CLASSES)
+    own = _CLASSES[np.frombuffer(text, np.uint8)[starts]] == 1
+    return starts[own], ends[own]
+
+
+def _tail(text: bytes) -> bytes:
+    """The last words of a text, as many as can stand near one behind it."""
+    some = text[-4096:]
+    if len(some) < len(text):
+        gap = np.flatnonzero(_CLASSES[np.frombuffer(some, np.uint8)] == 0)
+        some = some[int(gap[0]):] if len(gap) else b""
+        if len(_words_of(some)[0]) < NEAR:
+            some = text
+    starts, _ = _words_of(some)
+    return some[int(starts[-NEAR:][0]):] if len(starts) else b""
+
+
+def _head(text: bytes) -> bytes:
+    """The first words of a text, as many as can stand near one before it."""
+    _, ends = _words_of(text[:1 << 14])
+    if len(ends) <= NEAR:
+        _, ends = _words_of(text)
+    return text[:int(ends[:NEAR][-1])] if len(ends) else b""
+
+
 def dense(texts: list[bytes | None], lexicon: Lexicon) -> np.ndarray:
-    """One row of features per text."""
+    """One row of features per text, whatever stands beside it.  A long text's pieces
+    add up to what the whole gives."""
     out = np.zeros((len(texts), len(NAMES)))
+    size = np.zeros(len(texts), np.int64)
     second = np.sort(_of_words([w.encode() for w in SECOND_PERSON]))
+    piece, before = -1, b""
     for lo, hi, part in _parts(texts):
-        w = Words(part)
-        n = len(part)
-        count = np.bincount(w.text, minlength=n)
-        per = 1 / np.maximum(count, 1)
-        word = lexicon.look_up(w.grams[0])
-        stem = np.maximum.reduce([lexicon.look_up(g) for g in w.grams[1:]])
-        total = lambda x, of=w.text: np.bincount(of, x, minlength=n)  # noqa: B023, E731
-        f = np.zeros((n, len(NAMES)))
-        for at, odds in ((0, word), (4, stem)):
-            hit = odds > 0
-            f[:, at] = total(hit) * per
-            f[:, at + 1] = total(odds)
-            hits = np.flatnonzero(hit)
-            order = hits[np.lexsort((-odds[hits], w.text[hits]))]
-            of = w.text[order]
-            start = np.searchsorted(of, np.arange(n))
-            rank = np.arange(len(of)) - start[of]
-            for r in (0, 1):
-                f[of[rank == r], at + 2 + r] = odds[order[rank == r]]
-        you = np.flatnonzero(np.isin(w.grams[0], second))
-        hits = np.flatnonzero((word > 0) | (stem > 0))
-        if len(you) and len(hits):
-            after = np.minimum(np.searchsorted(you, hits), len(you) - 1)
-            for near in (you[after], you[np.maximum(after - 1, 0)]):
-                close = (np.abs(near - hits) <= NEAR) & (w.text[near] == w.text[hits])
-                value = np.maximum(word, stem)[hits[close]] / np.maximum(np.abs(near - hits)[close], 1)
-                np.maximum.at(f[:, 8], w.text[hits[close]], value)
-        f[:, 9] = np.bincount(w.text[you], minlength=n) * per
-        size = 1 / np.maximum(np.diff(w.at) - 1, 1)
-        sums = lambda mask: np.diff(np.concatenate([[0], np.cumsum(mask)])[w.at])  # noqa: B023, E731
-        f[:, 10] = sums((w.raw >= 65) & (w.raw <= 90)) * size
-        f[:, 11] = np.bincount(w.sign_text, minlength=n) * per
-        f[:, 12] = sums(w.raw == 33) * size
-        f[:, 13] = sums((w.raw >= 48) & (w.raw <= 57)) * size
-        f[:, 14] = total(w.hidden) * per
-        f[:, 15] = total(w.hidden & (word > 0))
-        f[:, 16] = np.log1p(count)
-        if hi - lo == 1 and len(texts[lo] or b"") > STRIDE:
-            share = len(part[0]) / len(texts[lo])
-            peaks = [2, 3, 6, 7, 8, 16]
-            sums_ = [1, 5, 15]
-            rates = [i for i in range(len(NAMES)) if i not in peaks + sums_]
-            out[lo, rates] += f[0, rates] * share
-            out[lo, sums_] += f[0, sums_]
-            out[lo, peaks] = np.maximum(out[lo, peaks], f[0, peaks])
-        else:
-            out[lo:hi] = f
+        f, n = _sums(part, lexicon, second)
+        if len(texts[lo] or b"") <= STRIDE:
+            out[lo:hi], size[lo:hi] = f, n
+            continue
+        add = [*_PER_WORD, *_PER_BYTE, *_ADDED]
+        out[lo, add] += f[0, add]
+        size[lo] += n[0]
+        for peak, next_ in _PEAKS:
+            held = sorted([out[lo, peak], out[lo, next_], f[0, peak], f[0, next_]])
+            out[lo, peak], out[lo, next_] = held[-1], held[-2]
+        near = [out[lo, _NEAREST], f[0, _NEAREST]]
+        if piece == lo:
+            near.append(_sums([before + _head(part[0])], lexicon, second)[0][0, _NEAREST])
+        out[lo, _NEAREST] = max(near)
+        piece, before = lo, _tail(before + part[0] if piece == lo else part[0])
+    out[:, _PER_WORD] /= np.maximum(out[:, 16], 1)[:, None]
+    out[:, _PER_BYTE] /= np.maximum(size, 1)[:, None]
+    out[:, 16] = np.log1p(out[:, 16])
     return out
 
 
