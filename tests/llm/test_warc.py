@@ -120,3 +120,47 @@ def test_archives_roll_over(spark, tmp_path):
                          file_bytes=1500)
     assert files.count() > 3
     assert got(W.read_warc(files, folder)) == expected(rows)
+
+
+def member(lines, block):
+    head = "\r\n".join(["WARC/1.0", *lines, f"Content-Length: {len(block)}"]).encode()
+    return gzip.compress(head + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+def test_archives_made_elsewhere_are_read(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n2\r\nab\r\n0\r\n\r\n"
+    hexed = hashlib.sha256(b"body").hexdigest()
+    response = ["WARC-Type: response", "WARC-Target-URI: http://a/", "Content-Type: application/http; msgtype=response"]
+    parts = [
+        member(["WARC-Type: warcinfo", "Content-Type: application/warc-fields"], b"software: other\r\n"),
+        member(response, http + b"no digest"),
+        member([*response, f"WARC-Payload-Digest: sha256:{hexed}"], http + b"body"),
+        member([*response, "WARC-Payload-Digest: crc9:xyz"], http + b"unknown hash"),
+        member([*response, "WARC-Payload-Digest: sha1:" + W.digest_of(b"ab")], chunked),
+        member(["WARC-Type: resource", "WARC-Target-URI: dns:a", "Content-Type: text/dns"], b"1.2.3.4"),
+        member(["WARC-Type: revisit", "WARC-Target-URI: http://b/"], b""),
+        W.record(7, "http://own/", b"own", None, "2020-01-01T00:00:00Z")]
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(parts))
+    files = spark.createDataFrame([("x.warc.gz",)], "file string")
+    rows = W.read_warc(files, f"file://{tmp_path}").collect()
+    assert [(r["record_type"], r["url"], r["page_id"], r["payload"] and bytes(r["payload"])) for r in rows] == [
+        ("warcinfo", None, None, b"software: other\r\n"), ("response", "http://a/", None, b"no digest"),
+        ("response", "http://a/", None, b"body"), ("response", "http://a/", None, b"unknown hash"),
+        ("response", "http://a/", None, chunked.partition(b"\r\n\r\n")[2]), ("resource", "dns:a", None, b"1.2.3.4"),
+        ("revisit", "http://b/", None, None), ("response", "http://own/", 7, b"own")]
+    bad = member([*response, "WARC-Payload-Digest: sha256:" + "0" * 64], http + b"body")
+    with pytest.raises(ValueError, match="payload digest"):
+        [W.page(h, b) for h, b in W.records(io.BytesIO(bad))]
+
+
+def test_record_ids_differ_and_revisits_name_their_target(spark, tmp_path):
+    rows = [(1, "http://a/", "same length"), (1, "http://a/", "other text!"), (1, "http://a/", "same length"),
+            (2, "http://b/", "same length")]
+    folder = f"file://{tmp_path}/w"
+    files = W.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), folder)
+    heads = [h for f in files.collect()
+             for h, _ in W.records(open(f"{tmp_path}/w/{f['file']}", "rb"))]
+    assert len({h["warc-record-id"] for h in heads}) == len(heads) == 4
+    revisits = [h for h in heads if h["warc-type"] == "revisit"]
+    assert [(h["warc-refers-to-target-uri"], h["x-refers-to-page-id"]) for h in revisits] == [("http://a/", "1")]

@@ -12,8 +12,10 @@ task replaces its own files.
 Defined results: a null html is an empty payload; a null page_id stands in no
 comparison (it revisits the smallest known page_id of its payload, and is a
 response where all are null); rows that repeat the smallest page_id of a payload
-are all responses; a null url is written as an empty target; an empty table
-writes no archive; columns beside ``page_id``, ``url`` and ``html`` are not read.
+are all responses; a null url is written as an empty target; records that are equal
+in all have record ids of their own; an empty table writes no archive.  Of archives
+made elsewhere every record is read, whatever its type, also without digests or page
+ids; columns beside ``page_id``, ``url`` and ``html`` are not read.
 """
 
 from __future__ import annotations
@@ -47,14 +49,28 @@ def _one_line(value: str | None) -> str:
     return re.sub(r"[\r\n]", lambda m: f"%{ord(m[0]):02X}", value or "")
 
 
+#: The hashes that digests are verified by; others are taken as they stand.
+_HASHES = {"sha1": hashlib.sha1, "sha256": hashlib.sha256, "md5": hashlib.md5}
+
+
+def matches(claimed: str | None, data: bytes) -> bool:
+    """Whether a digest header (algorithm:value, in base32 or hexadecimal) fits, or cannot be told."""
+    name, _, value = (claimed or "").partition(":")
+    if name.lower() not in _HASHES:
+        return True
+    own = _HASHES[name.lower()](data)
+    return value.upper().rstrip("=") in (base64.b32encode(own.digest()).decode().rstrip("="), own.hexdigest().upper())
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None,
-           date: str) -> bytes:
-    """One record as a gzip member; a revisit has no payload but its digest and length."""
+           date: str, place: str = "", refers_to_url: str | None = None) -> bytes:
+    """One record as a gzip member; a revisit has no payload but its digest and length.
+    ``place`` (in the archives) tells equal records apart."""
     revisit = refers_to is not None
     http = CRLF.join([b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8",
                       b"Content-Length: %d" % len(payload), b"", b""])
     block = http if revisit else http + payload
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}|{url}|{len(payload)}")
+    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}|{url}|{digest_of(payload)}|{place}")
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
              f"WARC-Record-ID: <urn:uuid:{name}>", f"WARC-Date: {date}",
              f"WARC-Target-URI: {_one_line(url)}",
@@ -65,7 +81,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     if page_id is not None:
         lines.append(f"X-Page-ID: {page_id}")
     if revisit:
-        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"X-Refers-To-Page-ID: {refers_to}"]
+        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To-Target-URI: {_one_line(refers_to_url)}",
+                  f"WARC-Refers-To-Date: {date}", f"X-Refers-To-Page-ID: {refers_to}"]
     head = "".join(x + "\r\n" for x in lines).encode() + b"Content-Length: %d\r\n\r\n" % len(block)
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
     return packer.compress(head) + packer.compress(block) + packer.compress(CRLF * 2) + packer.flush()
@@ -120,25 +137,31 @@ def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         if block[length:] != CRLF * 2:
             raise ValueError("a record whose Content-Length does not match its block")
         block = block[:length]
-        claimed = headers.get("warc-block-digest")
-        if claimed and claimed != f"sha1:{digest_of(block)}":
+        if not matches(headers.get("warc-block-digest"), block):
             raise ValueError("a record whose block digest does not match")
         yield headers, block
 
 
 def page(headers: dict[str, str], block: bytes) -> tuple:
-    """The fields of a page's record; a response's payload digest is verified."""
-    kind = headers["warc-type"]
-    claimed = headers["warc-payload-digest"].removeprefix("sha1:")
-    payload = None
-    if kind == "response":
-        payload = block.partition(CRLF * 2)[2]
-        if digest_of(payload) != claimed:
-            raise ValueError("a record whose payload digest does not match")
+    """The fields of a record.  The payload of a record that carries a page by HTTP is what
+    stands behind the HTTP headers, of other kinds (warcinfo, resource, metadata ...) the
+    block; a revisit has none, and its digest is what its header says.  A payload digest,
+    where there is one, is verified, except of a body sent in chunks."""
+    kind = headers.get("warc-type", "")
     number = lambda k: int(headers[k]) if k in headers else None
-    size = len(payload) if payload is not None else number("x-payload-length")
-    return (number("x-page-id"), headers["warc-target-uri"], kind,
-            number("x-refers-to-page-id"), size, claimed, payload)
+    claimed = headers.get("warc-payload-digest")
+    if kind == "revisit":
+        payload, size = None, number("x-payload-length")
+        digest = claimed.partition(":")[2] if claimed else None
+    else:
+        http, head = headers.get("content-type", "").lower().startswith("application/http"), b""
+        head, _, payload = block.partition(CRLF * 2) if http else (b"", b"", block)
+        chunked = re.search(rb"(?im)^transfer-encoding:.*chunked", head)
+        if not chunked and not matches(claimed, payload):
+            raise ValueError("a record whose payload digest does not match")
+        size, digest = len(payload), digest_of(payload)
+    return (number("x-page-id"), headers.get("warc-target-uri"), kind,
+            number("x-refers-to-page-id"), size, digest, payload)
 
 
 def _writer(folder: str, date: str, file_bytes: int):
@@ -161,11 +184,12 @@ def _writer(folder: str, date: str, file_bytes: int):
 
         for frame in frames:
             for i in range(frame.num_rows):
-                page_id, url, html, refers = (c[i].as_py() for c in frame.columns)
+                page_id, url, html, refers, first_url = (c[i].as_py() for c in frame.columns)
                 if out is None:
                     trial = f"{root}/.pages-{task.taskAttemptId()}-{len(made)}"
                     out = fs.open_output_stream(trial)
-                data = record(page_id, url, html or b"", refers, date)
+                place = f"{task.partitionId()}-{len(made)}-{count}"
+                data = record(page_id, url, html or b"", refers, date, place, first_url)
                 out.write(data)
                 size, count = size + len(data), count + 1
                 if size >= file_bytes:
@@ -192,11 +216,12 @@ def write_warc(pages: DataFrame, folder: str, least: int = 0, file_bytes: int =
     if least > 0:
         same = F.when(F.octet_length("html") >= least, same)
     rows = rows.withColumn("same", same)
-    firsts = rows.where("same IS NOT NULL").groupBy("same").agg(F.min("page_id").alias("first"))
+    firsts = rows.where("same IS NOT NULL").groupBy("same").agg(
+        F.min("page_id").alias("first"), F.min_by("url", "page_id").alias("first_url"))
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")),
                     F.col("first"))
     linked = rows.join(firsts, "same", "left").select(
-        "page_id", "url", F.encode("html", "UTF-8").alias("html"), refers.alias("refers_to"))
+        "page_id", "url", F.encode("html", "UTF-8").alias("html"), refers.alias("refers_to"), "first_url")
     return settle(linked.mapInArrow(_writer(folder, date, file_bytes),
                                     "file string, n_records long"), "warc")
 
