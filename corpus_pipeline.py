@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillgrid.llm import decontaminate, packing, quality, simhash, substrings
 from tillgrid.llm._shared import settle, table
-from tillgrid.llm.queries import TOKENIZER
+from tillgrid.llm._tokens import TOKENIZER
 
 #: Documents that score below are rejected: rather keep a doubtful document than lose a clean one.
 QUALITY_THRESHOLD = 0.5

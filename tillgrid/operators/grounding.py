@@ -191,14 +191,12 @@ def _leaf_arrays(c: Column, dt) -> tuple[list[Column], list[Column]]:
         return nums, strs
     if isinstance(dt, T.ArrayType):
         n, s = _leaf_arrays(F.lit(None), dt.elementType)  # probe which kinds exist
-        out_n, out_s = [], []
-        if n:
-            out_n.append(F.flatten(F.transform(c, lambda x: F.concat(
-                *_leaf_arrays(x, dt.elementType)[0]))))
-        if s:
-            out_s.append(F.flatten(F.transform(c, lambda x: F.concat(
-                *_leaf_arrays(x, dt.elementType)[1]))))
-        return out_n, out_s
+        # an absent block has no leaves; its null must not empty the other blocks
+        def under(which: int, kind: str) -> Column:
+            inner = F.transform(c, lambda x: F.concat(*_leaf_arrays(x, dt.elementType)[which]))
+            return F.coalesce(F.flatten(inner), F.array().cast(f"array<{kind}>"))
+
+        return [under(0, "double")] if n else [], [under(1, "string")] if s else []
     if isinstance(dt, T.BooleanType):
         return [], []
     if isinstance(dt, T.NumericType):

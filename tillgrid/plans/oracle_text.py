@@ -87,14 +87,17 @@ def _classify(keys_join: str) -> str:
 """
 
 
+STATUS = (f"CASE WHEN okk THEN 'ok' WHEN sg THEN 'sign_only' ELSE 'missing' END AS status, "
+          f"CASE WHEN okk THEN NULL WHEN sg THEN {q(OK_MSG)} ELSE {q(MISS_MSG)} END AS message")
+
+
 def sql() -> dict[str, str]:
     s: dict[str, str] = {}
     keys = "store_id, period, field"
     base = NUMBERS + TEXTS + tokens_cte("tx", keys)
     s["report_texts"] = with_star(NUMBERS + TEXTS + "SELECT store_id, period, field, text FROM tx")
     s["number_tokens"] = with_star(base + f"SELECT {keys}, pos, value FROM toks")
-    status = (f"CASE WHEN okk THEN 'ok' WHEN sg THEN 'sign_only' ELSE 'missing' END AS status, "
-              f"CASE WHEN okk THEN NULL WHEN sg THEN {q(OK_MSG)} ELSE {q(MISS_MSG)} END AS message")
+    status = STATUS
     rs = ", rs AS (SELECT * FROM r)\n"
     cls = rs + _allowed("store_id, period", True) + _classify(
         "a.store_id = t.store_id AND a.period = t.period")

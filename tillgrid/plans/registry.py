@@ -179,6 +179,7 @@ def text_queries() -> dict[str, Query]:
         "deck_texts": _all(lambda t: NR.deck_texts(t, TX.parsed_replies(t))),
         "report_documents": _all(DOC.report_documents),
         "document_findings": _all(DOC.document_findings),
+        "document_leaves": _all(DOC.document_leaves),
         "json_leaves": _all(DOC.json_leaves),
     }
 
@@ -231,6 +232,8 @@ def oracle_sql() -> dict[str, str]:
     s.update(loads_sql())
     from .oracle_text import sql as text_sql
     s.update(text_sql())
+    from .oracle_document import sql as document_sql
+    s.update(document_sql())
     from .oracle_narrative import sql as narrative_sql
     s.update(narrative_sql())
     from .oracle_analysis import sql as analysis_sql
