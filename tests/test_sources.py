@@ -7,6 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from tillgrid.operators import grounding as GR
+from tillgrid.operators import textcheck as TX
 from tillgrid.operators.classify import variant_categories
 from tillgrid.sources import reference as REF
 from tillgrid.sources import wide
@@ -99,3 +100,20 @@ def test_cells_that_do_not_parse_are_listed(spark):
     got = {tuple(r) for r in wide.rejected_cells(df, ["sku_code"]).collect()}
     assert got == {("s", "total_amt", "n/a"), ("t", "jan_order", "1.5.2")}
     assert wide.rejected_cells(df.limit(0), ["sku_code"]).count() == 0
+
+
+def test_a_quoted_holiday_range_is_sourced_and_another_is_not(spark):
+    """The digits of the holidays in the charts' months count, those of others do not."""
+    cal = {"_note": "77", "2026-02": [{"date": "2026-02-15", "end": "2026-03-23", "region": "CN",
+                                       "name": "New Year (9-day)", "impact": "high"}], "2026-03": [],
+           "2026-05": [{"date": "2026-05-28", "region": "NZ", "name": "later"}]}
+    held = REF.parse_holidays(spark.createDataFrame([(json.dumps(cal),)], "c string"), "c")
+    charts = spark.createDataFrame([(1, "2026-03", m) for m in ("2026-02", "2026-03")],
+                                   "store_id int, period string, month string")
+    allowed = TX.holiday_numbers(held, charts)
+    texts = spark.createDataFrame([(1, "2026-03", f, x) for f, x in [
+        ("a", "closed 15-23 Feb"), ("b", "closed 28 May"), ("c", "77 days")]],
+        "store_id int, period string, field string, text string")
+    found = GR.classify_tokens(GR.explode_tokens(texts, ["store_id", "period", "field"]), allowed, ["store_id", "period"])
+    assert {(r.field, r.value): r.status for r in found.collect()} == {
+        ("a", 15.0): "ok", ("a", 23.0): "ok", ("b", 28.0): "missing", ("c", 77.0): "missing"}

@@ -33,6 +33,12 @@ def fixed(x: Column, digits: int) -> Column:
     return F.format_string(f"%.{digits}f", round_half_up(x, digits))
 
 
+def signed(x: Column) -> Column:
+    """Signed percent with one decimal: +1.8%; null for null."""
+    return F.when(x.isNotNull(), F.concat(
+        F.when(x >= 0, F.lit("+")).otherwise(F.lit("")), fixed(x, 1), F.lit("%")))
+
+
 def js_number(x: Column) -> Column:
     """How a script prints a number: integers without a decimal point."""
     return F.when(x == F.floor(x), x.cast("bigint").cast("string")).otherwise(x.cast("string"))
@@ -120,7 +126,7 @@ def build_deck_metrics(t: Tables) -> DataFrame:
                  ["ftype", "fqty"], [-F.col("fqty"), F.col("ftype")])
     conc = (RP.sku_pareto(t).filter(F.col("decile") == 2)
             .select(*G, F.col("cumulative_pct").alias("top20_pct")))
-    ctx = RP.operating_context(t).drop("miniprogram_leads")
+    ctx = RP.operating_context(t)
     moms = _channel_moms(t)
     chan = _asof(head.select(*G), moms, ["export_mom", "local_mom"])
     chan_now = moms.select(*G, "ex_pct")
@@ -215,6 +221,8 @@ def fallback_texts(t: Tables) -> DataFrame:
                                    F.concat(F.lit("; export is "), js_number(F.col("ex_pct")),
                                             F.lit("% of units this month.")))
                             .otherwise(F.lit(".")))),
+        "local_card": F.coalesce(signed(F.col("local_mom")), F.lit("n/a")),
+        "export_card": F.coalesce(signed(F.col("export_mom")), F.lit("n/a")),
         "concentration_title": F.when(F.col("top20_pct").isNull(),
                                       F.lit("Revenue concentration by SKU"))
         .otherwise(F.concat(F.lit("The top 20% of SKUs account for "),
@@ -222,6 +230,8 @@ def fallback_texts(t: Tables) -> DataFrame:
         "operations_title": F.concat(lab, F.lit(" operating context")),
         "foot_traffic_card": F.when(F.coalesce(F.col("foot_traffic"), F.lit(0)) == 0, F.lit("—"))
         .otherwise(units(F.col("foot_traffic"))),
+        "app_enquiries_card": F.when(F.coalesce(F.col("miniprogram_leads"), F.lit(0)) == 0, F.lit("—"))
+        .otherwise(units(F.col("miniprogram_leads"))),
         "completion_card": F.when(F.coalesce(F.col("miniprogram_completion_rate"), F.lit(0.0)) == 0,
                                   F.lit("—"))
         .otherwise(F.concat(js_number(F.col("miniprogram_completion_rate")), F.lit("%"))),

@@ -339,6 +339,22 @@ def trend_series_rows(t: Tables, through: str | None = None,
                     .alias("qty_mom_pct"))
 
 
+def channel_series(t: Tables, through: str | None = None,
+                   months: int = vocab.TREND_MONTHS) -> DataFrame:
+    """The four channel series over the trend window, one row per (store, position): local
+    and export units and their month-on-month lists (0 units for a group without sales)."""
+    units = lambda g: F.coalesce(F.sum(F.when(F.col("channel_group") == g, F.col("qty"))), F.lit(0)).cast("double")
+    per = (star.fact_channel(t, through=through).groupBy(*G)
+           .agg(units("local").alias("local_qty"), units("export").alias("export_qty")))
+    w = Window.partitionBy("store_id").orderBy("period")
+    out = trend_window(per, months).withColumn("idx", F.row_number().over(w))
+    for c in ("local_qty", "export_qty"):
+        out = out.withColumn("_prev", F.lag(c).over(w)).withColumn(
+            f"{c}_mom_pct", F.when(F.col("idx") > 1, mom_pct_zero_baseline(c, "_prev")))
+    return out.select("store_id", "idx", "period", month_label("period").alias("period_label"), "local_qty",
+                      "local_qty_mom_pct", "export_qty", "export_qty_mom_pct")
+
+
 def functional_top(t: Tables, through: str | None = None, n: int = 6) -> DataFrame:
     """Top-n functional types by units over all months, under their display
     labels, the rest summed into 'Other (k types)', missing months filled with 0."""

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions.numeric import round_half_up
 from ..functions.text import month_label, rose_fell
+from ..sources import fixtures, star
+from ..sources import reference as REF
 from ..sources.tables import Tables
 from . import grounding as GR
 from . import report as RP
@@ -83,6 +85,24 @@ def report_allowed(t: Tables) -> DataFrame:
             .unionByName(GR.prose_numbers(r, G)))
 
 
+def holiday_numbers(holidays: DataFrame, charts: DataFrame) -> DataFrame:
+    """G2 for the holiday calendar: the digits of dates, ends, names and remarks of the holidays
+    in the months on a report's charts (``charts``: report keys and ``month``)."""
+    on = REF.holidays_on_charts(holidays, charts.select(F.col("month").alias("period")))
+    fields = ["date", "end", "region", "name", "impact"]
+    return GR.allowed_from_strings(charts.join(on.withColumnRenamed("period", "month"), "month"), G, fields)
+
+
+def holiday_findings(t: Tables) -> DataFrame:
+    """The report texts against the figures and the holidays of the charts' months,
+    which are a store's months up to the report's."""
+    months = star.fact_sales(t).select("store_id", F.col("period").alias("month")).distinct()
+    charts = months.withColumnRenamed("month", "period").join(months, "store_id").where("month <= period")
+    holidays = REF.parse_holidays(fixtures.holiday_calendar(t), "calendar")
+    allowed = report_allowed(t).unionByName(holiday_numbers(holidays, charts).select(*G, "a"))
+    return GR.classify_tokens(number_tokens(t), allowed, G)
+
+
 def number_tokens(t: Tables) -> DataFrame:
     """G1 over the report texts."""
     return GR.explode_tokens(report_texts(t), [*G, "field"])

@@ -96,7 +96,7 @@ pr AS (SELECT store_id, period,
               {pct(f'SUM(da) OVER ({W} ORDER BY decile ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', f'SUM(da) OVER ({W})', 1)}
                   AS top20_pct, decile FROM dc),
 conc AS (SELECT store_id, period, top20_pct FROM pr WHERE decile = 2),
-cx AS (SELECT g.store_id, g.period, c.foot_traffic,
+cx AS (SELECT g.store_id, g.period, c.foot_traffic, c.miniprogram_leads,
               CAST(c.miniprogram_completion_rate AS DOUBLE) AS miniprogram_completion_rate,
               c.study_tour_flag, c.study_tour_note, c.activity_description
        FROM head g LEFT JOIN context_rows c USING (store_id, period)),
@@ -188,6 +188,10 @@ def fields() -> dict[str, str]:
         "operations_title": f"{lab} || ' operating context'",
         "foot_traffic_card": f"CASE WHEN coalesce(foot_traffic, 0) = 0 THEN '—' ELSE "
                              f"{units('foot_traffic')} END",
+        "app_enquiries_card": f"CASE WHEN coalesce(miniprogram_leads, 0) = 0 THEN '—' ELSE "
+                              f"{units('miniprogram_leads')} END",
+        "local_card": f"coalesce(CASE WHEN local_mom >= 0 THEN '+' ELSE '' END || {fixed('local_mom', 1)} || '%', 'n/a')",
+        "export_card": f"coalesce(CASE WHEN export_mom >= 0 THEN '+' ELSE '' END || {fixed('export_mom', 1)} || '%', 'n/a')",
         "completion_card": f"CASE WHEN coalesce(miniprogram_completion_rate, 0.0) = 0 THEN '—' ELSE "
                            f"{js('miniprogram_completion_rate')} || '%' END",
         "tour_text": "CASE WHEN study_tour_flag = 'yes' THEN coalesce(nullif(study_tour_note, ''), "

@@ -185,6 +185,18 @@ SELECT store_id, CAST(idx AS INTEGER) AS idx, period, {month_label('period')} AS
        CASE WHEN idx > 1 THEN {mom0('qty_total', 'prev_q')} END AS qty_mom_pct
 FROM x""", through_rpt=True)
 
+    def before(c: str) -> str:
+        return f"CASE WHEN idx > 1 THEN {mom0(c, f'LAG({c}) OVER w')} END AS {c}_mom_pct"
+    s["channel_series"] = with_star(f"""
+, m AS (SELECT store_id, period, CAST(coalesce(SUM(qty) FILTER (channel_group = 'local'), 0) AS DOUBLE) AS local_qty,
+               CAST(coalesce(SUM(qty) FILTER (channel_group = 'export'), 0) AS DOUBLE) AS export_qty
+        FROM fact_channel GROUP BY 1, 2),
+x AS (SELECT m.*, CAST(row_number() OVER (PARTITION BY store_id ORDER BY period) AS INTEGER) AS idx
+      FROM m JOIN ({_win('m')}) USING (store_id, period))
+SELECT store_id, idx, period, {month_label('period')} AS period_label, local_qty, {before('local_qty')},
+       export_qty, {before('export_qty')}
+FROM x WINDOW w AS (PARTITION BY store_id ORDER BY period)""", through_rpt=True)
+
     fpipe = ("SELECT store_id, period, product_type, SUM(qty) AS qty FROM sales WHERE product_type "
              "NOT IN ('not_applicable', 'other_supplement') GROUP BY 1, 2, 3")
     label = "CASE product_type " + " ".join(

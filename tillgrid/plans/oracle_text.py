@@ -102,6 +102,22 @@ def sql() -> dict[str, str]:
     cls = rs + _allowed("store_id, period", True) + _classify(
         "a.store_id = t.store_id AND a.period = t.period")
     s["grounding_findings"] = with_star(base + cls + f"SELECT {keys}, pos, value, {status} FROM fnd")
+    holiday = """
+, hmonths AS (SELECT DISTINCT store_id, period FROM fact_sales),
+hdays AS (SELECT period, unnest(list_concat(
+            CASE WHEN CAST(substr(period, 6, 2) AS INTEGER) % 3 = 0 THEN [period || '-15', period || '-23'] ELSE [] END,
+            CASE WHEN substr(period, 6, 2) = '12' THEN [period || '-27',
+              CAST(CAST(substr(period, 1, 4) AS INTEGER) + 1 AS VARCHAR) || '-01-06'] ELSE [] END)) AS day
+          FROM (SELECT DISTINCT period FROM hmonths)),
+allowed AS (SELECT * FROM figures UNION ALL
+            SELECT r.store_id, r.period, CAST(unnest(regexp_extract_all(h.day, '[0-9]+')) AS DOUBLE)
+            FROM hmonths r JOIN hmonths c ON c.store_id = r.store_id AND c.period <= r.period
+            JOIN hdays h ON h.period = c.period)
+"""
+    figures = rs + _allowed("store_id, period", True).replace(", allowed AS", ", figures AS")
+    s["holiday_findings"] = with_star(
+        base + figures + holiday + _classify("a.store_id = t.store_id AND a.period = t.period")
+        + f"SELECT {keys}, pos, value, {status} FROM fnd")
     s["grounding_verdict"] = with_star(base + cls + """
 SELECT store_id, period, COUNT(*) AS n_numbers, CAST(count_if(NOT okk AND NOT sg) AS BIGINT) AS n_missing,
        CAST(count_if(NOT okk AND sg) AS BIGINT) AS n_sign_only, count_if(NOT okk AND NOT sg) > 0 AS needs_review

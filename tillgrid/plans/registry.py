@@ -72,6 +72,7 @@ def report_queries() -> dict[str, Query]:
         "sku_pareto": _all(RP.sku_pareto),
         "bucket_matrix": _asof(RP.bucket_matrix),
         "trend_series": _asof(RP.trend_series_rows),
+        "channel_series": _asof(RP.channel_series),
         "functional_top": _asof(RP.functional_top),
         "functional_leader": _asof(RP.functional_leader),
         "operating_context": _asof(RP.operating_context),
@@ -171,6 +172,7 @@ def text_queries() -> dict[str, Query]:
         "report_texts": _all(TX.report_texts),
         "number_tokens": _all(TX.number_tokens),
         "grounding_findings": _all(TX.findings),
+        "holiday_findings": _all(TX.holiday_findings),
         "grounding_verdict": _all(TX.report_verdict),
         "document_grounding": _all(TX.document_grounding),
         "parsed_replies": _all(TX.parsed_replies),

@@ -67,3 +67,20 @@ def with_month_ahead(rows: DataFrame, rpt: str) -> DataFrame:
     """Context rows, and each store's reporting month once more under a month without sales."""
     ahead = rows.filter(F.col("period") == rpt).withColumn("period", F.lit(MONTH_AHEAD))
     return rows.unionByName(ahead)
+
+
+def holiday_calendar(t: Tables) -> DataFrame:
+    """The holiday calendar as it arrives, one JSON text: every third month has a holiday from the
+    15th to the 23rd, every December one that ends in the next year, the others none."""
+    month = F.substring("period", 6, 2).cast("int")
+    year = F.substring("period", 1, 4).cast("int")
+    entry = lambda name, start, end: F.concat(
+        F.lit('{"date": "'), start, F.lit('", "end": "'), end, F.lit(f'", "region": "NZ", "name": "{name}", "impact": "quiet"}}'))
+    spring = entry("Harvest days", F.concat("period", F.lit("-15")), F.concat("period", F.lit("-23")))
+    turn = entry("Turn of the year", F.concat("period", F.lit("-27")),
+                 F.concat((year + 1).cast("string"), F.lit("-01-06")))
+    days = F.concat(F.lit('"'), "period", F.lit('": ['), F.concat_ws(
+        ", ", F.when(month % 3 == 0, spring), F.when(month == 12, turn)), F.lit("]"))
+    months = star.fact_sales(t).select("period").distinct()
+    return months.agg(F.concat(F.lit('{"_note": "local dates, 99 of them", '), F.array_join(
+        F.array_sort(F.collect_list(days)), ", "), F.lit("}")).alias("calendar"))

@@ -48,8 +48,11 @@ def read_reference_csv(spark: SparkSession, path: str, schema: T.StructType, mul
 def read_holidays(spark: SparkSession, path: str) -> DataFrame:
     """Calendar JSON {period: [holiday...], "_note": text} -> one row per
     (period, holiday); months with an empty list keep a NULL holiday."""
-    raw = spark.read.text(path, wholetext=True)
-    m = raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("period", "v"))
+    return parse_holidays(spark.read.text(path, wholetext=True), "value")
+
+
+def parse_holidays(calendars: DataFrame, column: str) -> DataFrame:
+    m = calendars.select(F.explode(F.from_json(column, "map<string,string>")).alias("period", "v"))
     return (m.filter(F.col("period").rlike(r"^\d{4}-\d{2}$"))
             .select("period", F.explode_outer(F.from_json("v", HOLIDAY)).alias("h"))
             .select("period", "h.*"))
