@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillgrid.llm import decontaminate as D
 
@@ -50,6 +51,31 @@ def test_blocks_of_the_benchmark_give_the_same_rows(spark):
     whole = as_rows(D.contamination(d, b, window=5))
     assert as_rows(D.contamination(d, b, window=5, block_bytes=300)) == whole
     assert any(n for _, n, _ in whole.values())
+    extra = d.withColumn("row", F.lit("x")).withColumn("found", F.col("doc_id"))
+    kept = D.clean(extra, b, window=5, block_bytes=300)
+    assert kept.columns == extra.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(
+        r["doc_id"] for r in D.clean(extra, b, window=5).collect())
+
+
+def test_one_block_of_a_large_benchmark_is_held_at_a_time(spark, monkeypatch):
+    alive, most, context = [], [], spark.sparkContext
+    send = context.broadcast
+
+    def watched(value):
+        sent = send(value)
+        alive.append(sent)
+        most.append(len(alive))
+        end = sent.destroy
+        monkeypatch.setattr(sent, "destroy", lambda *a: (alive.remove(sent), end(*a)))
+        return sent
+
+    monkeypatch.setattr(context, "broadcast", watched)
+    items = spark.createDataFrame([(i, f"alpha{i} beta{i} gamma{i} " * 4) for i in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"alpha{i} beta{i} gamma{i} " * 5) for i in range(0, 80, 4)], "doc_id long, text string")
+    found = D.contamination(docs, items, window=5, block_bytes=1000)
+    assert len(most) >= 10 and max(most) == 1 and not alive
+    assert {r["doc_id"]: r["items"] for r in found.collect()} == {i: [i] if i < 60 else [] for i in range(0, 80, 4)}
 
 
 @pytest.mark.parametrize("stride", [1, 7, 40])

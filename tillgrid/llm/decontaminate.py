@@ -13,8 +13,11 @@ one search:
 * direct comparison of all words confirms an occurrence.
 
 The benchmark is the side that is sent to every task.  Its size is checked
-first: it is cut into blocks of at most ``block_bytes`` and documents are read
-once per block, so what a task holds is bounded however large the benchmark is.
+first: one of at most ``block_bytes`` is sent as it is.  A larger one is dealt into
+blocks of about that size, and the documents are read once per block: a block is sent,
+its hits are written, and it is destroyed before the next is fetched.  So the driver
+and a task hold one block at a time (an item larger than a block is one by itself),
+and the hits of a document are put together at the end.
 
 Defined results: null and empty texts have no words and are not contaminated;
 benchmark rows with a null text have no windows; a null item_id still hits but
@@ -28,10 +31,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import lower_words, settle, text_lists, tidy
+from ._shared import free_name, lower_words, settle, text_lists, tidy
 
 STRIDE = 1 << 22
 
@@ -152,47 +155,60 @@ def blocks(benchmark: DataFrame, block_bytes: int) -> int:
     return -(-size // block_bytes)
 
 
-def found(docs: DataFrame, benchmark: DataFrame, text, window: int = 10,
-          block_bytes: int = 1 << 23) -> list:
-    """One column per benchmark block with the words, hit spans and items of
-    ``text``; a block is fetched only when its size has been checked."""
+def _items(rows: DataFrame) -> list[tuple[int | None, bytes]]:
+    return [(r[0], r[1].encode()) for r in rows.collect() if r[1]]
+
+
+def searched(docs: DataFrame, benchmark: DataFrame, out: str, window: int = 10, block_bytes: int = 1 << 23) -> DataFrame:
+    """``docs`` with a further column ``out``: n_words, spans (hit word ranges, merged) and
+    items (ascending ids of the items with occurring windows) of their ``text``."""
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                              F.col("text").cast("string").alias("text"))
     n = blocks(bench, block_bytes)
-    spark = docs.sparkSession
-    if n > 1:
-        bench = settle(bench.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))),
-                       "benchmark")
-    columns = []
-    for k in range(max(1, n)):
-        rows = bench.where(F.col("block") == k) if n > 1 else bench
-        part = [(r[0], r[1].encode()) for r in rows.collect() if r[1]]
-        columns.append(_finder(spark.sparkContext.broadcast((part, window)))(text))
-    return columns
+    send = docs.sparkSession.sparkContext.broadcast
+    text = F.col("text").cast("string")
+    if n <= 1:
+        return docs.withColumn(out, _finder(send((_items(bench), window)))(text))
+    bench = settle(bench.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "benchmark")
+    # rows are known by their place in a table written once
+    row = free_name(docs, "row")
+    held = settle(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    hits = []
+    for k in range(n):
+        block = send((_items(bench.where(F.col("block") == k)), window))
+        got = held.select(row, _finder(block)(text).alias("f")).select(row, "f.*")
+        hits.append(settle(got if k == 0 else got.where(F.size("spans") > 0), "hits"))
+        block.destroy()
+    every = hits[0]
+    for more in hits[1:]:
+        every = every.unionByName(more)
+    # one row a document and block at most
+    each = every.groupBy(row).agg(
+        F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    each = each.select(row, F.struct("n_words", _merged("spans").alias("spans"), "items").alias(out))
+    return held.join(each, row).drop(row)
+
+
+def _merged(spans: str) -> Column:
+    """Ascending spans, those that touch as one."""
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+
+    def add(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
+        return F.when((F.size(done) > 0) & (F.get(done, F.size(done) - 1)["end"] >= x["start"]),
+                      F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined))
+                      ).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(spans, none, add)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                   block_bytes: int = 1 << 23) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, spans (hit word ranges, merged) and
     items (ascending ids of the items with occurring windows)."""
-    source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    columns = found(source, benchmark, F.col("text"), window, block_bytes)
-    got = source.select("doc_id", *[c.alias(f"found{k}") for k, c in enumerate(columns)])
-    if len(columns) == 1:
-        return got.select("doc_id", "found0.*")
-    spans = F.array_sort(F.concat(*[F.col(f"found{k}.spans") for k in range(len(columns))]))
-    one = F.expr("named_struct('start', 0L, 'end', 0L)")
-    merged = F.aggregate(
-        spans, F.array_repeat(one, 0),
-        lambda done, x: F.when((F.size(done) > 0) & (F.element_at(done, -1)["end"] >= x["start"]),
-                               F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-                                   F.element_at(done, -1)["start"].alias("start"),
-                                   F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end")))))
-        .otherwise(F.concat(done, F.array(x))))
-    return got.select(
-        "doc_id", "found0.n_words", merged.alias("spans"),
-        F.array_sort(F.array_distinct(F.concat(
-            *[F.col(f"found{k}.items") for k in range(len(columns))]))).alias("items"))
+    return searched(docs.select("doc_id", "text"), benchmark, "found", window, block_bytes).select("doc_id", "found.*")
 
 
 def digest(found_rows: DataFrame) -> DataFrame:
@@ -208,10 +224,9 @@ def digest(found_rows: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10,
           block_bytes: int = 1 << 23) -> DataFrame:
     """``docs`` without the documents that hold a window of the benchmark."""
-    columns = found(docs, benchmark, F.col("text").cast("string"), window, block_bytes)
-    for c in columns:
-        docs = docs.where(F.size(c["spans"]) == 0)
-    return docs
+    found = free_name(docs, "found")
+    kept = searched(docs, benchmark, found, window, block_bytes).where(F.size(F.col(found)["spans"]) == 0)
+    return kept.select(*docs.columns)
 
 
 def sha256_of(items: list[int]) -> str:
