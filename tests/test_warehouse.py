@@ -26,3 +26,17 @@ def test_materialized_reuses_and_tracks_inputs(spark, tmp_path):
         assert c.count() == 12 and len(calls) == 2  # new input -> new table
     finally:
         spark.conf.set("spark.tillgrid.fingerprintCache", "true")
+
+
+class Named:
+    """A session that knows its settings only."""
+
+    def __init__(self, **settings):
+        self.conf = {f"spark.{k.replace('_', '.')}": v for k, v in settings.items()}
+
+
+def test_stored_tables_outlive_the_application(spark):
+    """They lie below the folder that the cluster names, not below the application's own."""
+    assert warehouse.root(Named(checkpoint_dir="hdfs://x/shared/")) == "hdfs://x/shared/tillgrid-star"
+    assert warehouse.root(Named(checkpoint_dir="hdfs://x/shared", tillgrid_warehouse="hdfs://x/own")) == "hdfs://x/own"
+    assert warehouse.root(spark).startswith(spark.sparkContext.getCheckpointDir())

@@ -328,9 +328,10 @@ def report_period(t: Tables) -> str:
 
 
 @lru_cache(maxsize=16)
-def _cached_period(spark_id: int, root: str, spark) -> str:
+def _cached_period(version: str, root: str, spark) -> str:
     return report_period(Tables(spark, root))
 
 
 def reporting_month(t: Tables) -> str:
-    return _cached_period(id(t.spark), t.root, t.spark)
+    """``report_period``, read once per version of the orders."""
+    return _cached_period(warehouse.folder(t.spark, _inputs(t, ["orders"])), t.root, t.spark)

@@ -78,8 +78,12 @@ def _compute_fingerprint(spark: SparkSession, paths: list[str]) -> str:
 
 
 def root(spark: SparkSession) -> str:
+    """The folder of the stored tables: the one configured, or below the shared folder as the
+    cluster names it, where a later application finds them again.  (An application's own
+    checkpoint folder lies below that, under a name of its own.)"""
     configured = spark.conf.get("spark.tillgrid.warehouse", None)
-    return configured or ensure_checkpoint_dir(spark).rstrip("/") + "/tillgrid-star"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return configured or shared.rstrip("/") + "/tillgrid-star"
 
 
 def enabled(spark: SparkSession) -> bool:
