@@ -107,3 +107,20 @@ def test_an_unregistered_sku_stops_the_sales_load(spark, tmp_path):
         LD.load_sales(t, spark.createDataFrame(rows, schema), dim, order=None)
     assert refused.value.counts == {"unregistered SKU": 1} and t.version() == 0
     assert LD.load_sales(t, spark.createDataFrame(rows[:1], schema), dim, order=None) == 1
+
+
+def test_a_load_that_died_while_publishing_does_not_stand_in_the_way(spark, tmp_path):
+    t = table(spark, tmp_path / "t")
+    t.upsert(frame(spark, [(1, "a", "m")]), ["k", "period"])
+    os.makedirs(tmp_path / "t" / "manifest" / "v=2" / "_temporary" / "0")
+    assert t.version() == 1 and held(t) == [(1, "a", "m")]
+    assert t.upsert(frame(spark, [(2, "b", "m")]), ["k", "period"]) == 2
+    assert held(t) == [(1, "a", "m"), (2, "b", "m")]
+
+
+def test_two_loads_from_one_version_do_not_both_publish(spark, tmp_path):
+    t = table(spark, tmp_path / "t")
+    t.upsert(frame(spark, [(1, "a", "m")]), ["k", "period"])
+    with pytest.raises(RuntimeError, match="another load"):
+        t._publish(1, t.folders(), None)
+    assert held(t) == [(1, "a", "m")]

@@ -35,8 +35,7 @@ class Named:
         self.conf = {f"spark.{k.replace('_', '.')}": v for k, v in settings.items()}
 
 
-def test_stored_tables_outlive_the_application(spark):
+def test_stored_tables_outlive_the_application():
     """They lie below the folder that the cluster names, not below the application's own."""
     assert warehouse.root(Named(checkpoint_dir="hdfs://x/shared/")) == "hdfs://x/shared/tillgrid-star"
     assert warehouse.root(Named(checkpoint_dir="hdfs://x/shared", tillgrid_warehouse="hdfs://x/own")) == "hdfs://x/own"
-    assert warehouse.root(spark).startswith(spark.sparkContext.getCheckpointDir())

@@ -91,7 +91,10 @@ class VersionedTable:
         rows = [("part", value, base, folder) for value, (base, folder) in sorted(folders.items())]
         rows += [("applied", name, log[0], None) for name in (log[1] if log else [])]
         rows.append(("version", str(version), None, None))
-        (self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("errorifexists")
+        if self.version() != version - 1:
+            raise RuntimeError(f"{self.root}: version {version} was published by another load")
+        # one file, which shows when the job commits; what a job that died here left is no manifest
+        (self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append")
          .parquet(f"{self.root}/manifest/v={version}"))
         return version
 
