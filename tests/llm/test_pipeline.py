@@ -89,7 +89,7 @@ def test_run_gives_the_last_stage(spark, stages):
 
 def test_registered_queries():
     ours = [n for n in entry.queries() if n[:2] == "op" and n[2].isdigit()]
-    assert sorted({n.split("_")[0] for n in ours}) == sorted(f"op{k}" for k in range(1, 11)) and len(ours) == 10
+    assert sorted({n.split("_")[0] for n in ours}) == sorted(f"op{k}" for k in range(1, 14)) and len(ours) == 13
     assert "pipeline" in entry.queries() and set(entry.oracle_sql()) <= set(entry.queries())
 
 
