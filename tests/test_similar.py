@@ -83,3 +83,14 @@ def test_fixture_brands_have_headroom_and_need_every_stage(spark):
     spelled = [(s,) for b in vocab.FIXTURE_BRANDS for s in sqlgen.spellings(b).values()]
     hows = {r.how for r in fuzzy.resolution(spark.createDataFrame(spelled, "brand string")).collect()}
     assert hows == {"exact", "tight", "fuzzy", "none"} and len(set(known)) == len(known)
+
+
+def test_what_is_asked_of_a_spelling_is_not_asked_of_every_line(spark):
+    """Filters on normalised names stay above the distinct spellings."""
+    typed = F.when(F.col("id") % 3 == 0, "Amber Hollow").when(F.col("id") % 3 == 1, "Amer Hollow")
+    lines = spark.range(300).select(typed.alias("brand"))
+    assert fuzzy.spellings(lines).count() == 3
+    left = fuzzy.unresolved(lines, vocab.FIXTURE_RULES)
+    assert {r["norm_brand"] for r in left.collect()} == {"amer hollow"}
+    per_line = left._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [")[-1]
+    assert "Range (0, 300" in per_line and "regexp_replace" not in per_line
