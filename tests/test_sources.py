@@ -2,7 +2,9 @@
 optional known-SKU table (S8), sorted review exports (K9), report documents
 written and read back (K10, S11), config row (K5)."""
 
+import datetime as dt
 import json
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from tillgrid.operators import grounding as GR
 from tillgrid.operators import textcheck as TX
 from tillgrid.operators.classify import variant_categories
 from tillgrid.sources import reference as REF
-from tillgrid.sources import wide
+from tillgrid.sources import star, wide
+from tillgrid.sources.tables import Tables
 
 
 def test_reference_csv_with_bom_and_quoted_commas(spark, tmp_path):
@@ -117,3 +120,21 @@ def test_a_quoted_holiday_range_is_sourced_and_another_is_not(spark):
     found = GR.classify_tokens(GR.explode_tokens(texts, ["store_id", "period", "field"]), allowed, ["store_id", "period"])
     assert {(r.field, r.value): r.status for r in found.collect()} == {
         ("a", 15.0): "ok", ("a", 23.0): "ok", ("b", 28.0): "missing", ("c", 77.0): "missing"}
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_are_dealt_once(spark, tmp_path):
+    """The lines move once, by the ranges that the table is stored in."""
+    lines = [(o, p, 1, 2.0, 10.0, dt.datetime(1995, 1 + p % 2, 3)) for o in range(4) for p in (1, 2)] * 2
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, "
+                          "l_extendedprice double, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 5)], "s_suppkey long, s_nationkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(5, 3)], "n_nationkey long, n_regionkey long").write.parquet(f"{tmp_path}/nation.parquet")
+    facts = star.build_fact_sales(Tables(spark, str(tmp_path)))
+    plan = _plan(facts)
+    assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
+    assert {(r.partkey, r.period, r.store_id, r.order_count, r.qty, float(r.amount)) for r in facts.collect()} == {
+        (1, "1995-02", 3, 4, 16, 80.0), (2, "1995-01", 3, 4, 16, 80.0)}
