@@ -138,3 +138,37 @@ def test_facts_are_dealt_once(spark, tmp_path):
     assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
     assert {(r.partkey, r.period, r.store_id, r.order_count, r.qty, float(r.amount)) for r in facts.collect()} == {
         (1, "1995-02", 3, 4, 16, 80.0), (2, "1995-01", 3, 4, 16, 80.0)}
+
+
+def test_sheet_lines_stay_where_they_are(spark):
+    """Head and end of the sheets come to the lines, which are not dealt by sheet."""
+    sheets = spark.createDataFrame([(1, 1995, f"[SKU{i}] [b]x", i) for i in range(9)],
+                                   "store_id long, year int, product_name string, line long")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        body = wide.body_rows(sheets, ["store_id", "year"], wide.SALES_HEAD)
+        last_join = next(line for line in _plan(body).splitlines() if "Join" in line)
+        assert "BroadcastHashJoin" in last_join
+        assert sorted(r["line"] for r in body.collect()) == [3, 4, 5, 6, 7]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_sheet_cells_are_spread_last(spark, monkeypatch):
+    """The facts reach their lines as they are: no aggregate holds a column a month and measure."""
+    facts = spark.createDataFrame(
+        [(1, "1995-01", 7, 2, 3, Decimal("4.50")), (1, "1995-12", 7, 1, None, Decimal("1.00")),
+         (2, "1995-03", 7, 1, 1, Decimal("2.00")), (2, None, 7, 9, 9, Decimal("9.00"))],
+        "partkey long, period string, store_id long, order_count long, qty long, amount decimal(22,2)")
+    monkeypatch.setattr(star, "fact_sales", lambda t: facts)
+    monkeypatch.setattr(star, "dim_store", lambda t: spark.createDataFrame([(7, "S")], "store_id long, store_code string"))
+    monkeypatch.setattr(wide, "_pname", lambda t: spark.createDataFrame([(1, "one"), (2, "two")], "partkey long, product_name string"))
+    sheets = wide.build_sales_sheets(None, True)
+    lines = {r.line: r for r in sheets.where("product_name IN ('one', 'two')").collect()}
+    one, two = lines[1 + wide.SALES_HEAD], lines[2 + wide.SALES_HEAD]
+    assert (one.jan_order, one.jan_qty, one.jan_amt, one.dec_order, one.dec_qty, one.dec_amt) == ("2", "3", "4.50", "1", None, "1.00")
+    assert (one.total_order, one.total_qty, one.total_amt, one.feb_amt) == ("3", "3", "5.50", None)
+    assert (two.year, two.mar_amt, two.total_amt) == (1995, "2.00", "2.00")
+    aggregates = [x for x in _plan(sheets.where("product_name <> 'Total'")).splitlines() if "Aggregate" in x]
+    assert any("collect_list" in x for x in aggregates) and not any("max(CASE" in x for x in aggregates)

@@ -116,7 +116,8 @@ def body_rows(df: DataFrame, sheet: list[str], head: int) -> DataFrame:
     heads = (lines.withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= head)
              .groupBy(*sheet).agg(F.max("line").alias("_head")))
     ends = lines.groupBy(*sheet).agg(F.max("line").alias("_last")).join(heads, sheet)
-    return (df.join(ends, sheet).where((F.col("line") > F.col("_head")) & (F.col("line") < F.col("_last")))
+    # one row a sheet: the wide lines stay where they are
+    return (df.join(F.broadcast(ends), sheet).where((F.col("line") > F.col("_head")) & (F.col("line") < F.col("_last")))
             .select(*df.columns))
 
 
@@ -192,18 +193,20 @@ def build_sales_sheets(t: Tables, with_total: bool) -> DataFrame:
     f = (star.fact_sales(t)
          .withColumn("year", F.substring("period", 1, 4).cast("int"))
          .withColumn("m", F.substring("period", 6, 2).cast("int")))
-    aggs = []
-    for i, p in enumerate(vocab.MONTH_PREFIXES, start=1):
-        sel = F.col("m") == i
-        aggs += [F.max(F.when(sel, F.col("order_count"))).cast("string").alias(f"{p}_order"),
-                 F.max(F.when(sel, F.col("qty"))).cast("string").alias(f"{p}_qty"),
-                 F.max(F.when(sel, F.col("amount"))).cast("string").alias(f"{p}_amt")]
-    if with_total:
-        aggs += [F.sum("order_count").cast("string").alias("total_order"),
-                 F.sum("qty").cast("string").alias("total_qty"),
-                 F.sum("amount").cast("string").alias("total_amt")]
-    lines = (f.groupBy("store_id", "year", "partkey").agg(*aggs)
-             .join(_pname(t), "partkey").withColumn("line", F.col("partkey") + SALES_HEAD).drop("partkey"))
+    sums = {"total_order": "order_count", "total_qty": "qty", "total_amt": "amount"} if with_total else {}
+    # the facts are dealt once, by the key of both the lines and their names, and stay as narrow as they
+    # are (a line's few months in a list) until the line is written
+    lines = (f.select("partkey", "store_id", "year", "m", "order_count", "qty", "amount").repartition("partkey")
+             .groupBy("store_id", "year", "partkey")
+             .agg(F.collect_list(F.when(F.col("m").isNotNull(), F.struct(
+                 "m", F.struct("order_count", "qty", "amount")))).alias("cells"),
+                  *[F.sum(c).cast("string").alias(total) for total, c in sums.items()])
+             .join(_pname(t), "partkey").withColumn("line", F.col("partkey") + SALES_HEAD)
+             .withColumn("cells", F.map_from_entries("cells")))
+    cell = {p: F.element_at("cells", F.lit(i)) for i, p in enumerate(vocab.MONTH_PREFIXES, start=1)}
+    lines = lines.select("store_id", "year", "product_name", "line", *sums, *[
+        cell[p][c].cast("string").alias(f"{p}_{s}") for p in cell
+        for s, c in (("order", "order_count"), ("qty", "qty"), ("amt", "amount"))])
     month_cols = month_columns(vocab.MONTH_PREFIXES) + (TOTAL_COLS if with_total else [])
     store = star.dim_store(t).select("store_id", F.col("store_code").alias("store_label"))
     # header, store-total and grand-total lines: per-sheet sums, straight from the facts
