@@ -172,3 +172,13 @@ def test_sheet_cells_are_spread_last(spark, monkeypatch):
     assert (two.year, two.mar_amt, two.total_amt) == (1995, "2.00", "2.00")
     aggregates = [x for x in _plan(sheets.where("product_name <> 'Total'")).splitlines() if "Aggregate" in x]
     assert any("collect_list" in x for x in aggregates) and not any("max(CASE" in x for x in aggregates)
+
+
+def test_totals_sum_the_cells_that_are_there(spark):
+    months = ["jan", "feb", "mar"]
+    schema = ", ".join(f"{c} string" for c in ["product_name", *wide.month_columns(months)])
+    rows = [("a", "1", "2", "1,000.25", None, None, None, "3", "x", "0.50"), ("b", *[None] * 9)]
+    df = wide.with_total_block(spark.createDataFrame(rows, schema), months)
+    assert [tuple(r)[-3:] for r in df.orderBy("product_name").collect()] == [("4", "2", "1000.75"), ("0", "0", "0.00")]
+    # no sum of one expression a cell, which the JIT leaves uncompiled
+    assert "aggregate(" in df._jdf.queryExecution().optimizedPlan().toString()

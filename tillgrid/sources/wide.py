@@ -67,17 +67,21 @@ def read_sheet_csv(spark: SparkSession, path: str, prefixes: list[str],
                               file_order(file=False).alias("line")))
 
 
-def _num(c: str, typ: str) -> Column:
-    return F.replace(F.col(c), F.lit(","), F.lit("")).try_cast(typ)
+def _num(c: str | Column, typ: str) -> Column:
+    return F.replace(F.col(c) if isinstance(c, str) else c, F.lit(","), F.lit("")).try_cast(typ)
 
 
 def with_total_block(df: DataFrame, prefixes: list[str]) -> DataFrame:
     """Derive the total block as the sum over months when it is absent."""
     if all(c in df.columns for c in TOTAL_COLS):
         return df
+    # over the cells that are there, as an array: an expression a cell makes methods too long for the JIT
     for s, typ in CELL_TYPES.items():
-        terms = [F.coalesce(_num(f"{p}_{s}", typ), F.lit(0).cast(typ)) for p in prefixes]
-        df = df.withColumn(f"total_{s}", reduce(lambda a, b: a + b, terms).cast("string"))
+        wide = "decimal(38,2)" if typ == AMOUNT else typ
+        filled = F.filter(F.array(*[F.col(f"{p}_{s}") for p in prefixes]), lambda x: x.isNotNull())
+        total = F.aggregate(filled, F.lit(0).cast(wide), lambda a, x: (
+            a + F.coalesce(_num(x, typ), F.lit(0).cast(typ))).cast(wide))
+        df = df.withColumn(f"total_{s}", total.cast("string"))
     return df
 
 
