@@ -165,7 +165,7 @@ def test_sheet_cells_are_spread_last(spark, monkeypatch):
     monkeypatch.setattr(star, "dim_store", lambda t: spark.createDataFrame([(7, "S")], "store_id long, store_code string"))
     monkeypatch.setattr(wide, "_pname", lambda t: spark.createDataFrame([(1, "one"), (2, "two")], "partkey long, product_name string"))
     sheets = wide.build_sales_sheets(None, True)
-    lines = {r.line: r for r in sheets.where("product_name IN ('one', 'two')").collect()}
+    lines = {r.line: r for r in sheets.where("product_name IN ('one', 'two') AND year = 1995").collect()}
     one, two = lines[1 + wide.SALES_HEAD], lines[2 + wide.SALES_HEAD]
     assert (one.jan_order, one.jan_qty, one.jan_amt, one.dec_order, one.dec_qty, one.dec_amt) == ("2", "3", "4.50", "1", None, "1.00")
     assert (one.total_order, one.total_qty, one.total_amt, one.feb_amt) == ("3", "3", "5.50", None)
