@@ -179,3 +179,21 @@ def test_id_files_edge_cases(spark, plain, tmp_path):
     files = idfile.write_ids(spark.createDataFrame(many, "doc_id long, text string"), PATH, 1, folder, file_ids=10)
     assert files.count() > 8
     assert by_start(idfile.read_ids(files, folder)) == expected_rows(many, plain)
+
+
+def test_a_worker_cuts_texts_in_small_blocks(monkeypatch):
+    import pyarrow as pa
+
+    from tillgrid.llm import packing
+    asked = []
+
+    class Coder:
+        def encode(self, texts, end, block):
+            asked.append((sum(map(len, texts)), block))
+            return [np.array([end], np.uint16) for _ in texts]
+
+    monkeypatch.setattr(packing, "encoder", lambda path: Coder())
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 0})())
+    frame = pa.RecordBatch.from_pydict({"doc_id": list(range(5000)), "text": ["w " * 500] * 5000})
+    got = [n for b in packing._cutter("x", 2, 8)([frame]) for n in b.column(0).to_pylist()]
+    assert got == list(range(5000)) and all(n <= 1 << 19 and b <= 1 << 19 for n, b in asked)

@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from ._shared import parts_of, settle, tidy
 from ._tokens import check_id, encoder
 
+#: Bytes of text cut and encoded together: the arrays over their words take some 30 times that.
+BLOCK = 1 << 19
+
 SCHEMA = ("doc_id long, start long, length long, input_ids array<int>, ids_crc32 long, "
           "doc_tokens long, task int, place long")
 
@@ -76,9 +79,9 @@ def _cutter(path: str, end: int, longest: int):
         rows = _Rows()
         coder = encoder(path)
         for frame in frames:
-            for part in parts_of(frame, 1):
+            for part in parts_of(frame, 1, BLOCK):
                 texts = part.column(1).to_pylist()
-                for doc, ids in zip(part.column(0).to_pylist(), coder.encode(texts, end)):
+                for doc, ids in zip(part.column(0).to_pylist(), coder.encode(texts, end, BLOCK)):
                     at = 0
                     for n in decompose(len(ids), longest):
                         piece = ids[at:at + n]
