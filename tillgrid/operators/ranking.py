@@ -12,6 +12,8 @@ per map task.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,11 +54,12 @@ def ranged_ntile(df: DataFrame, group_cols: list[str], order_cols: list[Column |
     # Each use of a range exchange samples its own bounds, so the numbered
     # rows are frozen once in the shared checkpoint folder (reliable: a lost
     # executor cannot change them) and both branches read that copy.
-    ensure_checkpoint_dir(spark)
     ided = (ordered.withColumn("_id", F.monotonically_increasing_id())
             .withColumn("_pid", F.shiftright("_id", _LOC_BITS))
-            .withColumn("_loc", F.col("_id").bitwiseAND(F.lit((1 << _LOC_BITS) - 1)))
-            .checkpoint(eager=True))
+            .withColumn("_loc", F.col("_id").bitwiseAND(F.lit((1 << _LOC_BITS) - 1))).drop("_id"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ranked-{uuid.uuid4().hex}"
+    ided.write.parquet(path)
+    ided = spark.read.schema(ided.schema).parquet(path)
     seg = (ided.groupBy(*group_cols, "_pid")
            .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_min")))
     seg = (seg.withColumn("_before",
@@ -69,7 +72,7 @@ def ranged_ntile(df: DataFrame, group_cols: list[str], order_cols: list[Column |
     res = joined.withColumn(out, ntile_from_rank(rank, F.col("_n"), k))
     if rank_out:
         res = res.withColumn(rank_out, rank)
-    return res.drop("_id", "_pid", "_loc", "_cnt", "_min", "_before", "_n")
+    return res.drop("_pid", "_loc", "_cnt", "_min", "_before", "_n")
 
 
 def top_k(df: DataFrame, group_cols: list[str], order_cols: list[Column | str], k: int,
