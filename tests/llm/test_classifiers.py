@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillgrid.llm import quality as Q
@@ -233,3 +234,18 @@ def test_lexicon_keeps_likelier_grams_only():
     lex = T.learn_lexicon(grams, np.array([10, 10, 1]), np.array([0, 100, 0]), 20, 200, 10)
     assert lex.grams.tolist() == [5]
     assert lex.look_up(np.array([5, 6], np.uint64)).tolist() == [lex.odds[0], 0.0]
+
+
+def test_an_epoch_lists_a_batch_in_parts(monkeypatch):
+    from tillgrid.llm import quality
+    texts = [f"{w} " * 500_000 for w in ("good", "bad", "fine", "poor")]
+    labels, listed, features = [1, 0, 1, 0], [], quality.features
+    monkeypatch.setattr(quality, "features", lambda part, bits: listed.append(len(part)) or features(part, bits))
+    frame = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(labels)], ["text", "label"])
+    model, whole = quality.Ftrl(10), quality.Ftrl(10)
+    (out,) = quality._epoch(model, 10)(iter([frame]))
+    for text, label in zip(texts, labels):
+        for _, place, value, _ in features([text.encode()], 10):
+            whole.learn(place, value, label)
+    assert sum(listed) == 4 and max(listed) < 4  # all four at once before
+    assert out["model"][0].as_py() == whole.dump()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import blocks, joined, mix, runs, settle, slices, text_lists, tidy
+from ._shared import blocks, joined, mix, parts_of, runs, settle, slices, text_lists, tidy
 
 STRIDE = 1 << 22
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -158,7 +158,7 @@ def sample(docs: DataFrame, known: DataFrame, sample_rows: int) -> DataFrame:
 
 def _epoch(model: Ftrl, bits: int):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
+        for frame in (part for whole in frames for part in parts_of(whole, 0)):
             texts = frame.column(0).cast(pa.binary()).to_pylist()
             labels = frame.column(1).to_pylist()
             done = 0
