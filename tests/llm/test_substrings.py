@@ -44,6 +44,19 @@ def test_compact_windows_equal_their_definition(width):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("texts", [3, 12])
+def test_a_batch_of_short_texts_alone_has_no_windows(texts):
+    """Together they have enough shingles for a window (an error before), each has too few."""
+    rows = [text_of(f"w{i}x{j}" for j in range(30)) for i in range(texts)]
+    frame = pa.RecordBatch.from_arrays([pa.array(range(texts)), pa.array(rows)], ["doc", "text"])
+    assert [b.num_rows for b in S._signer(46, 2)(iter([frame]))] == [0, 0]
+
+
+def test_short_documents_alone_have_no_repeats(spark):
+    rows = [(i, text_of(f"w{i % 3}x{j}" for j in range(30))) for i in range(40)]
+    assert found(spark, rows) == []
+
+
 def test_sliding_minimum():
     rng = np.random.default_rng(0)
     for n, w in ((1, 1), (7, 3), (50, 46), (100, 7), (46, 46)):
